@@ -23,6 +23,7 @@ def build_session(app: str = "quern", master: str | None = None, shuffle_partiti
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.execution.arrow.pyspark.enabled": "true",
         "spark.ui.enabled": "false",
+        "spark.ui.showConsoleProgress": "false",
     }
     if shuffle_partitions:
         base["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
