@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from quern.llm import leakage, lookalikes, residue, splitting
+from quern.llm import leakage, lookalikes, pigeonring, residue, splitting
 from quern.runtime import table
 
 
@@ -26,6 +26,14 @@ def p4_forms(spark: SparkSession, d: str) -> DataFrame:
     return lookalikes.record_forms(table(spark, d, "golden_records")).select("record_id", "field", "page", "form").distinct()
 
 
+def p5_found(spark: SparkSession, d: str) -> DataFrame:
+    return pigeonring.near_pairs(table(spark, d, "faq_entries"))
+
+
+def p5_groups(spark: SparkSession, d: str) -> DataFrame:
+    return pigeonring.near_groups(table(spark, d, "faq_entries"))
+
+
 def p7_found(spark: SparkSession, d: str) -> DataFrame:
     return leakage.leaked_documents(table(spark, d, "documents"), table(spark, d, "eval_items"))
 
