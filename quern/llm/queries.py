@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from quern.llm import leakage, lookalikes, pigeonring, residue, splitting
+from quern.llm import leakage, lookalikes, packing, pigeonring, residue, splitting
 from quern.runtime import table
 
 
@@ -34,6 +34,10 @@ def p5_groups(spark: SparkSession, d: str) -> DataFrame:
     return pigeonring.near_groups(table(spark, d, "faq_entries"))
 
 
+def p6_containers(spark: SparkSession, d: str) -> DataFrame:
+    return packing.pack(table(spark, d, "documents"), table(spark, d, "pack_budgets"))
+
+
 def p7_found(spark: SparkSession, d: str) -> DataFrame:
     return leakage.leaked_documents(table(spark, d, "documents"), table(spark, d, "eval_items"))
 
