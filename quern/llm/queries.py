@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from quern.llm import leakage, lookalikes, packing, pigeonring, residue, splitting
+from quern.llm import defects, leakage, lookalikes, packing, pigeonring, residue, splitting
 from quern.runtime import table
 
 
@@ -18,6 +18,10 @@ def p1_found(spark: SparkSession, d: str) -> DataFrame:
     return splitting.oversized(splitting.split_requests(table(spark, d, "read_requests"), table(spark, d, "knowledge_bases")))
 
 
+def p2_found(spark: SparkSession, d: str) -> DataFrame:
+    return defects.defective_answers(table(spark, d, "faq_entries"))
+
+
 def p4_found(spark: SparkSession, d: str) -> DataFrame:
     return lookalikes.alike_pairs(table(spark, d, "golden_records"))
 
