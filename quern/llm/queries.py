@@ -61,9 +61,9 @@ def p8_messages(spark: SparkSession, d: str) -> DataFrame:
 # Only exact, regular facts are said in SQL; the rest is tested against brute force in tests/llm.
 ORACLE = {
     "p7_found": r"""
-WITH w AS (SELECT item_id, list_transform(regexp_extract_all(passage, '[\p{L}\p{N}_]+'), x -> lower(x)) AS ws FROM eval_items),
+WITH w AS (SELECT item_id, list_transform(regexp_extract_all(passage, '[\p{L}\p{N}_]+'), lambda x: lower(x)) AS ws FROM eval_items),
 g AS (SELECT DISTINCT item_id, ' ' || array_to_string(ws[i:i + 12], ' ') || ' ' AS gram FROM (SELECT item_id, ws, unnest(range(1, len(ws) - 11)) AS i FROM w)),
-d AS (SELECT doc_id, ' ' || array_to_string(list_transform(regexp_extract_all(text, '[\p{L}\p{N}_]+'), x -> lower(x)), ' ') || ' ' AS t FROM documents)
+d AS (SELECT doc_id, ' ' || array_to_string(list_transform(regexp_extract_all(text, '[\p{L}\p{N}_]+'), lambda x: lower(x)), ' ') || ' ' AS t FROM documents)
 SELECT DISTINCT d.doc_id, g.item_id FROM d JOIN g ON contains(d.t, g.gram)""",
 }
 
