@@ -10,7 +10,7 @@ each. A term held by too many records is extended by the next shared one, and
 again, so that groups stay small; what stays large at the last level is checked
 in blocks.
 
-Inside a group the terms of a set, folded into 128 bits, make a ring of segments
+Inside a group the terms of a set, folded into 256 bits, make a ring of segments
 whose bits differ in at most as many places as the sets do. A pair is kept only
 if some chain of consecutive segments, going round the ring, keeps its
 cumulative difference within its proportional share of H at every length. Only
@@ -36,7 +36,10 @@ THRESHOLD = 0.75
 HOT = 1500
 #: Counters kept for each level: the size of what is broadcast, whatever the data.
 COUNTERS = 1 << 19
-SEGMENTS = 4
+SEGMENTS = 8
+BITS = 256
+#: Groups of up to so many sets are checked together, larger ones one by one.
+SMALL_GROUP = 32
 #: Sets whose ids may be broadcast for the full check; beyond it they are joined by a shuffle.
 MAX_BROADCAST_IDS = 500_000
 
@@ -186,18 +189,43 @@ def _count_level(sets: DataFrame, level: int, t: float, hot: int, levels: list[n
     return _counts(spark, sets.select("sid", "terms").mapInArrow(run, "b bigint, n bigint"))
 
 
-def _fold(terms: np.ndarray) -> tuple[int, int]:
-    """The set as 128 bits: each term flips one, so sets that differ in d terms differ in at most d bits."""
-    bit = (terms >> np.uint64(40)) & np.uint64(127)
-    odd = np.flatnonzero(np.bincount(bit.astype(np.int64), minlength=128) & 1).astype(np.uint64)
-    lo, hi = odd[odd < 64], odd[odd >= 64] - np.uint64(64)
-    one = np.uint64(1)
-    return int(np.bitwise_or.reduce(one << lo)) if len(lo) else 0, int(np.bitwise_or.reduce(one << hi)) if len(hi) else 0
+def _fold(terms: np.ndarray) -> np.ndarray:
+    """The set as BITS bits: each term flips one, so sets that differ in d terms differ in at most d bits."""
+    odd = np.bincount(((terms >> np.uint64(40)) & np.uint64(BITS - 1)).astype(np.int64), minlength=BITS) & 1
+    return np.packbits(odd.astype(np.uint8), bitorder="little").view(np.int64)
+
+
+def _ring(diff: np.ndarray, budget: np.ndarray) -> np.ndarray:
+    """Whether some chain round the ring stays within its share of the budget at every length; diff: (SEGMENTS, pairs)."""
+    share = budget / SEGMENTS
+    out = np.zeros(diff.shape[1], bool)
+    twice = np.concatenate([diff, diff[:-1]])
+    for start in range(SEGMENTS):
+        live = np.flatnonzero(~out & (diff[start] <= share + 1e-4))
+        total = diff[start, live].astype(np.float32)
+        for k in range(1, SEGMENTS):
+            total += twice[start + k, live]
+            ok = total <= share[live] * (k + 1) + 1e-4
+            live, total = live[ok], total[ok]
+            if not len(live):
+                break
+        out[live] = True
+    return out
+
+
+def _budget(t: float, total: np.ndarray) -> np.ndarray:
+    return np.floor((1 - t) / (1 + t) * total + 1e-9).astype(np.float32)
 
 
-def _chains(bits: np.ndarray, size: np.ndarray, small: np.ndarray, sid: np.ndarray, t: float) -> tuple[np.ndarray, np.ndarray]:
-    """Positions a, b of the pairs of one group that a chain keeps; bits: (n, SEGMENTS) of uint32, all sorted by size."""
-    n, factor = len(size), (1 - t) / (1 + t)
+def _near(bits: np.ndarray, size: np.ndarray, i: np.ndarray, j: np.ndarray, t: float) -> np.ndarray:
+    """Which of the pairs i, j a chain keeps."""
+    budget = _budget(t, size[i] + size[j])
+    return _ring(np.bitwise_count(bits[i] ^ bits[j]).T, budget)
+
+
+def _chains(bits: np.ndarray, size: np.ndarray, small: np.ndarray, t: float) -> tuple[np.ndarray, np.ndarray]:
+    """Positions i < j of the pairs of one large group that a chain keeps; sorted by size, index keys first."""
+    n = len(size)
     found_a, found_b = [], []
     step = max(1, 200_000 // n)
     far = np.searchsorted(size, np.floor(size / t + 1e-9), "right")
@@ -207,30 +235,56 @@ def _chains(bits: np.ndarray, size: np.ndarray, small: np.ndarray, sid: np.ndarr
         if not len(rows):
             continue
         end = int(far[rows].max())
-        budget = np.floor(factor * (size[rows][:, None] + size[None, lo:end]) + 1e-9).astype(np.float32)
-        diff = [np.bitwise_count(bits[rows, s][:, None] ^ bits[None, lo:end, s]) for s in range(SEGMENTS)]
-        i, j = np.nonzero(np.minimum.reduce(diff) * np.float32(SEGMENTS) <= budget)
-        if not len(i):
-            continue
-        d = np.stack([x[i, j] for x in diff]).astype(np.float32)
-        share = budget[i, j] / SEGMENTS
-        ring = np.zeros(len(i), bool)
-        for start in range(SEGMENTS):
-            ok, total = np.ones(len(i), bool), np.zeros(len(i), np.float32)
-            for k in range(SEGMENTS):
-                total += d[(start + k) % SEGMENTS]
-                ok &= total <= share * (k + 1) + 1e-4
-            ring |= ok
-        i, j = rows[i[ring]], j[ring] + lo
-        # the other set is larger, or of the same size and, if it is an index key too, later
-        keep = (j < far[i]) & (sid[i] != sid[j]) & ((size[j] > size[i]) | ~small[j] | (i < j))
-        found_a.append(i[keep])
-        found_b.append(j[keep])
+        share = _budget(t, size[rows][:, None] + size[None, lo:end]) / SEGMENTS
+        # the first link of a chain: one segment within its share
+        least = np.bitwise_count(bits[rows, 0][:, None] ^ bits[None, lo:end, 0])
+        for s in range(1, SEGMENTS):
+            np.minimum(least, np.bitwise_count(bits[rows, s][:, None] ^ bits[None, lo:end, s]), out=least)
+        i, j = np.nonzero(least <= share)
+        i, j = rows[i], j + lo
+        keep = (j > i) & (j < far[i])
+        i, j = i[keep], j[keep]
+        for at in range(0, len(i), 500_000):
+            a, b = i[at : at + 500_000], j[at : at + 500_000]
+            ok = _near(bits, size, a, b, t)
+            found_a.append(a[ok])
+            found_b.append(b[ok])
     if not found_a:
         return np.empty(0, np.int64), np.empty(0, np.int64)
     return np.concatenate(found_a), np.concatenate(found_b)
 
 
+def _match(key: np.ndarray, sid: np.ndarray, meta: np.ndarray, bits: np.ndarray, t: float) -> np.ndarray:
+    """The pairs (n, 2) of sids that whole groups of equal keys keep; meta: twice the size, odd for keys beyond the reach of a smaller set."""
+    order = np.lexsort((sid, meta, key))
+    key, sid, meta = key[order], sid[order], meta[order]
+    new = np.concatenate(([True], (key[1:] != key[:-1]) | (sid[1:] != sid[:-1]) | (meta[1:] != meta[:-1])))
+    order, key, sid, meta = order[new], key[new], sid[new], meta[new]
+    cut = np.flatnonzero(np.concatenate(([True], key[1:] != key[:-1])))
+    length = np.diff(np.append(cut, len(key)))
+    size, small = meta >> 1, (meta & 1) == 0
+    got = []
+    some = np.flatnonzero(np.repeat((length > 1) & (length <= SMALL_GROUP), length))
+    for step in range(1, SMALL_GROUP):
+        some = some[some + step < len(key)]
+        some = some[key[some + step] == key[some]]
+        if not len(some):
+            break
+        i = some[small[some] & (size[some + step] <= size[some] / t + 1e-9)]
+        if len(i):
+            ok = _ring(np.bitwise_count(bits[order[i]] ^ bits[order[i + step]]).T, _budget(t, size[i] + size[i + step]))
+            got.append(np.stack([sid[i[ok]], sid[i[ok] + step]], 1))
+    for a, n in zip(cut[length > SMALL_GROUP], length[length > SMALL_GROUP]):
+        own = slice(a, a + n)
+        i, j = _chains(bits[order[own]], size[own], small[own], t)
+        got.append(np.stack([sid[own][i], sid[own][j]], 1))
+    if not got:
+        return np.empty((0, 2), np.int64)
+    both = np.concatenate(got)
+    both = both[both[:, 0] != both[:, 1]]
+    return np.unique(np.sort(both, 1), axis=0)
+
+
 def candidates(sets: DataFrame, t: float = THRESHOLD, hot: int = HOT, depth: int = 3) -> DataFrame:
     """sid_a, sid_b (a < b): the pairs of different sets that the keys and chains keep, a superset of those within the threshold."""
     spark = sets.sparkSession
@@ -244,7 +298,7 @@ def candidates(sets: DataFrame, t: float = THRESHOLD, hot: int = HOT, depth: int
         make = Keys(t, hot, held.value)
         seen: set[int] = set()  # copies of a set in one task are sent once
         for batch in it:
-            cols: list[list[np.ndarray]] = [[], [], [], [], []]
+            cols: list[list[np.ndarray]] = [[], [], [], []]
             for sid, terms in zip(batch.column(0).to_pylist(), _lists(batch.column(1))):
                 if sid in seen:
                     continue
@@ -259,67 +313,40 @@ def candidates(sets: DataFrame, t: float = THRESHOLD, hot: int = HOT, depth: int
                     own = (np.uint64(sid & _M64) % np.maximum(rep, 1).astype(np.uint64)).astype(np.int64)[idx]
                     cell = np.minimum(own, other) * 1_000_003 + np.maximum(own, other)
                     keys, small = np.where(rep[idx] > 1, _extend(keys[idx], cell.astype(np.uint64) + np.uint64(1)), keys[idx]), small[idx]
-                lo, hi = _fold(terms)
                 m = len(keys)
                 cols[0].append(keys.view(np.int64))
                 cols[1].append(np.full(m, sid, np.int64))
-                cols[2].append(len(terms) * 2 + small.astype(np.int32))
-                cols[3].append(np.full(m, lo, np.uint64).view(np.int64))
-                cols[4].append(np.full(m, hi, np.uint64).view(np.int64))
+                cols[2].append(len(terms) * 2 + (~small).astype(np.int32))
+                cols[3].append(np.broadcast_to(_fold(terms), (m, BITS // 64)))
             if len(seen) > 300_000:
                 seen.clear()
             if cols[0]:
-                a = [np.concatenate(c) for c in cols]
-                yield pa.RecordBatch.from_arrays([pa.array(a[0]), pa.array(a[1]), pa.array(a[2].astype(np.int32)), pa.array(a[3]), pa.array(a[4])], ["key", "sid", "meta", "lo", "hi"])
+                key, sid, meta, bits = (np.concatenate(c) for c in cols)
+                yield pa.RecordBatch.from_arrays([pa.array(key), pa.array(sid), pa.array(meta.astype(np.int32)), *(pa.array(np.ascontiguousarray(bits[:, k])) for k in range(BITS // 64))], ["key", "sid", "meta", *names])
 
     def match(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def group(part: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
-            sid, meta, lo, hi = part
-            if len(sid) < 2:
-                return np.empty(0, np.int64), np.empty(0, np.int64)
-            o = np.lexsort((sid, meta & 1, meta >> 1))
-            sid, meta, lo, hi = sid[o], meta[o], lo[o], hi[o]
-            new = np.concatenate(([True], (sid[1:] != sid[:-1]) | (meta[1:] != meta[:-1])))
-            sid, meta, lo, hi = sid[new], meta[new], lo[new], hi[new]
-            bits = np.ascontiguousarray(np.stack([lo, hi], 1)).view(np.uint32)
-            a, b = _chains(bits, meta >> 1, (meta & 1).astype(bool), sid, t)
-            return np.minimum(sid[a], sid[b]), np.maximum(sid[a], sid[b])
-
         held_rows: list[np.ndarray] | None = None
-        held_key = None
         for batch in it:
             if not batch.num_rows:
                 continue
-            key, sid, meta, lo, hi = (batch.column(i).to_numpy() for i in range(5))
-            cut = np.flatnonzero(np.concatenate(([True], key[1:] != key[:-1])))
-            ends = np.append(cut[1:], len(key))
-            wide = np.flatnonzero((ends - cut > 1) | (cut == 0) | (ends == len(key)))
-            got: list[tuple[np.ndarray, np.ndarray]] = []
-            for a, b in zip(cut[wide], ends[wide]):
-                part = [sid[a:b], meta[a:b], lo[a:b], hi[a:b]]
-                if held_rows is not None and key[a] == held_key:
-                    part = [np.concatenate(x) for x in zip(held_rows, part)]
-                    held_rows = None
-                elif held_rows is not None:
-                    got.append(group(held_rows))
-                    held_rows = None
-                if b == len(key):
-                    held_rows, held_key = part, key[a]
-                else:
-                    got.append(group(part))
-            if got:
-                yield _pairs(got)
+            part = [batch.column(k).to_numpy() for k in range(3 + BITS // 64)]
+            if held_rows is not None:
+                part = [np.concatenate(x) for x in zip(held_rows, part)]
+            whole = int(np.searchsorted(part[0], part[0][-1], "left"))  # the last group may go on
+            held_rows = [x[whole:] for x in part]
+            if whole:
+                yield out(part, whole)
         if held_rows is not None:
-            yield _pairs([group(held_rows)])
-
-    rows = sets.select("sid", "terms").mapInArrow(emit, "key bigint, sid bigint, meta int, lo bigint, hi bigint")
-    return rows.repartition("key").sortWithinPartitions("key").mapInArrow(match, "sid_a bigint, sid_b bigint").distinct()
+            yield out(held_rows, len(held_rows[0]))
 
+    def out(part: list[np.ndarray], n: int) -> pa.RecordBatch:
+        bits = np.ascontiguousarray(np.stack([x[:n] for x in part[3:]], 1)).view(np.uint32)
+        both = _match(part[0][:n], part[1][:n], part[2][:n], bits, t)
+        return pa.RecordBatch.from_arrays([pa.array(np.ascontiguousarray(both[:, 0])), pa.array(np.ascontiguousarray(both[:, 1]))], ["sid_a", "sid_b"])
 
-def _pairs(got: list[tuple[np.ndarray, np.ndarray]]) -> pa.RecordBatch:
-    a, b = (np.concatenate(x) for x in zip(*got))
-    both = np.unique(np.stack([a, b], 1), axis=0) if len(a) else np.empty((0, 2), np.int64)
-    return pa.RecordBatch.from_arrays([pa.array(np.ascontiguousarray(both[:, 0])), pa.array(np.ascontiguousarray(both[:, 1]))], ["sid_a", "sid_b"])
+    names = [f"b{k}" for k in range(BITS // 64)]
+    rows = sets.select("sid", "terms").mapInArrow(emit, "key bigint, sid bigint, meta int, " + ", ".join(f"{x} bigint" for x in names))
+    return rows.repartition("key").sortWithinPartitions("key").mapInArrow(match, "sid_a bigint, sid_b bigint").distinct()
 
 
 def near_sets(sets: DataFrame, t: float = THRESHOLD, hot: int = HOT) -> DataFrame:
