@@ -21,6 +21,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from quern.runtime import settle
+
 #: Where the public tokenizers lie; a parameter, as their files are no part of this library.
 TOKENIZER_DIR = os.environ.get("QUERN_TOKENIZERS", "/opt/tokenizers")
 TOKENIZER = "byte_bpe_50k.tiktoken"
@@ -199,7 +201,8 @@ def pack(docs: DataFrame, budgets: DataFrame, id_col: str = "doc_id", text_col:
             t = pa.Table.from_batches(held).combine_chunks()
             yield from flush(t.column(0).combine_chunks(), t.column(1).to_numpy().astype(np.int64))
 
-    m = measured(docs, id_col, text_col, folder, name)
+    # a range sort reads its input twice: the tokens are counted only once
+    m = settle(measured(docs, id_col, text_col, folder, name), "measured")
     # equal places are ordered by a hash, so copies of one text are no hot range
     ordered = m.withColumn("salt", F.xxhash64("doc_id")).repartitionByRange("place", "salt").sortWithinPartitions("place", "salt", "doc_id", "n_tokens").select("doc_id", "n_tokens")
     return ordered.mapInArrow(run, f"budget string, container_id string, doc_id {kind}, piece_no int, from_token int, n_tokens int, capacity int")
