@@ -61,9 +61,14 @@ def atoms(text: str, size: int, step: int, separators: Sequence[str]) -> tuple[l
             if a - at > size:
                 stretch(at, a)
                 at = ends[-1]
-            if b - at > size:  # the separator doesn't fit behind its stretch
+            if b - at > size and a > at:  # the separator doesn't fit behind its stretch
                 ends.append(a)
                 force.append(rank[m[0]])
+                at = a
+            while b - at > size:  # nor anywhere
+                at += size
+                ends.append(at)
+                force.append(0)
             ends.append(b)
             force.append(rank[m[0]])
             at = b
