@@ -9,7 +9,7 @@ from quern.plans.registry import query
 from quern.runtime import settle, table
 
 _NODES = r"""
-n AS (SELECT lower(trim(release_id)) AS k, min(release_id) AS id, min(nullif(lower(trim(base_release_id)), '')) AS up FROM wiki_releases WHERE release_id IS NOT NULL GROUP BY 1),
+n AS (SELECT regexp_replace(lower(release_id), '^[\s\p{Z}]+|[\s\p{Z}]+$', '', 'g') AS k, min(release_id) AS id, min(nullif(regexp_replace(lower(base_release_id), '^[\s\p{Z}]+|[\s\p{Z}]+$', '', 'g'), '')) AS up FROM wiki_releases WHERE release_id IS NOT NULL GROUP BY 1),
 e AS (SELECT n.k, n.id, p.k AS up FROM n LEFT JOIN n p ON p.k = n.up),
 t AS (SELECT k, id AS root, 0 AS depth, [id] AS path FROM e WHERE up IS NULL UNION ALL SELECT e.k, t.root, t.depth + 1, list_append(t.path, e.id) FROM e JOIN t ON e.up = t.k)
 """
