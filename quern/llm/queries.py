@@ -60,6 +60,16 @@ def p8_messages(spark: SparkSession, d: str) -> DataFrame:
 
 # Only exact, regular facts are said in SQL; the rest is tested against brute force in tests/llm.
 ORACLE = {
+    "p1_found": r"""
+WITH r AS (SELECT DISTINCT request_id, knowledge_base_id, decode(file_content) AS raw FROM read_requests WHERE octet_length(file_content) > 0),
+t AS (SELECT request_id, CASE WHEN starts_with(raw, chr(65279)) THEN substring(raw, 2) ELSE raw END AS x, CASE WHEN chunk_size >= 1 THEN chunk_size ELSE 512 END AS size, separators FROM r LEFT JOIN knowledge_bases USING (knowledge_base_id))
+SELECT request_id, CASE WHEN list_max(list_transform(string_split(list_reduce(list_concat([x], separators), lambda a, s: replace(a, s, chr(1))), chr(1)), lambda p: length(p))) > size THEN 'forced' ELSE 'natural' END AS cut FROM t WHERE length(x) > size""",
+    "p5_found": r"""
+WITH e AS (SELECT id, arg_max(list_concat([standard_question], coalesce(similar_questions, [])), coalesce(updated_at, TIMESTAMP '0001-01-01')) AS qs FROM faq_entries GROUP BY id),
+q AS (SELECT id, lower(unnest(qs)) AS q FROM e), w AS (SELECT id, q, regexp_extract_all(q, '[\p{L}\p{N}_]+') AS ws FROM q WHERE q IS NOT NULL),
+t AS (SELECT DISTINCT id, unnest(CASE WHEN regexp_matches(q, '[\x{3400}-\x{9FFF}\x{F900}-\x{FAFF}]') THEN list_transform(range(1, length(array_to_string(ws, ''))), lambda i: substring(array_to_string(ws, ''), i, 2)) ELSE ws END) AS term FROM w),
+n AS (SELECT id, count(*) AS n FROM t GROUP BY id), s AS (SELECT a.id AS id_a, b.id AS id_b, count(*) AS k FROM t a JOIN t b ON a.term = b.term AND a.id < b.id GROUP BY ALL)
+SELECT id_a, id_b FROM s JOIN n x ON x.id = id_a JOIN n y ON y.id = id_b WHERE k >= 0.75 * (x.n + y.n - k) - 1e-9""",
     "p7_found": r"""
 WITH w AS (SELECT item_id, list_transform(regexp_extract_all(passage, '[\p{L}\p{N}_]+'), lambda x: lower(x)) AS ws FROM eval_items),
 g AS (SELECT DISTINCT item_id, ' ' || array_to_string(ws[i:i + 12], ' ') || ' ' AS gram FROM (SELECT item_id, ws, unnest(range(1, len(ws) - 11)) AS i FROM w)),
