@@ -51,3 +51,16 @@ def discard(df: DataFrame) -> None:
     if path:
         fs, p = _hadoop(df.sparkSession, path)
         fs.delete(p, True)
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """``df`` in as many partitions as there are cores, if it is a mere scan of fewer than half as many.
+
+    For costly work per row on a table of few files; larger tables are left as
+    they are read, without a shuffle.
+    """
+    plan = df._jdf.queryExecution().optimizedPlan().toString()
+    if any(x in plan for x in ("Join", "Aggregate", "Sort", "Window", "Repartition", "Distinct", "Limit", "Map")):
+        return df
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() * 2 <= cores else df
