@@ -19,6 +19,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from quern.runtime import spread
+
 WIDTH = 13
 #: Distinct n-grams that may be broadcast at once; at 13 words of 4 bytes this is below 150 MB.
 MAX_NGRAMS = 1_000_000
@@ -121,7 +123,7 @@ def leaked_spans(docs: DataFrame, items: DataFrame, width: int = WIDTH, max_ngra
     parts = max(1, -(-grams.count() // max_ngrams))
     sc = docs.sparkSession.sparkContext
     kind = docs.schema[id_col].dataType
-    src = docs.where(F.col(id_col).isNotNull()).select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
+    src = spread(docs.where(F.col(id_col).isNotNull()).select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")))
     schema = f"doc_id {kind.simpleString()}, item_id bigint, first_word int, end_word int"
     found = []
     for k in range(parts):

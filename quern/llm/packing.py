@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quern.runtime import settle
+from quern.runtime import settle, spread
 
 #: Where the public tokenizers lie; a parameter, as their files are no part of this library.
 TOKENIZER_DIR = os.environ.get("QUERN_TOKENIZERS", "/opt/tokenizers")
@@ -110,7 +110,7 @@ def measured(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", fo
                 yield pa.RecordBatch.from_arrays([part.column(0), pa.array([len(t) for t in tokens], pa.int32()), pa.array(places(tokens))], ["doc_id", "n_tokens", "place"])
 
     src = docs.where(F.col(id_col).isNotNull()).select(F.col(id_col).alias("doc_id"), F.coalesce(text_col, F.lit("")).alias("text"))
-    return src.mapInArrow(run, f"doc_id {kind}, n_tokens int, place bigint")
+    return spread(src).mapInArrow(run, f"doc_id {kind}, n_tokens int, place bigint")
 
 
 class Packer:

@@ -29,7 +29,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quern.runtime import settle
+from quern.runtime import settle, spread
 
 THRESHOLD = 0.75
 #: A term (or chain of terms) that more records hold is extended by another one.
@@ -101,7 +101,7 @@ def term_sets(df: DataFrame, id_col: str, text_cols: list[str], order_col: str |
                 [batch.column(0).take(take), batch.column(1).take(take), pa.array(np.array(sids, np.uint64).view(np.int64)), pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat))], ["id", "at", "sid", "terms"]
             )
 
-    return src.mapInArrow(run, "id bigint, at string, sid bigint, terms array<bigint>")
+    return spread(src).mapInArrow(run, "id bigint, at string, sid bigint, terms array<bigint>")
 
 
 def _lists(col) -> Iterator[np.ndarray]:

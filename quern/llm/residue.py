@@ -18,6 +18,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from quern.runtime import spread
+
 #: A message recurs widely if so many documents of so many sources hold it.
 MIN_DOCS, MIN_SOURCES = 3, 2
 
@@ -207,7 +209,7 @@ def residue_messages(docs: DataFrame, min_docs: int = MIN_DOCS, min_sources: int
             take = pa.array(at, pa.int64())
             yield pa.RecordBatch.from_arrays([batch.column(0).take(take), batch.column(1).take(take), pa.array(kinds, pa.string()), pa.array(messages, pa.string())], ["doc_id", "source", "kind", "message"])
 
-    seg = src.mapInArrow(look, f"doc_id {kind}, source string, kind string, message string").distinct().withColumn("h", F.xxhash64("message"))
+    seg = spread(src).mapInArrow(look, f"doc_id {kind}, source string, kind string, message string").distinct().withColumn("h", F.xxhash64("message"))
     # counts are made from partial ones, so one message in a third of all documents is no hot group
     wide = seg.groupBy("h").agg(F.count("*").alias("n"), F.min("source").alias("s0"), F.max("source").alias("s1"), F.approx_count_distinct("source").alias("s"))
     wide = wide.where((F.col("n") >= min_docs) & (F.greatest(F.col("s"), F.when(F.col("s0") != F.col("s1"), 2).otherwise(1)) >= min_sources)).select("h", F.lit(True).alias("wide"))
