@@ -32,14 +32,25 @@ def neighbours(df: DataFrame, keys: Sequence[str], order: Sequence[str], id_col:
     return df.withColumn("prev_id", F.lag(id_col).over(w)).withColumn("next_id", F.lead(id_col).over(w))
 
 
-def expand_text(df: DataFrame, keys: Sequence[str], order: Sequence[str], text: str, least: int = 350, most: int = 850, reach: int = 3) -> DataFrame:
-    """``expanded``: a text shorter than ``least`` with neighbours of its group, nearest first, until it is long enough, cut at ``most``."""
+def expand_text(df: DataFrame, keys: Sequence[str], order: Sequence[str], text: str, least: int = 350, most: int = 850) -> DataFrame:
+    """``expanded``: a text shorter than ``least`` with neighbours of its group, nearest first, until it is long enough or the group ends, cut at ``most``; longer texts stay whole."""
+    own = F.coalesce(F.col(text), F.lit(""))
     w = Window.partitionBy(*keys).orderBy(*order)
-    out = F.coalesce(F.col(text), F.lit(""))
-    for k in range(1, reach + 1):
-        before, after = F.coalesce(F.lag(text, k).over(w), F.lit("")), F.coalesce(F.lead(text, k).over(w), F.lit(""))
-        out = F.when(F.length(out) < least, F.concat(before, F.when(before != "", "\n").otherwise(""), out, F.when(after != "", "\n").otherwise(""), after)).otherwise(out)
-    return df.withColumn("expanded", F.substring(out, 1, most))
+    # no walk goes past a text of ``least``, and each other one adds its length and a line end, so a range of summed lengths holds all it can meet
+    g = df.withColumn("_p", F.row_number().over(w)).withColumn("_s", F.sum(F.when(own != "", F.least(F.length(own), F.lit(least)) + 1).otherwise(0)).over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
+    near = Window.partitionBy(*keys).orderBy("_s").rangeBetween(-2 * least - 1, 2 * least + 1)
+    g = g.withColumn("_near", F.collect_list(F.when(own != "", F.struct("_p", F.substring(own, 1, max(least, most)).alias("t")))).over(near))
+    met = F.array_sort(F.transform(F.filter("_near", lambda x: x["_p"] != F.col("_p")), lambda x: F.struct(F.abs(x["_p"] - F.col("_p")).alias("d"), (x["_p"] > F.col("_p")).alias("after"), x["t"].alias("t"))))
+    # the two neighbours at one distance come together
+    start = F.struct(own.alias("out"), F.lit(0).alias("d"), F.lit(True).alias("on"))
+
+    def step(s: Column, x: Column) -> Column:
+        on = F.when(x["d"] == s["d"], s["on"]).otherwise(F.length(s["out"]) < least)
+        out = F.when(~on, s["out"]).when(x["after"], F.concat(s["out"], F.lit("\n"), x["t"])).otherwise(F.concat(x["t"], F.lit("\n"), s["out"]))
+        return F.struct(out.alias("out"), x["d"].alias("d"), on.alias("on"))
+
+    full = F.aggregate(met, start, step, lambda s: s["out"])
+    return g.withColumn("expanded", F.when(F.length(own) < least, F.substring(full, 1, most)).otherwise(own)).drop("_p", "_s", "_near")
 
 
 def join_overlapping(a: str, b: str, least: int = 1, window: int = 2000) -> str:

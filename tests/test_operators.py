@@ -137,3 +137,22 @@ def test_chunking(spark):
     assert C.inject_links("see Foo Bar and `Foo` Foo", {"Foo": "/f", "Foo Bar": "/fb"}) == "see [Foo Bar](/fb) and `Foo` [Foo](/f)"
     d = spark.createDataFrame([(1, None), (2, ""), (3, "a\n\nb")], "doc_id int, text string")
     assert [(r.doc_id, r.content) for r in C.chunks(d).collect()] == [(3, "a\n\nb")]
+
+
+def test_expand_text(spark):
+    texts = {"a": [*(f"{i:03d}" for i in range(300)), "", None, "x" * 5000, "y" * 349, "z" * 900, "", "end"], "b": ["alone"], None: ["n" * 350, "m"]}
+    rows = [(k, i, t) for k, ts in texts.items() for i, t in enumerate(ts)]
+
+    def brute(ts, i, least=350, most=850):
+        out = ts[i] or ""
+        if len(out) >= least:
+            return out
+        k = 0
+        while len(out) < least and (i - k > 0 or i + k < len(ts) - 1):
+            k += 1
+            before, after = (ts[j] or "" if 0 <= j < len(ts) else "" for j in (i - k, i + k))
+            out = before + "\n" * bool(before) + out + "\n" * bool(after) + after
+        return out[:most]
+
+    got = M.expand_text(spark.createDataFrame(rows, "g string, i int, t string"), ["g"], ["i"], "t").collect()
+    assert {(r.g, r.i): r.expanded for r in got} == {(k, i): brute(ts, i) for k, ts in texts.items() for i in range(len(ts))}
