@@ -42,7 +42,7 @@ def _(spark, d):
 def _(spark, d):
     g = table(spark, d, "golden_records").select("doc", F.explode("evidence").alias("e"))
     chunks = g.select("doc", F.col("e.chunk_id").alias("chunk_id"), F.col("e.quote").alias("content")).where("content is not null").distinct()
-    return K.lineage(g.select("doc", F.substring("e.quote", 5, 30).alias("quote")).where("quote is not null"), chunks, "doc", "quote", "content", "chunk_id").groupBy("status").agg(F.count("*").alias("n"))
+    return K.lineage(g.select("doc", F.col("e.quote").alias("quote")).where("quote is not null"), chunks, "doc", "quote", "content", "chunk_id").groupBy("status").agg(F.count("*").alias("n"))
 
 
 @query("dictionary_match")

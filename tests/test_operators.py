@@ -156,3 +156,15 @@ def test_expand_text(spark):
 
     got = M.expand_text(spark.createDataFrame(rows, "g string, i int, t string"), ["g"], ["i"], "t").collect()
     assert {(r.g, r.i): r.expanded for r in got} == {(k, i): brute(ts, i) for k, ts in texts.items() for i in range(len(ts))}
+
+
+def test_quote_lineage_takes_whole_quotes(spark, tmp_path):
+    from quern.plans import registry
+
+    registry.load()
+    same = "the waiting period counts from the day on which"
+    e = [("a", f"{same} the policy begins"), ("b", f"{same} the form is signed"), (None, "in no chunk at all")]
+    rows = [("d", [(c, q)]) for c, q in e]
+    spark.createDataFrame(rows, "doc string, evidence array<struct<chunk_id:string,quote:string>>").write.parquet(f"{tmp_path}/golden_records.parquet")
+    got = {r.status: r.n for r in registry.QUERIES["quote_lineage"](spark, str(tmp_path)).collect()}
+    assert got == {"linked": 2, "page_only": 1}
