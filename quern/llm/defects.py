@@ -22,10 +22,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quern.runtime import spread
+from quern.runtime import discard, settle, spread
 
 #: Entries in the sample that the field is fitted on.
 SAMPLE = 2000
+#: A short form recurs if it stands 4 times in so many entries, or more in proportion.
+RECURS_IN = 2000
 ANSWER, REFUSAL, ECHO, FOREIGN, UNFINISHED = range(5)
 
 # Frequent words that tell the languages of the sample apart.
@@ -54,12 +56,14 @@ ANNOUNCE = r"^(?:(?:the|your) question (?:is|was|reads)|you (?:ask(?:ed)?|want t
 # Answers without content.
 _NOTHING = re.compile(r"(?:\W|_|<[^<>]*>|&nbsp;|&#\d+;)*(?:n/?a|null|none|nil|nan|undefined|-|k\.? ?a\.?|无|暂无)?(?:\W|_|<[^<>]*>)*\Z", re.I)
 _WORD = re.compile(r"[^\W\d_]+|\d+")
+_LETTERS = re.compile(r"[^\W\d_]+")
 _HAN = re.compile(r"[㐀-鿿]")
-_STOP = re.compile(r"(?<![A-ZÀ-Þ])(?<!\bNr)(?<!\bNo)(?<!Núm)(?<!\bz)(?<!\bart)[.!?](?=\s+[^\s\d])|[.!?](?=\s+[-•¿¡])|[。！？](?=.)|…(?=\s)")
+# the sign or letter comes first in these two, so the rest is tried only there
+_STOP = re.compile(r"[.!?。！？…](?:(?<=[.!?])(?:(?<![A-ZÀ-Þ].)(?<!\bNr.)(?<!\bNo.)(?<!Núm.)(?<!\bz.)(?<!\bart.)(?=\s+[^\s\d])|(?=\s+[-•¿¡]))|(?<=[。！？])(?=.)|(?<=…)(?=\s))")
 _ENDS = re.compile(r"[.!?。！？][\"'”’»)）\]]*\s*\Z")
 _MARKUP = re.compile(r"^\s*(?:[-*•–]|\d+[.)])\s+")
 _DIGITS = re.compile(r"\d+(?:[.,]\d+)*")
-_NAMES = re.compile(r"(?<=\S )[A-ZÀ-Þ]\w+(?:-\d+)?(?: [A-ZÀ-Þ]\w+)*|(?<![A-Za-z])[A-Z]{2}-#")
+_NAMES = re.compile(r"[A-ZÀ-Þ](?:(?<=\S .)\w+(?:-\d+)?(?: [A-ZÀ-Þ]\w+)*|(?<=[A-Z])(?<![A-Za-z].)[A-Z]-#)")
 # Words of which a refusal must hold one; others needn't be searched.
 _MAY_REFUSE = frozenset("i this my no ich mir mein meine meinen je j n cela mes m aucune ne lo me prefiero supera mis nicht".split())
 _HAN_MAY_REFUSE = re.compile("[我恕没暂]")
@@ -107,22 +111,29 @@ def shape(clause: str) -> str:
     return _NAMES.sub("N", _DIGITS.sub("#", clause)).rstrip(" .。!！").lower()
 
 
+#: zh and the languages of the seeds, by number.
+LANGUAGES = ["zh", *SEEDS]
+_SEED_SETS = [frozenset(ws) for ws in SEEDS.values()]
+
+
+def settled(text: str) -> tuple[int, set[str]] | None:
+    """The language that the seeds settle for a text, and its words."""
+    if not text.isascii() and _HAN.search(text):
+        return None
+    words = set(_LETTERS.findall(text.lower()))
+    votes = [len(words & ws) for ws in _SEED_SETS]
+    n = max(votes)
+    return (votes.index(n) + 1, words) if n >= 3 and votes.count(n) == 1 else None
+
+
 class Languages:
-    """How much each word speaks for each language, counted in the sample from texts that the seeds settle."""
-
-    def __init__(self, texts: list[str]):
-        self.names = ["zh", *SEEDS]
-        seed = {w: [k + 1 for k, ws in enumerate(SEEDS.values()) if w in ws] for ws in SEEDS.values() for w in ws}
-        counts: list[Counter] = [Counter() for _ in self.names]
-        for t in texts:
-            words = set(_WORD.findall(t.lower()))
-            votes = Counter(k for w in words for k in seed.get(w, ()))
-            top = votes.most_common(2)
-            if top and top[0][1] >= 3 and (len(top) == 1 or top[0][1] > top[1][1]) and not _HAN.search(t):
-                counts[top[0][0]].update(w for w in words if not w[0].isdigit())
-        total = [sum(c.values()) + 1 for c in counts]
-        words = {w for c in counts for w, n in c.items() if n >= 2} | set(seed)
-        p = np.array([[np.log((counts[k][w] + 0.5) / (total[k] + 1000)) for k in range(1, len(self.names))] for w in sorted(words)])
+    """How much each word speaks for each language, by how many texts that the seeds settle hold it (those of one text only left out)."""
+
+    def __init__(self, counts: list[dict[str, int]], totals: list[int]):
+        self.names = LANGUAGES
+        total = [n + 1 for n in totals]
+        words = {w for c in counts for w in c} | {w for ws in SEEDS.values() for w in ws}
+        p = np.array([[np.log((counts[k].get(w, 0) + 0.5) / (total[k] + 1000)) for k in range(1, len(self.names))] for w in sorted(words)])
         p = np.clip(p - p.mean(1, keepdims=True), -4, 4) if len(p) else p
         self.row = {w: i for i, w in enumerate(sorted(words))}
         self.score = p
@@ -194,10 +205,10 @@ class Reader:
                 f[7] = cover >= 0.6
             f[8] = said is not None
             if lang is not None:
-                s = self.languages(c)
-                own, s[lang] = s[lang], -1e9
-                margin = s.max() - own
-                f[9] = np.clip(margin / 4, -2, 2)
+                s = self.languages(c).tolist()
+                own = s.pop(lang)
+                margin = max(s) - own
+                f[9] = min(2.0, max(-2.0, margin / 4))
                 f[10] = margin > 4
                 f[11] = margin > 10
             last = i == len(parts) - 1
@@ -308,26 +319,9 @@ EXAMPLES = {
 class Model:
     """The reader and the fitted field."""
 
-    def __init__(self, entries: list[tuple[list[str], list[str]]], seed: int = 7):
+    def __init__(self, entries: list[tuple[list[str], list[str]]], langs: Languages, complete: set[str], seed: int = 7):
         rng = random.Random(seed)
         refusal = _patterns()[0]
-        texts = [" ".join(q) for q, _ in entries] + [a for _, ans in entries for a in ans]
-        langs = Languages(texts)
-        counts: Counter = Counter()
-        closed: set[str] = set()
-        for _, ans in entries:
-            for a in ans:
-                parts = clauses(a)
-                for c, _ in parts:
-                    counts[shape(c)] += 1
-                    if _ENDS.search(c):
-                        closed.add(shape(c))
-                if len(parts) == 1 and len(parts[0][0]) < 60 and not _ENDS.search(parts[0][0]):
-                    counts[shape(parts[0][0])] += 1
-                    if _HAN.search(a) and len(parts[0][0]) < 16:
-                        counts["~" + parts[0][0][-3:]] += 1
-        # short forms that recur, or also stand with a closing sign, are whole answers
-        complete = {s for s, n in counts.items() if len(s) < 60 and (n >= 4 or n >= 2 and (s in closed or s[0] == "~"))}
         self.reader = Reader(langs, complete)
         by_lang: dict[int, list[str]] = {}
         rows = []
@@ -410,13 +404,67 @@ def defect(tags: np.ndarray, size: np.ndarray) -> str | None:
     return None
 
 
+def _count(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """kind (0: a form, -1: entries, else the number of a language), key (a form or word), how often, and whether it stands closed, or unclosed at an end."""
+    for batch in it:
+        words: list[Counter] = [Counter() for _ in LANGUAGES]
+        forms: Counter = Counter()
+        closed: set[str] = set()
+        ends: set[str] = set()
+        for qs, answers in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+            texts = [a for a in answers or () if not empty(a)]
+            for t in (" ".join(q for q in qs if q), *texts):
+                if (hit := settled(t)) is not None:
+                    words[hit[0]].update(hit[1])
+            for a in texts:
+                parts = clauses(a)
+                for c, _ in parts:
+                    s = shape(c)
+                    if len(s) < 60:
+                        forms[s] += 1
+                        if _ENDS.search(c):
+                            closed.add(s)
+                c = parts[-1][0] if parts else ""
+                if c and len(c) < 60 and not _ENDS.search(c):
+                    ends.add(shape(c))
+                    if len(parts) == 1:
+                        forms[shape(c)] += 1
+                        if len(c) < 16 and _HAN.search(a):
+                            forms["~" + c[-3:]] += 1
+                            ends.add("~" + c[-3:])
+        rows = [(-1, "", batch.num_rows, False, False)]
+        rows += [(0, s, n, s in closed, s in ends) for s, n in forms.items()]
+        rows += [(k, w, n, False, False) for k, c in enumerate(words) for w, n in c.items()]
+        yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], t) for i, t in enumerate((pa.int32(), pa.string(), pa.int64(), pa.bool_(), pa.bool_()))], ["kind", "key", "n", "closed", "ends"])
+
+
+def statistics(entries: DataFrame) -> tuple[Languages, set[str]]:
+    """Languages, and the short forms that are whole answers, counted over all entries; of several rows of one id the latest counts."""
+    at = F.coalesce(F.col("updated_at").cast("string"), F.lit(""))
+    qs = F.concat(F.array("standard_question"), F.coalesce("similar_questions", F.array().cast("array<string>")))
+    one = entries.where("id is not null").groupBy("id").agg(F.max(F.struct(at.alias("at"), qs.alias("questions"), "answers")).alias("e")).select("e.questions", "e.answers")
+    counts = settle(one.mapInArrow(_count, "kind int, key string, n bigint, closed boolean, ends boolean").groupBy("kind", "key").agg(F.sum("n").alias("n"), F.max("closed").alias("closed"), F.max("ends").alias("ends")), "p2")
+    n = sum(r["n"] for r in counts.where("kind = -1").select("n").collect())
+    # short forms that recur, or also stand with a closing sign, are whole answers; in proportion, as
+    # in many entries any cut-off beginning comes again. Only those at an end without a sign are asked for.
+    times = max(1.0, n / RECURS_IN)
+    complete = {r["key"] for r in counts.where(f"kind = 0 and ends and (n >= {4 * times} or n >= {2 * times} and (closed or key like '~%'))").select("key").collect()}
+    words: list[dict[str, int]] = [{} for _ in LANGUAGES]
+    for r in counts.where("kind > 0 and n >= 2").select("kind", "key", "n").collect():
+        words[r["kind"]][r["key"]] = r["n"]
+    total = {r["kind"]: r["n"] for r in counts.where("kind > 0").groupBy("kind").agg(F.sum("n").alias("n")).collect()}
+    discard(counts)
+    return Languages(words, [total.get(k, 0) for k in range(len(LANGUAGES))]), complete
+
+
 def fit(entries: DataFrame, sample: int = SAMPLE) -> Model:
-    """The model from a sample of at most ``sample`` entries, chosen by the hash of their id."""
+    """The model: its statistics from all entries, its field from at most ``sample`` of them, chosen by the hash of their id."""
+    langs, complete = statistics(entries)
     some = entries.where("id is not null and standard_question is not null").select("id", "standard_question", "similar_questions", "answers")
     # only ids are ranked, so a partition sends no texts but those of the sample
     ids = some.select("id").distinct().orderBy(F.xxhash64("id"), "id").limit(sample)
     rows = sorted(some.join(F.broadcast(ids), "id").dropDuplicates(["id"]).collect(), key=lambda r: r["id"])
-    return Model([([r["standard_question"], *(q for q in r["similar_questions"] or () if q)], [a for a in r["answers"] or () if not empty(a)]) for r in rows])
+    return Model([([r["standard_question"], *(q for q in r["similar_questions"] or () if q)], [a for a in r["answers"] or () if not empty(a)]) for r in rows], langs, complete)
 
 
 def defective_answers(entries: DataFrame, sample: int = SAMPLE) -> DataFrame:

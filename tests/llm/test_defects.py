@@ -61,3 +61,14 @@ def test_held_out_accuracy(spark, sf):
     assert sum(tag(q, a[: -len(clauses(a)[-1][0]) // 2].rstrip()) == "truncated" for q, a in good) >= 0.9 * len(good)
     assert sum(tag(q, q) == "copied_question" for q, a in good) >= 0.95 * len(good)
     assert sum(tag(q, "作为智能助手，我无法回答这个问题。" if "，" in q else "I don't know; try asking another way.") == "refusal" for q, a in good) >= 0.95 * len(good)
+
+
+def test_statistics_cover_all_entries(spark, sf):
+    """Only the field is fitted on the sample: what is counted is the same for any."""
+    base = table(spark, sf, "faq_entries")
+    a, b = fit(base, 20).reader, fit(base, 200).reader
+    assert a.complete and a.complete == b.complete
+    assert a.languages.row == b.languages.row and (a.languages.score == b.languages.score).all()
+    # repeated rows count once
+    c = fit(base.unionAll(base), 20).reader
+    assert c.complete == a.complete and (c.languages.score == a.languages.score).all()
