@@ -14,10 +14,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder of ``spark.checkpoint.dir``; a local one only where none is set."""
+    """The folder of ``spark.checkpoint.dir``; an own one only where none is set and everything runs on this machine."""
     named = spark.conf.get("spark.checkpoint.dir", None)
     if named:
         return named.rstrip("/")
+    if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
+        raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
     own = os.environ.get("QUERN_SHARED_DIR")
     if not own:
         own = os.environ["QUERN_SHARED_DIR"] = tempfile.mkdtemp(prefix="quern-")
@@ -54,13 +56,11 @@ def discard(df: DataFrame) -> None:
 
 
 def spread(df: DataFrame) -> DataFrame:
-    """``df`` in as many partitions as there are cores, if it is a mere scan of fewer than half as many.
+    """``df``, a scan before costly work per row, in ``spark.quern.scanPartitions`` partitions if that is set.
 
-    For costly work per row on a table of few files; larger tables are left as
-    they are read, without a shuffle.
+    By default a table is worked on as it is read. The setting is for tables of
+    fewer files than cores, which would leave most cores idle; it costs a shuffle
+    of the rows read, at any size.
     """
-    plan = df._jdf.queryExecution().optimizedPlan().toString()
-    if any(x in plan for x in ("Join", "Aggregate", "Sort", "Window", "Repartition", "Distinct", "Limit", "Map")):
-        return df
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() * 2 <= cores else df
+    n = df.sparkSession.conf.get("spark.quern.scanPartitions", None)
+    return df.repartition(int(n)) if n else df
