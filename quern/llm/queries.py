@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from quern.llm import defects, leakage, lookalikes, packing, pigeonring, residue, splitting
 from quern.runtime import table
@@ -58,6 +59,17 @@ def p8_messages(spark: SparkSession, d: str) -> DataFrame:
     return residue.residue_messages(table(spark, d, "documents"))
 
 
+def p8_decided(spark: SparkSession, d: str) -> DataFrame:
+    """How many documents the shape of a message decides, and how many its recurrence."""
+    m = residue.residue_messages(table(spark, d, "documents"))
+    per = m.groupBy("doc_id").agg(F.max(F.col("decided") == "shape").alias("shape"), F.max(F.col("decided") == "recurrence").alias("recurrence"))
+    return per.groupBy("shape", "recurrence").agg(F.count("*").alias("n_docs"))
+
+
+def p8_groups(spark: SparkSession, d: str) -> DataFrame:
+    return residue.message_groups(table(spark, d, "documents")).groupBy("n_docs", "n_sources").agg(F.count("*").alias("n_groups"))
+
+
 # Only exact, regular facts are said in SQL; the rest is tested against brute force in tests/llm.
 ORACLE = {
     "p1_found": r"""

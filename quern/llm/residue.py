@@ -1,11 +1,12 @@
 """Template residue, filler, error pages and script notices in place of content.
 
-Texts are cut into messages (lines, and sentences within them). Numbers, dates
-and addresses are masked, and equal masked messages are grouped by their hash
-across documents and sources. Rules decide on the messages: a message that can
-only be residue counts wherever it stands, one that might also be ordinary
-wording counts only if it recurs widely. A cheap look at the first word, or at a
-few Chinese words, keeps the rules away from messages that none can match.
+Texts are cut into messages (lines, and sentences within them). Numbers, dates,
+addresses, paths and quoted values are masked, and all masked messages, whatever
+they say, are grouped by their hash across documents and sources, by partial
+counts. What recurs widely is classified once a group, by what its words are
+about: an object of the web that fails, scripts that have to be allowed, content
+that is still to come. Only shapes that no real text has, unfilled slots and
+pseudo-Latin, are residue in a single document.
 """
 
 from __future__ import annotations
@@ -15,13 +16,16 @@ from collections.abc import Iterator
 from functools import lru_cache
 
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quern.runtime import spread
+from quern.runtime import settle
 
 #: A message recurs widely if so many documents of so many sources hold it.
 MIN_DOCS, MIN_SOURCES = 3, 2
+#: Texts handed from one Arrow batch to Python at once.
+STEP = 256
 
 _NAME = r"[^\W\d][\w.\-]*"
 _TAGS = "a|abbr|article|aside|b|blockquote|body|br|button|code|dd|div|dl|dt|em|footer|form|h[1-6#]|head|header|hr|html|i|iframe|img|input|kbd|li|link|main|meta|nav|noscript|ol|option|p|pre|s|script|section|select|small|span|strong|style|sub|sup|svg|table|tbody|td|tfoot|th|thead|title|tr|u|ul|video"
@@ -29,192 +33,290 @@ _TAGS = "a|abbr|article|aside|b|blockquote|body|br|button|code|dd|div|dl|dt|em|f
 # The forms of an unfilled slot.
 SLOTS = [
     rf"\{{\{{\s*\$?{_NAME}(?: {_NAME})*\s*\}}\}}", rf"\[\[\s*{_NAME}(?: {_NAME})*\s*\]\]", rf"<<\s*{_NAME}(?: {_NAME})*\s*>>", rf"«{_NAME}»", r"\$\{[^{}\n]{1,60}\}", rf"%{_NAME}%",
-    r"<\?[^?<>\n]{1,60}\?>", r"<%[^%<>\n]{1,60}%>", r"%\([\w.\-]{1,40}\)[sd]", r"%\([\w.\-]{1,40}\)[sd]", rf"(?<![\w])__[^\W\d_][^\W_.\-]*(?:[_.\-][^\W_.\-]+)*__", rf"@@{_NAME}@@", rf"(?<![\w#])#{_NAME}#",
-    rf"(?<!\[)\[(?!(?:sic|NAME|note|ed|i|ii|iii|iv|v|vi|a|b|c|p|s|f|ff)\]){_NAME}\](?![\](])", r"\[[^\]\n]{1,40} (?:here|hier einsetzen|hier eintragen|aquí|ici)\](?!\()", r"\[[^\]\n]{1,40} (?:here|hier einsetzen|hier eintragen|aquí|ici)\](?!\()", r"\[(?:insert|enter|your|please|add|此处|请|待|hier|bitte|inserta|introduzca|insérer|indiquer|ici|aquí)[^\]\n]{0,60}\](?!\()",
+    r"<\?[^?<>\n]{1,60}\?>", r"<%[^%<>\n]{1,60}%>", r"%\([\w.\-]{1,40}\)[sd]", rf"(?<![\w])__[^\W\d_][^\W_.\-]*(?:[_.\-][^\W_.\-]+)*__", rf"@@{_NAME}@@", rf"(?<![\w#])#{_NAME}#",
+    rf"(?<!\[)\[(?!(?:sic|NAME|note|ed|i|ii|iii|iv|v|vi|a|b|c|p|s|f|ff)\]){_NAME}\](?![\](])", r"\[[^\]\n]{1,40} (?:here|hier einsetzen|hier eintragen|aquí|ici)\](?!\()", r"\[(?:insert|enter|your|please|add|此处|请|待|hier|bitte|inserta|introduzca|insérer|indiquer|ici|aquí)[^\]\n]{0,60}\](?!\()",
     rf"(?<![{{$\"])\{{\s*{_NAME}\s*\}}(?!\}})", rf"(?<!<)<(?!(?i:/|{_TAGS})\s*/?>){_NAME}>(?!>)", r"[（(]\s*(?:请填写|待填写|此处填|insert |please fill|bitte ausfüllen|bitte eintragen|por rellenar|rellenar|à compléter|à remplir)[^）)\n]{0,60}[）)]",
 ]
 # Words of sentences that speak about slots instead of leaving one.
 SPEAKS_OF = r"(?i)placeholder|\btemplate|merge field|\bthe (?:field|tag|variable)\b|\bthe mail run\b|platzhalter|vorlage|\bfeld\b|\bmarke\b|seriendruck|marcador|plantilla|\bcampo\b|\betiqueta|combinación|\bchamp\b|\bbalise|\brepère|modèle|publipostage|占位符|模板|字段|标记|标签|域"
 # The vocabulary of pseudo-Latin filler.
 LATIN = "lorem ipsum dolor dolore amet consectetur consectetuer adipiscing elit eiusmod tempor incididunt labore magna aliqua enim minim veniam quis nostrud exercitation ullamco laboris nisi aliquip commodo consequat duis aute irure reprehenderit voluptate velit cillum fugiat nulla pariatur excepteur sint occaecat cupidatat proident sunt culpa officia deserunt mollit anim laborum vestibulum pellentesque viverra morbi felis auctor dictum tempus nunc vitae curabitur maecenas suspendisse tincidunt faucibus pretium gravida sodales lectus quam massa urna molestie vulputate ultrices aliquet ornare pulvinar".split()
-# Messages that hold no content, as whole sentences in lower case with numbers masked.
-FILLER = [
-    r"replace this (?:paragraph|text|section)\b.*", r"(?:sample|dummy|placeholder|filler) (?:text|copy|content)\b(?: goes here|, do not publish|, please replace)?", r"(?:section )?content (?:pending|to follow|coming soon)\b.*", r"your text (?:goes )?here", r"insert (?:your )?text here",
-    r"hier (?:steht|kommt) (?:später )?(?:ihr|der) text", r"(?:blind|muster|platzhalter|füll)text\b(?:,? (?:bitte ersetzen|ohne bedeutung|nicht veröffentlichen|,)*)*", r"platzhalter für (?:die|den|das) \w+",
-    r"texto de (?:muestra|relleno|ejemplo)\b.{0,30}", r"su texto aquí", r"(?:contenido|resumen|texto) (?:pendiente|por completar)\b.{0,30}", r"texte d['’]exemple\b.{0,30}", r"faux texte\b.{0,30}", r"votre texte ici", r"(?:résumé|contenu|texte) à (?:compléter|venir)\b.{0,40}",
-    r"此处填写(?:正文|内容|文字)", r".{0,6}由.{1,8}稍后提供", r"内容待补充", r"占位文字.{0,12}", r"示例文字.{0,12}", r"请(?:替换|填写)此段.{0,8}",
-]
-_STATUS = r"(?:error |fehler |erreur |错误 ?)?(?:#|http #)?[ –:-]*"
-ERRORS = [
-    rf"{_STATUS}(?:bad gateway|not found|page not found|gateway time-?out|internal (?:server )?error|service unavailable|temporarily unavailable|forbidden|unauthorized|bad request|too many requests|method not allowed)",
-    rf"{_STATUS}(?:seite nicht gefunden|zeitüberschreitung am gateway|dienst nicht (?:erreichbar|verfügbar)|interner (?:server-?)?fehler|ungültige anfrage|(?:das )?gateway antwortet nicht|fehlerhaftes gateway)",
-    rf"{_STATUS}(?:p[áa]gina no encontrada|no encontrado|tiempo de espera agotado.*|servicio no disponible|error interno(?: del servidor)?|puerta de enlace .{{0,30}}|pasarela .{{0,30}})",
-    rf"{_STATUS}(?:page introuvable|introuvable|délai .{{0,20}}dépassé.*|service indisponible|erreur interne(?: du serveur)?|passerelle .{{0,30}}|mauvaise passerelle)",
-    rf"{_STATUS}(?:页面不存在|找不到页面|未找到(?:页面)?|服务不可用|网关超时|网关错误|内部(?:服务器)?错误|服务器(?:内部)?错误|错误的网关|禁止访问)",
-    r"(?:error|fehler|erreur|错误) ?#(?: [–-] .{2,30})?", r"#", r"(?:access denied|zugriff verweigert|acceso denegado|accès refusé|拒绝访问) ?[(（]#[)）]",
-    r"traceback \(most recent call last\):?", r"file \".{1,120}\", line #.*", r"\w*(?:error|exception): .{0,120}", r"(?:[a-z_]\w*\.)+\w*(?:exception|error)\b.{0,120}", r"at (?:[\w$]+\.)+[\w$<>]+\(.{0,60}\)", r"\{\s*\"?error\"?\s*:.*", r"(?:fatal|uncaught) (?:error|exception)\b.{0,120}",
-    r"something went wrong(?: on our side)?", r"the page you (?:asked for|requested|are looking for) (?:could not be|was not|cannot be) (?:located|found)", r"your session has (?:ended|expired).{0,40}", r"the server is (?:busy|overloaded).{0,40}", r"too many requests were sent.{0,40}",
-    r"the connection to the .{1,30} was lost", r"this document has been withdrawn or never existed", r"the link you followed has expired", r"you do not have permission to (?:open|view|access) .{1,30}", r"we are carrying out maintenance.{0,50}", r"an unexpected error (?:has )?occurred",
-    r"wegen wartungsarbeiten .{3,60}", r"es ist ein (?:unerwarteter )?fehler aufgetreten", r"die (?:aufgerufene|angeforderte) seite .{3,60}", r"ihre sitzung ist abgelaufen.{0,50}", r"der server ist (?:überlastet|ausgelastet).{0,50}", r"von dieser adresse kamen zu viele .{3,40}", r"zu viele anfragen.{0,50}", r"die verbindung zum \w+ ist abgerissen", r"dieses dokument wurde (?:zurückgezogen|entfernt).{0,50}", r"der link ist abgelaufen", r"für diesen eintrag fehlt ihnen die berechtigung", r"wir (?:arbeiten am system|führen wartung\w*|warten das system).{0,60}",
-    r"se ha producido un error(?: inesperado)?", r"la p[áa]gina solicitada .{3,60}", r"su sesión ha caducado.{0,50}", r"el servidor está (?:ocupado|saturado|sobrecargado).{0,50}", r"se enviaron demasiadas .{3,60}", r"demasiadas (?:peticiones|solicitudes).{0,60}", r"se (?:ha perdido|perdió) la conexión .{3,50}", r"este documento (?:se ha retirado|fue retirado|ha sido retirado).{0,50}", r"el enlace (?:ha caducado|caducó).{0,20}", r"no tiene permiso para .{3,50}", r"estamos en mantenimiento.{0,40}",
-    r"une erreur (?:inattendue )?(?:est survenue|s['’]est produite)", r"la page demandée .{3,60}", r"votre session a expiré.{0,40}", r"le serveur est (?:occupé|surchargé|saturé).{0,50}", r"trop de requêtes .{3,60}", r"le site est en maintenance.{0,40}", r"la connexion .{3,40} (?:a été )?(?:perdue|coupée|interrompue)", r"ce document a été retiré.{0,50}", r"le lien suivi a expiré", r"vous n['’](?:avez|êtes) pas .{0,10}(?:le droit|la permission|l['’]autorisation|autorisée?|les droits).{0,40}", r"(?:nous sommes en )?maintenance en cours.{0,50}", r"nous (?:effectuons|procédons à) .{0,20}maintenance.{0,50}",
-    r"系统发生(?:未知)?错误", r"您访问的页面.{2,20}", r"登录已过期.{0,12}", r"服务器繁忙.{0,12}", r".{0,8}请求过于频繁.{0,12}", r".{0,6}(?:请求|访问)(?:次数)?过多.{0,12}", r"与.{1,10}的连接(?:已)?(?:中断|断开)", r"该?(?:文档|文件)已(?:撤回|被撤回|删除).{0,12}", r"链接已经?失效", r"您没有权限.{0,12}", r"系统维护中.{0,12}",
-]
-SCRIPTS = [
-    r"(?:please |you need to |you must )?(?:enable|activate|turn on|allow) (?:javascript|js|scripts?|scripts and cookies)\b.{0,50}", r"(?:javascript|scripting|scripts?) (?:is|are) (?:turned off|disabled|required|needed)\b.{0,50}", r"(?:your|this) (?:browser|application|page|site) (?:does not run|needs|requires) (?:scripts?|javascript)\b.{0,60}", r"loading ?(?:…|\.\.\.).{0,80}", r"turn off the script blocker\b.{0,50}", r"switch it on and reload",
-    r"(?:bitte )?(?:aktivieren|erlauben|schalten) sie (?:bitte )?(?:javascript|js|skripte)\b.{0,50}", r"skripte? (?:sind|ist) (?:abgeschaltet|deaktiviert|ausgeschaltet)", r"ihr browser führt keine skripte aus.{0,50}", r"diese (?:anwendung|seite) benötigt (?:skripte|javascript).{0,50}", r"wird geladen ?(?:…|\.\.\.).{0,60}", r"schalten sie (?:den|ihren) skript-?blocker .{0,60}", r".{0,10}skript-?blocker .{0,50}(?:ab|aus|neu|laden).{0,30}",
-    r"(?:por favor,? )?(?:active|habilite|permita) (?:javascript|js|(?:los )?scripts)\b.{0,50}", r"los scripts están (?:desactivados|deshabilitados)", r"esta (?:aplicación|página) (?:necesita|requiere) (?:scripts|javascript).{0,50}", r"su navegador no ejecuta scripts.{0,50}", r"cargando ?(?:…|\.\.\.).{0,80}", r"(?:desactive|apague|quite) el bloqueador de scripts.{0,50}", r"actívelos y recargue",
-    r"(?:veuillez )?(?:activer|activez|autorisez|autoriser) (?:javascript|js|(?:les )?scripts)\b.{0,50}", r"les scripts sont désactivés", r"cette (?:application|page) (?:a besoin de|nécessite|requiert) .{0,10}(?:scripts|javascript).{0,50}", r"votre navigateur n['’]exécute pas les scripts.{0,50}", r"chargement ?(?:…|\.\.\.|en cours).{0,80}", r"(?:désactivez|coupez) le bloqueur de scripts.{0,50}", r"activez-les puis rechargez",
-    r"请(?:先)?(?:启用|开启|允许)(?:javascript|js|脚本).{0,20}", r"脚本功能已关闭.{0,16}", r"(?:您的)?浏览器未执行脚本.{0,16}", r"本(?:应用|页面|网站)需要(?:运行)?(?:脚本|javascript).{0,24}", r"(?:正在)?加载中? ?(?:…|\.\.\.).{0,40}", r"请(?:对此地址|为此地址|在此网址)?(?:关闭|停用).{0,10}脚本(?:拦截|屏蔽).{0,16}", r".{0,10}脚本(?:拦截|屏蔽)(?:器|程序|工具|插件).{0,16}刷新",
-]
-#: Residue only if they recur widely: wording that ordinary texts may use once.
-WEAK = [
-    r"text to follow", r"inhalt folgt", r"contenu à venir", r"contact the administrator of this site", r"back to the start page", r"the address may have been moved or removed", r"wenden sie sich an die administration", r"zur startseite", r"volver al inicio", r"avise al administrador del sitio", r"contactez l['’]administrateur du site", r"retour à l['’]accueil", r"返回首页", r"请联系网站管理员",
-    r"schalten sie sie ein und laden sie neu",
-]
 
-def _heads(spec: str) -> dict[str, frozenset[str] | None]:
-    """``word`` or ``word:second,second``: the beginnings of phrases."""
-    return {w: frozenset(more.split(",")) if more else None for w, _, more in (x.partition(":") for x in spec.split())}
-
-
-#: First words (and second ones after common words) of the phrases in Latin letters; a message that begins otherwise can't match.
-_FIRST = _heads(
-    "replace:this sample:text,copy,content dummy:text,copy,content placeholder:text,copy,content filler:text,copy,content section:content content your:text,session,browser insert:your,text hier:steht,kommt blindtext mustertext platzhaltertext fülltext platzhalter:für texto:de,pendiente,por su:texto,sesión,navegador contenido:pendiente,por resumen:pendiente,por texte:d'exemple,d’exemple,à faux:texte votre:texte,session,navigateur résumé:à contenu:à "
-    "error fehler erreur http bad:gateway,request not:found page:not,introuvable gateway:time-out,timeout internal:error,server service:unavailable,indisponible temporarily:unavailable forbidden unauthorized too:many method:not seite:nicht zeitüberschreitung:am dienst:nicht interner ungültige:anfrage fehlerhaftes:gateway página:no pagina:no no:encontrado,tiene tiempo:de servicio:no puerta:de pasarela introuvable délai passerelle mauvaise:passerelle "
-    "access:denied zugriff:verweigert acceso:denegado accès:refusé traceback file at fatal:error,exception uncaught:error,exception something:went the:page,server,connection,link,address this:document,browser,application,page,site we:are an:unexpected es:ist die:aufgerufene,angeforderte,verbindung ihre:sitzung der:server,link das:gateway von:dieser zu:viele dieses:dokument für:diesen wir:arbeiten,führen,warten wegen:wartungsarbeiten "
-    "se:ha,enviaron,perdió la:página,pagina,page,connexion el:servidor,enlace demasiadas este:documento estamos:en une:erreur le:serveur,lien,site trop:de ce:document vous:n'avez,n’avez,n'êtes,n’êtes nous:sommes,effectuons,procédons maintenance:en "
-    "please:enable,activate,turn,allow you:do,need,must enable:javascript,js,script,scripts activate:javascript,js,script,scripts turn:on,off allow:javascript,js,script,scripts javascript:is scripting:is,are scripts:is,are script:is loading switch:it bitte:aktivieren,erlauben,schalten aktivieren:sie erlauben:sie schalten:sie skript:ist skripte:sind ihr:browser diese:anwendung,seite wird:geladen skript-blocker skriptblocker "
-    "por:favor active:javascript,js,los,scripts habilite:javascript,js,los,scripts permita:javascript,js,los,scripts los:scripts esta:aplicación,página cargando desactive:el apague:el quite:el actívelos:y veuillez:activer,autoriser activer:javascript,js,les,scripts activez:javascript,js,les,scripts autorisez:javascript,js,les,scripts les:scripts cette:application,page chargement désactivez:le coupez:le activez-les:puis "
-    "text:to inhalt:folgt contact:the back:to wenden:sie zur:startseite volver:al avise:al contactez:l'administrateur,l’administrateur retour:à"
-)
-_CJK = re.compile("[脚加错页服请访登链权维占示填补稍替首管网连断撤删未J](?:本|载|误|面|务|求|问|录|接|限|护|位|例|写|充|后提供|换|页|理员|关|开|回|除|找到|avaScript)")
+# What the words of a message are about; stems in lower case, * for any ending, for en, de, fr, es, it, pt, nl and zh.
+CONCEPTS = {
+    "script": "javascript js script scripts scripting skript skripte skripten skript-blocker 脚本 javascripts",
+    "run": "enabl* activ* actív* aktivier* allow allows turn turned switch* permit* habilit* autoris* autoriz* erlaub* zulass* schalten einschalt* abgeschalt* ausgeschalt* deaktiv* disabl* désactiv* desactiv* deshabilit* disattiv* need needs requir* requier* requer* benötig* erforderlich necesit* nécessit* besoin block* bloqu* blockier* richiest* attiv* ativ* inschakel* run runs executes ejecuta exécut* führt esegue 启用 开启 允许 需要 关闭 停用 拦截 阻止 执行 屏蔽",
+    "reload": "reload* refresh* recarg* recharg* neu ricaric* 刷新",
+    "load": "loading cargando chargement geladen caricamento carregando laden 加载",
+    "web": "page pages site website server servers gateway backend proxy service session connection link url host requests address document item entry application seite server dienst sitzung verbindung link adresse dokument eintrag anfragen zugriff serveur connexion lien adresse requêtes passerelle élément accès página pagina sitio servidor servicio sesión conexión enlace dirección documento peticiones solicitudes pasarela elemento acceso sessione collegamento sessão ligação verbinding access permission berechtigung permiso droit autorisation inhalt 页面 网页 服务器 服务 会话 登录 连接 链接 文档 地址 请求 访问 网关 系统 网站 权限",
+    "hard": "unavailable unreachable expired ended timeout timed out lost overloaded busy withdrawn forbidden unauthorized denied maintenance failed failure moved abgelaufen überlastet unerreichbar zeitüberschreitung abgerissen unterbrochen zurückgezogen verweigert wartung* gewartet fehlt fehlgeschlagen introuvable indisponible expiré expirée saturé surchargé refusé interdit perdue interrompue retiré dépassé movido caducado expirado agotado perdido saturado ocupado sobrecargado retirado denegado mantenimiento scaduta scaduto manutenzione expirou manutenção verlopen onderhoud 找不到 失效 过期 超时 中断 断开 繁忙 撤回 拒绝 禁止 维护 不可用 丢 移走",
+    "deny": "not no never cannot n't nicht keine kein nie pas plus n' aucun no ningún nunca non não niet 不 没有 未 无",
+    "there": "found located exist exists existed available reachable respond responding open view permission gefunden gibt existiert verfügbar erreichbar abrufbar antwortet berechtigung trouvée trouvé existe disponible droit permis autorisation encontrada encontrado existe permiso trovata trovato gevonden 存在 找到 权限 响应",
+    "much": "many viele trop demasiadas demasiados troppe muitas 过多 频繁",
+    "fault": "wrong error fehler erreur errore erro fout exception 错误 异常",
+    "sudden": "wrong unexpected internal unknown fatal uncaught occurred unerwarteter interner unbekannter aufgetreten inattendue interne inconnue survenue inesperado interno desconocido producido imprevisto inesperado 未知 内部 发生 出现",
+    "draft": "sample dummy placeholder filler blindtext mustertext platzhaltertext platzhalter fülltext muestra relleno faux segnaposto exemplo 示例 占位 样本",
+    "piece": "blindtext mustertext platzhaltertext fülltext text copy content section paragraph summary page texto contenido resumen párrafo texte contenu résumé paragraphe inhalt abschnitt absatz zusammenfassung testo contenuto conteúdo tekst inhoud 文字 正文 内容 摘要 段落",
+    "later": "pending follow follows soon goes here replace folgt folgen hier später ersetzen eingefügt pendiente completar aquí sustituir reemplazar venir compléter ici remplacer qui sostituire substituir volgt 待补充 待定 稍后 此处 替换 填写 即将",
+    "again": "again later back while wait minutes später erneut noch tarde vuelva réessayez revenez tard intente riprova tentar 稍后 再试 恢复",
+}
+# Whole messages that say that something is still to be written.
+OPEN_MARKS = frozenset("tbd tba todo fixme n.n".split())
+# Words of sentences that tell a reader about such messages within real content.
+EXPLAINS = r"(?i)\b(?:only|solo|sólo|nur|exige|seulement|means|called|says|reads|if you see|customers?|example|for instance|bedeutet|heißt|meldung|kund(?:e|en|innen)|zum beispiel|signifie|message|clients?|par exemple|significa|mensaje|clientes?|por ejemplo)\b|表示|意思|提示语|客户|例如"
+
+_EDGE = "#>*•|_=~- \t\r\u00a0"
 _HAN = re.compile(r"[㐀-鿿]")
 # Entries of a site's navigation, which may stand before a message in the same line.
 _NAV = re.compile(r"(?:home|search|login|products|claims|imprint|start|anmelden|produkte|suche|impressum|leistungen|inicio|buscar|entrar|productos|siniestros|aviso|accueil|recherche|connexion|produits|sinistres|mentions|首页|登录|搜索|产品|理赔|版权)\b", re.I)
-_CAPITAL = re.compile(r"(?<=\s)[A-ZÀ-Þ{\d㐀-鿿]")
-_CODE = re.compile(r"[A-Z]\w*(?:Error|Exception)\b|\{\s*\"?error|(?:[a-z_]\w*\.)+\w*(?:Exception|Error)\b")
-_EDGE = "#>*•|_=~- \t\r\u00a0"
-
-_EDGE = "#>*•|_=~- \t\r\u00a0"
+_CAPITAL = re.compile(r"(?<=\s)[A-ZÀ-Þ{\d㐀-鿿<]")
+_IF = re.compile(r"\b(?:if|when|wenn|falls|sobald|si|lorsque|quand|cuando|se|als)\b|如果|若")
 _STOP = re.compile(r"[.!?](?=\s)|[。！？]")
 _TAG = re.compile(rf"</?(?:{_TAGS.replace('[1-6#]', '[1-6]')})(?:\s[^<>]*)?/?>", re.I)
 _ADDRESS = re.compile(r"\b(?:https?://|www\.)\S+|\b[\w.+-]+@[\w-]+\.[\w.]+|\b\d{1,3}(?:\.\d{1,3}){3}\b", re.I)
 _DATE = re.compile(r"\d{4}[-/.年]\d{1,2}[-/.月]\d{1,2}日?|\d{1,2}[./]\d{1,2}[./]\d{2,4}")
 _NUMBER = re.compile(r"\d+(?:[.,]\d+)*")
+#: A status code of the web, at the start of a line or after one word.
+_CODE = re.compile(r"(?m)^([\W_]*(?:[^\W\d]+ ?(?:#|http)? ?)?[ (（:]?)[45]\d\d(?=[)）]?(?:\s*[–:-]|\s+[^\W\d]|\s*[)）.。]?\s*$))")
+_PATH = re.compile(r"(?<![\w/])(?:/[\w.\-]+){2,}|\b(?:[A-Za-z_]\w+\.){2,}[\w$<>]+")
+_JSON_VALUE = re.compile(r":\s*\"[^\"]*\"?|(?<=: )'[^'\n]*'")
 _MAY_BE_SLOT = re.compile(r"[\[{<«%$@#_（(](?:(?<=[%#«])[^\W\d]|(?<=%)\(|(?<=[\[{<])[\[{<?%]?\s*\$?[^\W\d]|(?<=<)[?%]|(?<=\$)\{|(?<=@)@|(?<=_)_|(?<=[（(])\s*(?:请填|待填|此处填|insert|please|bitte|por|rellenar|à))")
+_SPLIT = re.compile(r"[\W\d_]+")
+_TICKED = re.compile(r"'[^'\n]*'")
 _QUOTED = re.compile(r"`[^`\n]*`|[\"“”„][^\"“”\n]{1,60}[\"“”]")
-_TITLE = re.compile("(?:" + "|".join(e for e in ERRORS[:8] if e != "#") + ")", re.I)
-_REFERENCE = re.compile(r"(?:reference|kennung|referencia|référence|参考编号|编号) ?[:：]", re.I)
 _WORDS = re.compile(r"[^\W\d_]+")
+_LATIN_WORDS = re.compile(r"[^\W\d_㐀-鿿]+")
+_TRACE = re.compile(r"traceback \(most recent call last\)|file \"?<path>\"?, line #|at <path>\(|(?:\w*(?:error|exception)|<path>(?:error|exception)?)(?:: .{0,80})?\Z|\{\s*\"?error\"?\s*:")
 _LATIN = frozenset(LATIN)
 
 
 @lru_cache(maxsize=1)
-def _rules() -> tuple[re.Pattern, re.Pattern, tuple[tuple[str, re.Pattern], ...]]:
-    one = lambda x: re.compile("(?:" + "|".join(x) + r")\Z")
-    return re.compile("|".join(SLOTS)), re.compile(SPEAKS_OF), (("filler", one(FILLER)), ("error", one(ERRORS)), ("script", one(SCRIPTS)), ("weak", one(WEAK)))
-
-
-def masked(message: str) -> str:
-    """Lower case, without markup, with addresses, dates and numbers masked and closing signs gone."""
-    return _mask(message).lower()
-
-
-def _mask(message: str) -> str:
-    m = _TAG.sub(" ", message.partition("©")[0] or message)
-    m = _NUMBER.sub("#", _DATE.sub("<date>", _ADDRESS.sub("<addr>", m) if "." in m and ("@" in m or "//" in m or "www" in m or m.count(".") > 2) else m))
-    return " ".join(m.split()).lstrip(">*•|_=~- ").rstrip(" .。!！?？|*_")
-
-
-def _begins(bare: str) -> bool:
-    """Whether a phrase may begin so."""
-    head = bare[:60].split(None, 2)
-    first = head[0].rstrip(":,.;…").lower()
-    if first in _FIRST:
-        second = _FIRST[first]
-        return second is None or len(head) > 1 and head[1].rstrip(":,.;").lower() in second
-    return first[:1].isdigit() or first == "<"
-
-
-def kind_of(message: str, slotty: bool = True, latin: bool = True, han: bool = True) -> tuple[str, str] | None:
-    """(kind, masked form) of one message, if a rule holds; the flags tell what its text may hold at all."""
-    slots, speaks, phrases = _rules()
-    if slotty and _MAY_BE_SLOT.search(message) and slots.search(message) and not speaks.search(message) and slots.search(_QUOTED.sub(" ", message)):
-        return "slot", masked(message)
-    bare = (_TAG.sub(" ", message) if "<" in message else message).lstrip(_EDGE)
-    if bare and (_begins(bare) or han and _CJK.search(bare) or ("rror" in bare or "xception" in bare) and _CODE.match(bare)):
-        m = masked(message)
-        forms = {m, m.lstrip("# ")} if m.startswith("#") else {m}
-        for kind, rule in phrases:
-            if any(x and x != "#" and rule.match(x) for x in forms):
-                return kind, m
-        # a title and the message that follows it in the same line: both must be residue
-        if (title := _TITLE.match(_mask(message))) is not None and (rest := _mask(message)[title.end() :].strip()) and not rest[0].islower() and (_REFERENCE.match(rest) or kind_of(rest, False, False, han)):
-            return "error", m
-    if message.startswith("#") or _NAV.match(bare):
-        # a heading or navigation runs into the message
-        for at in _CAPITAL.finditer(bare):
-            rest = bare[at.start() :]
-            if (rest[0] == "{" or _HAN.match(rest) or _begins(rest)) and (hit := kind_of(rest, False, False, han)):
-                return hit
-    if latin:
-        words = _WORDS.findall(bare.lower())
-        n = sum(w in _LATIN for w in words)
-        if n >= 2 and n * 4 >= len(words):
-            return "filler", masked(message)
+def _rules() -> tuple[re.Pattern, re.Pattern, re.Pattern]:
+    return re.compile("|".join(SLOTS)), re.compile(SPEAKS_OF), re.compile(EXPLAINS)
+
+
+@lru_cache(maxsize=1)
+def _lexicon() -> tuple[dict[str, frozenset[str]], list[tuple[str, frozenset[str]]], list[tuple[str, frozenset[str]]]]:
+    """Words, beginnings of words and Chinese strings with the concepts that each stands for."""
+    words: dict[str, set[str]] = {}
+    heads: dict[str, set[str]] = {}
+    signs: dict[str, set[str]] = {}
+    for concept, spec in CONCEPTS.items():
+        for w in spec.split():
+            into = signs if _HAN.match(w) else heads if w.endswith("*") else words
+            into.setdefault(w.rstrip("*"), set()).add(concept)
+    froze = lambda d: [(w, frozenset(c)) for w, c in d.items()]
+    return dict(froze(words)), froze(heads), froze(signs)
+
+
+@lru_cache(maxsize=1 << 16)
+def _word_concepts(word: str) -> frozenset[str]:
+    words, heads, _ = _lexicon()
+    out = set(words.get(word, ()))
+    for h, c in heads:
+        if word.startswith(h):
+            out |= c
+    return frozenset(out)
+
+
+def concepts(message: str) -> tuple[frozenset[str], int]:
+    """What the words of a masked message are about, and how many words it has (two Chinese signs count as one)."""
+    found: set[str] = set()
+    han = len(_HAN.findall(message)) if not message.isascii() else 0
+    words = _LATIN_WORDS.findall(message)
+    n = len(words) + (han + 1) // 2
+    for w in words:
+        found |= _word_concepts(w)
+    if han:
+        for s, c in _lexicon()[2]:
+            if s in message:
+                found |= c
+    return frozenset(found), n
+
+
+def kind_of_group(message: str) -> str | None:
+    """``error``, ``script`` or ``filler`` if a masked message that recurs widely can only stand in place of content."""
+    if _TRACE.match(message):
+        return "error"
+    has, n = concepts(message)
+    if message in OPEN_MARKS:
+        return "filler"
+    coded = "<code>" in message
+    if n > 24 or not (has or coded) or _rules()[2].search(message) or "load" not in has and _IF.search(message):
+        return None
+    # a title of the error page: its code with nothing or few words
+    if coded and (n <= 1 or n <= 6 and has & {"web", "hard", "fault", "deny"} or n <= 2 and "fault" in has):
+        return "error"
+    if "script" in has and has & {"run", "reload", "load", "hard"} or {"run", "reload"} <= has and n <= 10 or "load" in has and ("…" in message or "..." in message):
+        return "script"
+    if "web" in has and ("hard" in has or {"deny", "there"} <= has or {"deny", "much"} <= has or "much" in has and n <= 12):
+        return "error" if n <= 16 else None
+    if n <= 8 and ("fault" in has and has & {"sudden", "hard"} or {"hard", "sudden"} <= has) or n <= 12 and {"hard", "again"} <= has or n <= 3 and ({"deny", "there"} <= has or "hard" in has):
+        return "error"
+    if n <= 9 and ({"draft", "piece"} <= has or {"piece", "later"} <= has or {"draft", "later"} <= has or "draft" in has and "deny" in has):
+        return "filler"
     return None
 
 
+@lru_cache(maxsize=1)
+def _stems():
+    """Automatons of all that a group has to hold for any rule, in Latin letters (between blanks) and Chinese: what lacks it needn't be shown to the rules."""
+    import ahocorasick
+
+    latin, han = ahocorasick.Automaton(), ahocorasick.Automaton()
+    for concept in ("script", "reload", "load", "hard", "there", "much", "fault", "draft", "later"):
+        for w in CONCEPTS[concept].split():
+            han.add_word(w.rstrip("*"), 1)
+            latin.add_word(f" {w}".rstrip("*") if w.endswith("*") else f" {w} ", 1)
+    for w in ("code", "path", "traceback", *OPEN_MARKS):
+        han.add_word(w, 1)
+        latin.add_word(f" {w} ", 1)
+    for a in (latin, han):
+        a.add_word("exception", 1)
+        a.add_word("error", 1)
+        a.make_automaton()
+    return latin.iter, han.iter
+
+
+def _may(m: str) -> bool:
+    latin, han = _stems()
+    if not m.isascii() and _HAN.search(m):
+        return next(han(m), None) is not None
+    return next(latin(f" {_SPLIT.sub(' ', m)} "), None) is not None
+
+
+def masked(text: str) -> str:
+    """``text`` without markup, with status codes, addresses, dates, paths and numbers masked."""
+    if "<" in text:
+        text = _TAG.sub("\n", text)
+    if "/" in text or "." in text:
+        text = _PATH.sub("<path>", _ADDRESS.sub("<addr>", text))
+    if '{"' in text or "{'" in text:
+        text = "\n".join(_JSON_VALUE.sub(": <q>", x) if x.lstrip()[:1] == "{" else x for x in text.split("\n"))
+    return _NUMBER.sub("#", _DATE.sub("<date>", _CODE.sub(r"\1<code>", text)))
+
+
 def messages(text: str) -> Iterator[str]:
     """The lines of a text, and the sentences of each."""
     for line in text.split("\n"):
         at = 0
-        for m in _STOP.finditer(line):
-            yield line[at : m.end()]
-            at = m.end()
+        if line.lstrip()[:1] != "{":
+            for m in _STOP.finditer(line):
+                yield line[at : m.end()]
+                at = m.end()
         if at < len(line):
             yield line[at:]
 
 
-def _look(text: str) -> set[tuple[str, str]]:
-    """The (kind, masked form) of all residue messages of a text."""
+def form(message: str) -> str:
+    """A masked message in lower case without bullets, closing signs and quoted names."""
+    m = message.partition("©")[0] or message
+    m = " ".join(m.lower().split()).lstrip(_EDGE).rstrip(" .。!！?？|*_")
+    return _TICKED.sub("<q>", m) if "'" in m and ":" in m else m
+
+
+def slots(text: str) -> list[str]:
+    """The messages of a text with an unfilled slot, with numbers masked."""
+    rule, speaks, _ = _rules()
     if "<" in text:
         text = _TAG.sub("\n", text)
-    slotty = _MAY_BE_SLOT.search(text) is not None
-    latin = len(_LATIN.intersection(text.lower().split())) > 1
-    han = not text.isascii() and _HAN.search(text) is not None and _CJK.search(text) is not None
-    return {hit for message in messages(text) if not message.isspace() and (hit := kind_of(message, slotty, latin, han)) is not None}
+    if _MAY_BE_SLOT.search(text) is None:
+        return []
+    return [form(_NUMBER.sub("#", m)) for m in messages(text) if _MAY_BE_SLOT.search(m) and rule.search(m) and not speaks.search(m) and rule.search(_QUOTED.sub(" ", m))]
 
 
-def residue_messages(docs: DataFrame, min_docs: int = MIN_DOCS, min_sources: int = MIN_SOURCES, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
-    """doc_id, kind, message: each residue message of each document, with numbers masked, once.
+def _filler(m: str) -> bool:
+    words = _WORDS.findall(m)
+    n = sum(w in _LATIN for w in words)
+    return n >= 2 and n * 4 >= len(words)
 
-    kind is ``slot``, ``filler``, ``error``, ``script`` or ``boilerplate`` (a weak
-    message that at least ``min_docs`` documents of ``min_sources`` sources
-    hold; null is a source of its own). Null and empty texts and rows without an
-    id give no row; repeated documents count once.
-    """
-    kind = docs.schema[id_col].dataType.simpleString()
+
+def _look(text: str) -> tuple[dict[str, bool], list[tuple[str, str]]]:
+    """The forms of all messages of a text, whether a rule could hold for each, and the (kind, form) of those that are residue by their shape."""
+    out: dict[str, bool] = {}
+    sure = [("slot", m) for m in slots(text)]
+    latin = len(_LATIN.intersection(text.lower().split())) > 1
+    for message in messages(masked(text)):
+        m = form(message)
+        if not m:
+            continue
+        out[m] = _may(m)
+        if latin and _filler(m):
+            sure.append(("filler", m))
+        elif out[m] and _STOP.search(message) is None and m.count(" ") < 40:
+            # a heading, a line of navigation or a title may run into the message that follows it
+            bare = message.lstrip(_EDGE)
+            lead = message.startswith("#") or _NAV.match(bare) is not None
+            for at in _CAPITAL.finditer(bare):
+                if lead or kind_of_group(form(bare[: at.start()])):
+                    if (rest := form(bare[at.start() :])) and _may(rest):
+                        out[rest] = True
+    return out, sure
+
+
+def _messages(docs: DataFrame, id_col: str, text_col: str, source_col: str) -> DataFrame:
+    """doc_id, source, h, form, kind: one row for each message of each document; form only where a rule could hold or kind is certain."""
+    id_type = docs.schema[id_col].dataType.simpleString()
     src = docs.where(F.col(id_col).isNotNull() & (F.length(text_col) > 0)).select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(source_col), F.lit("")).alias("source"), F.col(text_col).alias("text"))
 
     def look(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in it:
+            for lo in range(0, whole.num_rows, STEP):
+                batch = whole.slice(lo, STEP)
+                at, hashes, forms, kinds = [], [], [], []
+                for i, text in enumerate(batch.column(2).to_pylist()):
+                    seen, sure = _look(text)
+                    for m, may in seen.items():
+                        at.append(i)
+                        hashes.append(xxhash.xxh64_intdigest(m) - (1 << 63))
+                        forms.append(m if may else None)
+                        kinds.append(None)
+                    for kind, m in sure:
+                        at.append(i)
+                        hashes.append(xxhash.xxh64_intdigest(m) - (1 << 63))
+                        forms.append(m)
+                        kinds.append(kind)
+                take = pa.array(at, pa.int64())
+                yield pa.RecordBatch.from_arrays([batch.column(0).take(take), batch.column(1).take(take), pa.array(hashes, pa.int64()), pa.array(forms, pa.string()), pa.array(kinds, pa.string())], ["doc_id", "source", "h", "form", "kind"])
+
+    return src.mapInArrow(look, f"doc_id {id_type}, source string, h bigint, form string, kind string")
+
+
+def _counts(m: DataFrame) -> DataFrame:
+    """h, n_docs, n_sources, form of each group; counted from partial counts, so one message in a third of all documents is no hot group."""
+    per = m.where("kind is null").select("h", "source", "doc_id").distinct().groupBy("h", "source").agg(F.count("*").alias("n"))
+    return per.groupBy("h").agg(F.sum("n").alias("n_docs"), F.count("*").alias("n_sources"))
+
+
+def message_groups(docs: DataFrame, min_docs: int = MIN_DOCS, min_sources: int = MIN_SOURCES, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
+    """h, n_docs, n_sources: the groups of equal masked messages that at least ``min_docs`` documents of ``min_sources`` sources hold (null is a source of its own)."""
+    return _counts(_messages(docs, id_col, text_col, source_col)).where((F.col("n_docs") >= min_docs) & (F.col("n_sources") >= min_sources))
+
+
+def residue_messages(docs: DataFrame, min_docs: int = MIN_DOCS, min_sources: int = MIN_SOURCES, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
+    """doc_id, kind, message, decided, n_docs, n_sources: each residue message of each document, masked, once.
+
+    kind is ``slot``, ``filler``, ``error`` or ``script``; decided is ``shape``
+    for slots and pseudo-Latin, which hold in a single document, and
+    ``recurrence`` for messages of groups that at least ``min_docs`` documents of
+    ``min_sources`` sources hold (null is a source of its own); only for these
+    the counts are given. Null and empty texts and rows without an id give no
+    row; repeated documents count once.
+    """
+    m = settle(_messages(docs, id_col, text_col, source_col), "messages")
+    wide = _counts(m).where((F.col("n_docs") >= min_docs) & (F.col("n_sources") >= min_sources))
+    forms = m.where("kind is null and form is not null").groupBy("h").agg(F.max("form").alias("form"))
+
+    def classify(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in it:
-            at, kinds, messages = [], [], []
-            for i, text in enumerate(batch.column(2).to_pylist()):
-                for k, m in sorted(_look(text)):
-                    at.append(i)
-                    kinds.append(k)
-                    messages.append(m)
-            take = pa.array(at, pa.int64())
-            yield pa.RecordBatch.from_arrays([batch.column(0).take(take), batch.column(1).take(take), pa.array(kinds, pa.string()), pa.array(messages, pa.string())], ["doc_id", "source", "kind", "message"])
-
-    seg = spread(src).mapInArrow(look, f"doc_id {kind}, source string, kind string, message string").distinct().withColumn("h", F.xxhash64("message"))
-    # counts are made from partial ones, so one message in a third of all documents is no hot group
-    wide = seg.groupBy("h").agg(F.count("*").alias("n"), F.min("source").alias("s0"), F.max("source").alias("s1"), F.approx_count_distinct("source").alias("s"))
-    wide = wide.where((F.col("n") >= min_docs) & (F.greatest(F.col("s"), F.when(F.col("s0") != F.col("s1"), 2).otherwise(1)) >= min_sources)).select("h", F.lit(True).alias("wide"))
-    out = seg.join(wide, "h", "left").where("kind <> 'weak' or wide")
-    return out.select("doc_id", F.when(F.col("kind") == "weak", "boilerplate").otherwise(F.col("kind")).alias("kind"), "message").distinct()
+            kinds = pa.array([kind_of_group(f) for f in batch.column(1).to_pylist()], pa.string())
+            yield pa.RecordBatch.from_arrays([*batch.columns, kinds], [*batch.schema.names, "kind"]).filter(kinds.is_valid())
+
+    groups = wide.join(forms, "h").select("h", "form", "n_docs", "n_sources").mapInArrow(classify, "h bigint, form string, n_docs bigint, n_sources bigint, kind string")
+    hits = m.where("kind is null and form is not null").select("h", "doc_id").join(groups, "h").select("doc_id", "kind", F.col("form").alias("message"), F.lit("recurrence").alias("decided"), "n_docs", "n_sources")
+    none = F.lit(None).cast("long")
+    shapes = m.where("kind is not null").select("doc_id", "kind", F.col("form").alias("message"), F.lit("shape").alias("decided"), none.alias("n_docs"), none.alias("n_sources"))
+    return hits.unionByName(shapes).distinct()
 
 
 def residue_documents(docs: DataFrame, **kw) -> DataFrame:
