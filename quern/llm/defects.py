@@ -6,13 +6,16 @@ unfinished. What share of an answer the tags cover decides on its defect.
 
 The field is fitted here, on a bounded sample of entries: their own answers,
 and copies of these that are broken on purpose (cut off, replaced by a question,
-by an answer in another language or by a refusal), are its labelled rows.
+by an answer in another language, known or made up, or by a refusal), are its
+labelled rows. No list of refusals is matched: the field weighs who speaks, what
+is denied, whether anything particular is named, and hashed words.
 """
 
 from __future__ import annotations
 
 import random
 import re
+import zlib
 from collections import Counter
 from collections.abc import Iterator
 from functools import lru_cache
@@ -28,6 +31,10 @@ from quern.runtime import discard, settle, spread
 SAMPLE = 2000
 #: A short form recurs if it stands 4 times in so many entries, or more in proportion.
 RECURS_IN = 2000
+#: Labelled rows that small tables are brought to, by breaking each answer more than once.
+LEAST_ROWS = 1500
+#: The most frequent words of the languages that the model keeps.
+VOCABULARY = 300_000
 ANSWER, REFUSAL, ECHO, FOREIGN, UNFINISHED = range(5)
 
 # Frequent words that tell the languages of the sample apart.
@@ -37,20 +44,24 @@ SEEDS = {
     "fr": "le la les et est pour de du des avec dans une un si ne pas au aux sur qui que quand comment pourquoi chez ou après avant l d".split(),
     "es": "el la los las y es para de del con en una un si no al por quién qué cuándo cómo cuál o después antes desde hasta".split(),
 }
-# Words by which a refusal says that it won't or can't answer.
-REFUSALS = [
-    r"\bi (?:can(?:no|['’])t|cannot|am not able to|am unable to|must not|may not|am not allowed to|would rather not|(?:do not|don['’]t) know|have no (?:information|answer|idea)|was not trained|won['’]t) ?(?:answer|help|assist|comment|give|provide|about|for|that|this|discuss|at the moment|\b)",
-    r"\bno answer to this is available\b", r"\bthis goes beyond what i\b", r"\bmy knowledge does not\b", r"\b(?:outside|beyond) (?:of )?my (?:knowledge|scope)\b",
-    r"\b(?:kann|möchte|darf|will) ich (?:leider )?(?:nicht|nichts|keine)\b", r"\bich (?:kann|möchte|darf|will) .{0,40}\b(?:nicht|nichts|keine)\b.{0,20}\b(?:beantworten|sagen|helfen|antworten|auskunft)\b", r"\b(?:weiß|weiss) ich (?:leider )?nicht\b", r"\bich weiß (?:es|das) (?:leider )?nicht\b", r"\bliegen mir keine\b", r"\breicht mein wissen nicht\b", r"\bwurde ich nicht (?:trainiert|ausgebildet|geschult)\b", r"\bübersteigt mein(?:en?)?\b",
-    r"\bje ne (?:peux|sais|suis|dispose|veux|souhaite)\b.{0,12}\b(?:pas|rien)\b", r"\bje n['’](?:ai|en) .{0,12}\b(?:aucune|pas|sais)\b", r"\bje préfère ne pas\b", r"\bcela dépasse mes\b", r"\bdépasse (?:mes|le cadre de mes)\b", r"\baucune réponse (?:ne m['’]est|n['’]est)\b", r"\bje n['’]ai pas été (?:formée?|entraînée?|conçue?)\b", r"\bmes connaissances ne\b", r"\bne m['’]est pas permis\b",
-    r"\bno (?:puedo|sé|tengo|debo|quiero)\b(?= (?:responder|contestar|ayudar|información|dar|hablar|comentar|opinar|nada|ninguna|respuesta|conocimiento))", r"\bno lo sé\b", r"\bno se me permite\b", r"\bprefiero no\b", r"\bsupera mis conocimientos\b", r"\bmis conocimientos no\b", r"\bno (?:me|fui|he sido) (?:entrenad|formad|preparad|diseñad)\w+", r"\bno dispongo de (?:información|respuesta)\b", r"\bno hay respuesta .{0,20}disponible\b",
-    r"我(?:无法|不能|不便|不清楚|不知道|不了解|没有这方面|没有相关|不方便|没有接受过|未(?:接受|受)过|帮不上|没法)", r"我帮不上忙", r"超出了?我的(?:知识|能力)", r"我的知识(?:范围)?(?:不|没|未)", r"没有可提供的答案|暂无(?:此|该)问题的答案|没有.{0,6}训练", r"恕(?:我)?(?:无法|不能|难)",
-]
-# Openings and endings that often go with a refusal, but also with answers.
-ASIDE = [
-    r"^(?:i['’]?m sorry|i am sorry|i apologi[sz]e|sorry|unfortunately|to be honest|honestly|as an assistant|as an ai|thank you for asking|thanks for)", r"(?:please )?turn to an expert|ask(?:ing)? (?:an expert|another way)|is there anything else", r"^(?:es tut mir leid|leider|ehrlich gesagt|als assisten|danke für die frage|offen gesagt)", r"wenden sie sich|versuchen sie es anders|sonst etwas tun|fragen sie (?:bitte )?eine", r"^(?:je suis désolée?|malheureusement|désolée?|pour être honnête|en tant qu['’]assistant|merci pour votre question|hélas)", r"autre chose|adressez-vous|essayez autrement|reformulez|consultez un",
-    r"^(?:lo siento|lamento|lamentablemente|sinceramente|como asistente|gracias por preguntar|por desgracia)", r"¿?algo más|consulte a|pruebe de otra|pregunte de otra", r"^(?:很抱歉|抱歉|遗憾|对不起|感谢提问|作为(?:智能)?助手|坦白说|老实说)", r"请咨询|换个方式|还有别的问题",
-]
+# Classes of words that the field weighs; what combination of them is a refusal is learnt.
+CLASSES = {
+    "person": "i me my myself we us our ich mir mich mein meine meinen meinem wir uns unser je me moi mes mon ma nous notre yo mi mis nosotros assistant assistent assistenzsystem asistente",
+    "no": "not no t cannot never none nothing unable without beyond outside exceeds lack lacks refuse decline nicht nichts kein keine keinen keinerlei nie weder außerhalb übersteigt unmöglich leider pas rien aucun aucune jamais ni dépasse hors incapable impossible refuse ne n no ni nada ningún ninguna nunca supera fuera incapaz imposible",
+    "may": "can could able may must might allowed permitted would rather will won want kann könnte darf möchte will muss dürfen können peux puis peut pouvons autorisé autorisée permis souhaite préfère veux dois puedo puede podemos debo permite permitido prefiero quiero",
+    "say": "answer answers answering say tell comment comments help assist discuss know knowledge information info details detail trained response respond reply advise advice idea clue speak talk topic question questions matter subject beantworten antworten antwort sagen helfen weiß wissen kenntnis kenntnisse auskunft auskünfte angaben information informationen frage fragen thema anliegen äußern stellung sprechen hilfe répondre réponse dire aider sais savoir connaissances connaissance information informations sujet question questions prononcer parler commenter renseigner renseignements idée contestar responder respuesta decir ayudar sé saber conocimiento conocimientos información tema pregunta preguntas hablar opinar comentar ayuda consulta idea datos",
+    "aside": "sorry apologize apologise unfortunately regrettably afraid honest honestly thank thanks asking expert specialist otherwise tut leid ehrlich danke bedauere fachperson désolé désolée malheureusement hélas honnête merci spécialiste regrette siento lamento lamentablemente desgracia sinceramente gracias especialista",
+}
+# The same classes in Chinese.
+HAN_CLASSES = {"person": "我 咱 助手 本人", "no": "不 无 没 未 恕 超出 难以 拒绝 暂无", "may": "能 可以 便 法 会", "say": "回答 答案 答复 知道 清楚 了解 帮 讨论 信息 知识 话题 提供 评论 告知 训练 资料 奉告", "aside": "抱歉 遗憾 对不起 感谢 坦白 老实 咨询 换个 还有别的"}
+_CLASS_NAMES = list(CLASSES)
+_OF_WORD: dict[str, int] = {}
+for _k, _ws in enumerate(CLASSES.values()):
+    for _w in _ws.split():
+        _OF_WORD[_w] = _OF_WORD.get(_w, 0) | 1 << _k
+_OF_HAN = [tuple(HAN_CLASSES[k].split()) for k in _CLASS_NAMES]
+#: Hashed words and pairs of words of clauses with some word of the classes.
+HASHED = 192
 # Openings that announce a question that is given back.
 ANNOUNCE = r"^(?:(?:the|your) question (?:is|was|reads)|you (?:ask(?:ed)?|want to know)|question|die frage (?:lautet|war)|ihre frage|sie (?:fragen|wollen wissen)|frage|la question (?:est|était)|votre question|vous (?:demandez|voulez savoir)|question posée|la pregunta (?:es|era)|su pregunta|usted pregunta|pregunta|您(?:的问题|想知道|问)|问题(?:是)?|关于您的问题)\b ?[:：,，]?"
 # Answers without content.
@@ -64,14 +75,31 @@ _ENDS = re.compile(r"[.!?。！？][\"'”’»)）\]]*\s*\Z")
 _MARKUP = re.compile(r"^\s*(?:[-*•–]|\d+[.)])\s+")
 _DIGITS = re.compile(r"\d+(?:[.,]\d+)*")
 _NAMES = re.compile(r"[A-ZÀ-Þ](?:(?<=\S .)\w+(?:-\d+)?(?: [A-ZÀ-Þ]\w+)*|(?<=[A-Z])(?<![A-Za-z].)[A-Z]-#)")
-# Words of which a refusal must hold one; others needn't be searched.
-_MAY_REFUSE = frozenset("i this my no ich mir mein meine meinen je j n cela mes m aucune ne lo me prefiero supera mis nicht".split())
-_HAN_MAY_REFUSE = re.compile("[我恕没暂]")
+_LOWER = re.compile(r"(?<!\w)[^\W\d_A-ZÀ-Þ㐀-鿿][^\W\d_]+")
+_NAMED = re.compile(r"\d|(?<=[a-zß-ÿ,;:] )[A-ZÀ-Þ]\w+ [A-ZÀ-Þ]\w")
 
 
 @lru_cache(maxsize=1)
-def _patterns():
-    return re.compile("|".join(REFUSALS)), re.compile("|".join(ASIDE)), re.compile(ANNOUNCE, re.I)
+def _announce() -> re.Pattern:
+    return re.compile(ANNOUNCE, re.I)
+
+
+def said_of(clause: str, words: list[str]) -> int:
+    """The classes that the words of a clause belong to, as bits."""
+    bits = 0
+    get = _OF_WORD.get
+    for w in words:
+        bits |= get(w, 0)
+    if not clause.isascii() and _HAN.search(clause):
+        for k, signs in enumerate(_OF_HAN):
+            if any(x in clause for x in signs):
+                bits |= 1 << k
+    return bits
+
+
+@lru_cache(maxsize=1 << 17)
+def _bucket(gram: str) -> int:
+    return zlib.crc32(gram.encode()) % HASHED
 
 
 def empty(answer: str | None) -> bool:
@@ -137,6 +165,17 @@ class Languages:
         p = np.clip(p - p.mean(1, keepdims=True), -4, 4) if len(p) else p
         self.row = {w: i for i, w in enumerate(sorted(words))}
         self.score = p
+        self.known = [frozenset(), *({*counts[k], *SEEDS[self.names[k]]} for k in range(1, len(self.names)))]
+
+    def strange(self, text: str, lang: int) -> float:
+        """The share of a text's words in small (or caseless) letters that no text of the language holds; 0 for few words."""
+        words = _LOWER.findall(text)
+        if len(words) < 4:
+            return 0.0
+        if lang == 0:
+            return 0.0 if _HAN.search(text) else 1.0
+        known = self.known[lang]
+        return sum(w not in known for w in words) / len(words)
 
     def __call__(self, text: str) -> np.ndarray:
         """Scores of zh, en, de, fr, es."""
@@ -161,7 +200,9 @@ class Languages:
         return out
 
 
-N_FEATURES = 22
+#: Features told by rules of their own; hashed words follow.
+BASE = 39
+N_FEATURES = BASE + HASHED
 
 
 class Reader:
@@ -176,13 +217,12 @@ class Reader:
 
     def __call__(self, entry, text: str) -> tuple[np.ndarray, np.ndarray]:
         """Features (n, N_FEATURES) and lengths of the clauses."""
-        refusal, aside, announce = _patterns()
+        announce = _announce()
         sets, lang = entry
         parts = clauses(text)
         x = np.zeros((len(parts), N_FEATURES), np.float32)
         size = np.zeros(len(parts), np.float32)
         for i, (c, item) in enumerate(parts):
-            low = c.lower()
             said = announce.match(c)
             body = c[said.end() :] if said else c
             ts = tokens(body)
@@ -190,10 +230,6 @@ class Reader:
             size[i] = len(c)
             f = x[i]
             f[0] = 1
-            if uniq & _MAY_REFUSE or not c.isascii() and _HAN_MAY_REFUSE.search(c):
-                f[1] = refusal.search(low) is not None
-            if n <= 24:
-                f[2] = aside.search(low) is not None
             if uniq and sets:
                 inter = [len(uniq & q) for q in sets]
                 inside = max(inter) / len(uniq)
@@ -203,6 +239,30 @@ class Reader:
                 f[5] = inside >= 0.9 and n >= 4
                 f[6] = cover
                 f[7] = cover >= 0.6
+            han = not c.isascii() and _HAN.search(c) is not None
+            about = said_of(c, _WORD.findall(c.lower()) if han else ts)
+            if about:
+                person, no, may, say, aside = (about >> k & 1 for k in range(5))
+                plain = _NAMED.search(c) is None and f[3] < 0.5
+                f[1] = no and say
+                f[2] = aside
+                f[22], f[23], f[24], f[25] = person, no, may, say
+                f[26] = no and say and plain
+                f[27] = no and say and person
+                f[28] = no and say and plain and (person or may)
+                f[29] = no and say and n <= 18
+                f[30] = plain and not (no and say)
+                f[31] = no and not say
+                f[32] = not plain
+                f[36] = no and person and may and plain and n <= 14
+                f[37] = no and say and n > 20
+                f[38] = no and plain and n <= 14
+                if plain and (no or say or aside) and n <= 40:
+                    last_word = ""
+                    for w in ts:
+                        f[BASE + _bucket(w)] = 1
+                        f[BASE + _bucket(f"{last_word} {w}")] = 1
+                        last_word = w
             f[8] = said is not None
             if lang is not None:
                 s = self.languages(c).tolist()
@@ -211,9 +271,12 @@ class Reader:
                 f[9] = min(2.0, max(-2.0, margin / 4))
                 f[10] = margin > 4
                 f[11] = margin > 10
+                odd = self.languages.strange(c, lang)
+                f[33] = odd
+                f[34] = odd > 0.6
+                f[35] = odd > 0.85
             last = i == len(parts) - 1
             done = _ENDS.search(c) is not None
-            han = not c.isascii() and _HAN.search(c) is not None
             known = last and not done and len(c) < 60 and (shape(c) in self.complete or han and len(parts) == 1 and "~" + c[-3:] in self.complete)
             long = n >= (9 if han else 6)
             f[12] = last
@@ -306,30 +369,45 @@ class Field:
         return out
 
 
-# Refusals the field learns from, in each language of the seeds and in Chinese.
+# The refusals that the field learns from, put together of openings, cores and closings.
 EXAMPLES = {
-    "en": ["I'm sorry, but I can't answer this question.", "I have no information about this topic. Please turn to an expert.", "I don't know; try asking another way.", "As an assistant, I must not comment on this.", "Thank you for asking, however no answer to this is available to me."],
-    "de": ["Es tut mir leid, aber dazu kann ich nichts sagen.", "Das weiß ich nicht. Kann ich sonst etwas tun?", "Darüber liegen mir keine Angaben vor.", "Ehrlich gesagt möchte ich darauf nicht antworten; versuchen Sie es anders."],
-    "fr": ["Je suis désolé, mais je ne peux pas répondre à cette question.", "Je préfère ne pas me prononcer. Puis-je faire autre chose ?", "En tant qu'assistant, je n'ai aucune information à ce sujet.", "Cela dépasse mes connaissances pour le moment."],
-    "es": ["Lo siento, pero no puedo ayudar con esta petición.", "No lo sé. Consulte a un especialista.", "Como asistente, no tengo información sobre este tema.", "Prefiero no contestar. ¿Algo más?"],
-    "zh": ["很抱歉，我无法回答这个问题。", "我没有这方面的信息。请咨询专业人士。", "作为智能助手，我不能讨论这个话题，请换个方式提问。", "这超出了我的知识范围。"],
+    "en": (["", "I'm sorry, but ", "Unfortunately ", "As an assistant, ", "Thank you for asking, however ", "To be honest, "], ["I can't answer this question", "I have no information about this topic", "I don't know", "I must not comment on this", "no answer to this is available to me", "we are unable to help with this request", "that is outside my knowledge", "I decline to say more about this subject", "I would rather not go into that", "I cannot handle this request"], ["", "", " Please turn to an expert.", " Is there anything else?"]),
+    "de": (["", "Es tut mir leid, aber ", "Leider ", "Ehrlich gesagt ", "Danke für die Frage, doch "], ["dazu kann ich nichts sagen", "das weiß ich nicht", "darüber liegen mir keine Angaben vor", "darauf möchte ich nicht eingehen", "diese Frage können wir nicht beantworten", "das liegt außerhalb meiner Kenntnisse", "hierzu gibt es von uns keine Auskunft"], ["", "", " Kann ich sonst etwas tun?", " Bitte fragen Sie eine Fachperson."]),
+    "fr": (["", "Je suis désolé, mais ", "Malheureusement ", "En tant qu'assistant, ", "Merci de votre question, toutefois "], ["je ne peux pas répondre à cette question", "je préfère ne pas me prononcer", "je n'ai aucune information à ce sujet", "cela dépasse mes connaissances", "nous ne savons pas", "je ne peux pas traiter cette demande", "il m'est impossible de vous aider", "aucune réponse n'est possible de notre part"], ["", "", " Puis-je faire autre chose ?", " Adressez-vous à un spécialiste."]),
+    "es": (["", "Lo siento, pero ", "Lamentablemente ", "Como asistente, ", "Gracias por preguntar, sin embargo "], ["no puedo ayudar con esta petición", "no lo sé", "no tengo información sobre este tema", "prefiero no contestar", "no puedo atender esta petición", "eso supera mis conocimientos", "no nos es posible responder a esta pregunta", "no hay datos que podamos dar"], ["", "", " Consulte a un especialista.", " ¿Algo más?"]),
+    "zh": (["", "很抱歉，", "遗憾的是，", "作为智能助手，", "感谢提问，不过"], ["我无法回答这个问题", "我没有这方面的信息", "我不能讨论这个话题", "这超出了我的知识范围", "我不清楚", "这个请求我帮不上忙", "目前没有答案可以提供"], ["", "", "请咨询专业人士。", "还有别的问题吗？"]),
 }
 
 
+def refusal(lang: str, rng: random.Random) -> str:
+    before, core, after = (rng.choice(x) for x in EXAMPLES[lang])
+    text = before + core
+    return text[0].upper() + text[1:] + ("。" if lang == "zh" else ".") + after
+
+
+def strange_words(text: str, rng: random.Random) -> str:
+    """A text as in a language that nobody knows: the letters of each word changed by one rule."""
+    vowels, rest = list("aeiouy"), list("bcdfghjklmnprstvwz")
+    to = dict(zip(vowels, rng.sample(vowels, len(vowels)))) | dict(zip(rest, rng.sample(rest, len(rest))))
+    return _LOWER.sub(lambda m: "".join(to.get(x, x) for x in m[0]), text)
+
+
 class Model:
     """The reader and the fitted field."""
 
     def __init__(self, entries: list[tuple[list[str], list[str]]], langs: Languages, complete: set[str], seed: int = 7):
         rng = random.Random(seed)
-        refusal = _patterns()[0]
         self.reader = Reader(langs, complete)
         by_lang: dict[int, list[str]] = {}
         rows = []
         for q, ans in entries:
             e = self.reader.entry(q)
             for a in ans:
-                if not refusal.search(a.lower()) and e[1] is not None:
+                if e[1] is not None:
                     x, _ = self.reader(e, a)
+                    # what may be a refusal, or in an unknown language, is no sure answer
+                    if len(x) and ((x[:, 26] * x[:, 29] + x[:, 36]).any() or x[:, 34].any()):
+                        continue
                     if len(x) and _ENDS.search(a) and not (x[:, 10].any() or x[:, 4].any() or x[:, 13].any()):
                         rows.append((q, e, a))
                         by_lang.setdefault(int(e[1]), []).append(a)
@@ -346,13 +424,13 @@ class Model:
                 seqs.append(x)
                 tags.append(t)
 
-        for q, e, a in rows:
+        # few entries are broken in several ways each
+        for q, e, a in rows * max(1, min(8, LEAST_ROWS // max(1, len(rows)))):
             learn(e, a, ANSWER)
             kind = rng.randrange(5)
             own = rng.choice([t for t in q if t])
             if kind == 0:
-                lang = langs.names[e[1]]
-                text = rng.choice(EXAMPLES[lang])
+                text = refusal(langs.names[e[1]] if rng.random() < 0.8 else rng.choice(langs.names), rng)
                 if rng.random() < 0.3:
                     k = len(clauses(own))
                     learn(e, f"{own} {text}", [ECHO] * k + [REFUSAL] * 9)
@@ -368,6 +446,8 @@ class Model:
             elif kind == 2:
                 k = len(clauses(own))
                 learn(e, f"{own} {a}", [ECHO] * k)
+            elif kind == 3 and e[1] and rng.random() < 0.3:
+                learn(e, strange_words(a, rng), FOREIGN)
             elif kind == 3:
                 others = [v for k, v in by_lang.items() if k != e[1]]
                 if others:
@@ -450,7 +530,7 @@ def statistics(entries: DataFrame) -> tuple[Languages, set[str]]:
     times = max(1.0, n / RECURS_IN)
     complete = {r["key"] for r in counts.where(f"kind = 0 and ends and (n >= {4 * times} or n >= {2 * times} and (closed or key like '~%'))").select("key").collect()}
     words: list[dict[str, int]] = [{} for _ in LANGUAGES]
-    for r in counts.where("kind > 0 and n >= 2").select("kind", "key", "n").collect():
+    for r in counts.where("kind > 0 and n >= 2").select("kind", "key", "n").orderBy(F.desc("n"), "kind", "key").limit(VOCABULARY).collect():
         words[r["kind"]][r["key"]] = r["n"]
     total = {r["kind"]: r["n"] for r in counts.where("kind > 0").groupBy("kind").agg(F.sum("n").alias("n")).collect()}
     discard(counts)
@@ -460,10 +540,12 @@ def statistics(entries: DataFrame) -> tuple[Languages, set[str]]:
 def fit(entries: DataFrame, sample: int = SAMPLE) -> Model:
     """The model: its statistics from all entries, its field from at most ``sample`` of them, chosen by the hash of their id."""
     langs, complete = statistics(entries)
-    some = entries.where("id is not null and standard_question is not null").select("id", "standard_question", "similar_questions", "answers")
+    some = entries.where("id is not null and standard_question is not null").select("id", "standard_question", "similar_questions", "answers", "updated_at")
     # only ids are ranked, so a partition sends no texts but those of the sample
     ids = some.select("id").distinct().orderBy(F.xxhash64("id"), "id").limit(sample)
-    rows = sorted(some.join(F.broadcast(ids), "id").dropDuplicates(["id"]).collect(), key=lambda r: r["id"])
+    at = F.coalesce(F.col("updated_at").cast("string"), F.lit(""))
+    one = some.join(F.broadcast(ids), "id").groupBy("id").agg(F.max(F.struct(at.alias("at"), "standard_question", "similar_questions", "answers")).alias("e"))
+    rows = sorted(one.select("id", "e.*").collect(), key=lambda r: r["id"])
     return Model([([r["standard_question"], *(q for q in r["similar_questions"] or () if q)], [a for a in r["answers"] or () if not empty(a)]) for r in rows], langs, complete)
 
 

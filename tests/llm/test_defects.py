@@ -1,4 +1,4 @@
-from quern.llm.defects import Field, Model, clauses, defect, defective_answers, empty, fit
+from quern.llm.defects import EXAMPLES, Field, Model, clauses, defect, defective_answers, empty, fit
 from quern.runtime import table
 
 SCHEMA = "id bigint, standard_question string, similar_questions array<string>, answers array<string>, updated_at timestamp_ntz, extra string"
@@ -63,6 +63,30 @@ def test_held_out_accuracy(spark, sf):
     assert sum(tag(q, "作为智能助手，我无法回答这个问题。" if "，" in q else "I don't know; try asking another way.") == "refusal" for q, a in good) >= 0.95 * len(good)
 
 
+# Wordings that stand in no list and none of the rows the field is fitted on.
+REFUSALS = {
+    "How long does the insurer need to settle the hospital daily allowance with my contract?": ["No comment.", "We have no details on this matter.", "Unable to provide a response.", "I would prefer not to get into that.", "There is nothing I can tell you about this.", "That's not something I can discuss.", "My apologies, I lack the information to reply.", "I'm afraid I have no idea.", "This question cannot be answered by me."],
+    "Wie lange braucht der Versicherer, um die Todesfallleistung mit meinem Vertrag abzurechnen?": ["Dazu gebe ich keine Antwort.", "Leider fehlen mir die Angaben, ich weiß es nicht.", "Wir können Ihnen hierbei nicht helfen."],
+    "Combien de temps faut-il pour régler le capital décès avec mon contrat si le traitement a eu lieu ici ?": ["Aucune idée.", "Nous ne pouvons pas vous renseigner.", "Je ne dispose d'aucune réponse."],
+    "¿Cuánto tarda la aseguradora en liquidar la suma asegurada de mi contrato si la empresa cierra?": ["Ni idea.", "No podemos dar ninguna respuesta.", "No tengo conocimiento de ello."],
+    "保险公司处理我的住院津贴要多久？": ["恕难奉告。", "我们无法提供这方面的资料。", "我不知道答案。"],
+}
+ANSWERS = ["No.", "29 days", "We cannot pay for treatment in Wesford without receipt ZD-6716, but the rider covers the rest.", "Unfortunately the claim expires after 154 days; send form PU-5404 before.", "No, the rider must be requested in writing.", "Sorry for the delay: Ulmdelari Foundry pays 1,645 units within 232 days.", "The insurer checks the list of excluded treatments if a second opinion contradicts the first; no fee is charged for this step."]
+OTHER = ["Ubezpieczyciel wypłaca świadczenie w ciągu trzydziestu dni od otrzymania dokumentów.", "Страховая компания выплачивает пособие в течение тридцати дней.", "De verzekeraar betaalt de uitkering binnen dertig dagen na ontvangst van de stukken.", "保险公司在三十天内支付住院津贴。"]
+
+
+def test_unseen_wordings(spark, sf):
+    """Refusals and languages that the field has never met."""
+    model = fit(table(spark, sf.replace("0.001", "0.01"), "faq_entries"), 600)
+    tag = lambda q, a: defect(*model.tags([(model.reader.entry([q]), a)])[0])
+    got = [(a, tag(q, a)) for q, texts in REFUSALS.items() for a in texts]
+    assert all(any(core in a for _, cores, _ in EXAMPLES.values() for core in cores) is False for a, _ in got)
+    assert sum(d == "refusal" for _, d in got) >= 0.9 * len(got), [g for g in got if g[1] != "refusal"]
+    q = next(iter(REFUSALS))
+    assert [a for a in ANSWERS if tag(q, a)] == []
+    assert [a for a in OTHER if tag(q, a) != "other_language"] == []
+
+
 def test_statistics_cover_all_entries(spark, sf):
     """Only the field is fitted on the sample: what is counted is the same for any."""
     base = table(spark, sf, "faq_entries")
