@@ -1,18 +1,18 @@
 """Packing texts into containers of fixed capacity along a space-filling curve.
 
 Each text becomes its tokens in a public tokenizer. The tokens, hashed into a
-vector and projected to a few dimensions, give a place on a Hilbert curve, and a
-range sort by that place brings similar texts together. Every range is packed as
-it streams by: a bounded window of neighbouring texts fills containers by best
-fit in falling order, and containers that are not yet full stay open for the
-following windows. Only a text larger than the capacity is split.
+vector and projected to a few dimensions, give a place on a Hilbert curve. The
+curve is cut into segments of about equal weight, by counts alone, so the result
+doesn't depend on partitions. Along a segment a container takes the texts as
+they come; where the next one doesn't fit, the room left is filled with the best
+fitting ones of a small window ahead. Only a text larger than the capacity is
+split.
 """
 
 from __future__ import annotations
 
 import base64
 import os
-from bisect import bisect_left, insort
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -30,8 +30,12 @@ TOKENIZER = "byte_bpe_50k.tiktoken"
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 
 HASHED, DIMS, BITS = 512, 4, 8
-#: Texts that are packed together at once, and containers that may stay open.
-WINDOW, OPEN = 4096, 256
+#: Texts ahead on the curve that may fill the room that a container has left.
+WINDOW = 128
+#: Tokens in a segment of the curve; the last container of each may stay unfilled.
+SEGMENT = 1 << 20
+#: The curve is counted in so many cells.
+CELL_BITS = 16
 
 
 @lru_cache(maxsize=2)
@@ -113,35 +117,57 @@ def measured(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", fo
     return spread(src).mapInArrow(run, f"doc_id {kind}, n_tokens int, place bigint")
 
 
-class Packer:
-    """Best fit over a stream of windows: containers that are not full stay open, the fullest leave first."""
-
-    def __init__(self, capacity: int, open_limit: int = OPEN):
-        self.capacity, self.limit = capacity, open_limit
-        self.room: list[tuple[int, int]] = []  # (room left, container), sorted
-        self.next = 0
-
-    def window(self, sizes: np.ndarray) -> np.ndarray:
-        """The container of each item; each item is at most the capacity."""
-        out = np.empty(len(sizes), np.int64)
-        for i in np.argsort(-sizes, kind="stable"):
-            s = int(sizes[i])
-            k = bisect_left(self.room, (s, -1))
-            if k < len(self.room):
-                left, c = self.room.pop(k)
-            else:
-                left, c = self.capacity, self.next
-                self.next += 1
-            out[i] = c
-            if left > s:
-                insort(self.room, (left - s, c))
-        if len(self.room) > self.limit:
-            # those with the least room can take the least more
-            del self.room[: len(self.room) - self.limit]
-        return out
-
-
-def pack(docs: DataFrame, budgets: DataFrame, id_col: str = "doc_id", text_col: str = "text", folder: str = TOKENIZER_DIR, name: str = TOKENIZER, window: int = WINDOW) -> DataFrame:
+def walk(sizes: np.ndarray, capacity: int, window: int = WINDOW) -> tuple[np.ndarray, int]:
+    """The container of each item (none larger than the capacity) in the order of the curve, and how many there are."""
+    n = len(sizes)
+    out = np.empty(n, np.int64)
+    ahead = np.arange(min(n, window))
+    size = sizes[ahead]
+    nxt, k = len(ahead), 0
+    while len(ahead):
+        # the run of next items that fit
+        total = np.cumsum(size)
+        run = int(np.searchsorted(total, capacity, "right"))
+        taken = np.zeros(len(ahead), bool)
+        taken[:run] = True
+        room = capacity - int(total[run - 1])
+        while room > 0:
+            fits = np.where(~taken & (size <= room), size, 0)
+            best = int(fits.argmax())  # the nearest of the best fitting
+            if not fits[best]:
+                break
+            taken[best] = True
+            room -= int(size[best])
+        out[ahead[taken]] = k
+        k += 1
+        more = np.arange(nxt, min(n, nxt + int(taken.sum())))
+        nxt += len(more)
+        ahead = np.concatenate([ahead[~taken], more])
+        size = sizes[ahead]
+    return out, k
+
+
+def segments(m: DataFrame, weight: int = SEGMENT) -> DataFrame:
+    """``m`` with segment bigint: contiguous cells of the curve of about ``weight`` tokens together; a cell heavier than that is cut by a hash of the ids."""
+    cell = F.shiftright("place", DIMS * BITS - CELL_BITS).cast("int")
+    spark = m.sparkSession
+    # at most 2^CELL_BITS rows
+    cells = sorted((r["cell"], r["n"]) for r in m.groupBy(cell.alias("cell")).agg(F.sum(F.greatest("n_tokens", F.lit(1))).alias("n")).collect())
+    rows, at, held = [], -1, weight
+    for c, n in cells:
+        if held + n > weight:
+            at, held = at + 1, 0
+        cut = -(-n // weight)
+        rows.append((c, at, cut))
+        held += n
+        if cut > 1:
+            at, held = at + cut - 1, weight
+    plan = spark.createDataFrame(rows, "cell int, segment bigint, cuts bigint")
+    j = m.withColumn("cell", cell).join(F.broadcast(plan), "cell")
+    return j.withColumn("segment", F.col("segment") + F.pmod(F.xxhash64("doc_id"), F.col("cuts"))).drop("cell", "cuts")
+
+
+def pack(docs: DataFrame, budgets: DataFrame, id_col: str = "doc_id", text_col: str = "text", folder: str = TOKENIZER_DIR, name: str = TOKENIZER, window: int = WINDOW, weight: int = SEGMENT) -> DataFrame:
     """budget, container_id, doc_id, piece_no, from_token, n_tokens, capacity: the container of each text, for each budget.
 
     A text within the capacity is one piece and never split; a larger one gives
@@ -156,53 +182,49 @@ def pack(docs: DataFrame, budgets: DataFrame, id_col: str = "doc_id", text_col:
         raise ValueError("more than 1000 budgets")
     kind = docs.schema[id_col].dataType.simpleString()
 
-    def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        from pyspark import TaskContext
-
-        part = TaskContext.get().partitionId()
-        packers = [Packer(c) for _, c in caps]
-
-        def flush(ids: pa.Array, size: np.ndarray) -> Iterator[pa.RecordBatch]:
-            for (budget, cap), packer in zip(caps, packers):
-                full = size // cap
-                rest = size - full * cap
-                # whole pieces have a container each; a text of exactly the capacity is one piece
-                whole = np.repeat(np.arange(len(size)), full)
-                first = np.concatenate(([0], np.cumsum(full)))[:-1]
-                no = np.arange(len(whole)) - np.repeat(first, full)
-                own = np.arange(packer.next, packer.next + len(whole))
-                packer.next += len(whole)
-                some = np.flatnonzero(rest)
-                held = packer.window(rest[some])
-                none = np.flatnonzero(size == 0)
-                at = np.concatenate([whole, some, none])
-                c = [f"{budget}-{part}-{k}" for k in np.concatenate([own, held]).tolist()] + [""] * len(none)
-                piece = np.concatenate([no + 1, full[some] + 1, np.ones(len(none), np.int64)])
-                n = np.concatenate([np.full(len(whole), cap), rest[some], np.zeros(len(none), np.int64)])
-                start = np.concatenate([no * cap, full[some] * cap, np.zeros(len(none), np.int64)])
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([budget] * len(at), pa.string()), pa.array(c, pa.string()), ids.take(pa.array(at)), pa.array(piece.astype(np.int32)), pa.array(start.astype(np.int32)), pa.array(n.astype(np.int32)), pa.array(np.full(len(at), cap, np.int32))],
-                    ["budget", "container_id", "doc_id", "piece_no", "from_token", "n_tokens", "capacity"],
-                )
+    def flush(segment: int, ids: pa.Array, size: np.ndarray) -> Iterator[pa.RecordBatch]:
+        for budget, cap in caps:
+            full = size // cap
+            rest = size - full * cap
+            # whole pieces have a container each; a text of exactly the capacity is one piece
+            whole = np.repeat(np.arange(len(size)), full)
+            first = np.concatenate(([0], np.cumsum(full)))[:-1]
+            no = np.arange(len(whole)) - np.repeat(first, full)
+            some = np.flatnonzero(rest)
+            held, n_held = walk(rest[some], cap, window)
+            none = np.flatnonzero(size == 0)
+            at = np.concatenate([whole, some, none])
+            c = [f"{budget}-{segment}-{k}" for k in np.concatenate([n_held + np.arange(len(whole)), held]).tolist()] + [""] * len(none)
+            piece = np.concatenate([no + 1, full[some] + 1, np.ones(len(none), np.int64)])
+            n = np.concatenate([np.full(len(whole), cap), rest[some], np.zeros(len(none), np.int64)])
+            start = np.concatenate([no * cap, full[some] * cap, np.zeros(len(none), np.int64)])
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([budget] * len(at), pa.string()), pa.array(c, pa.string()), ids.take(pa.array(at)), pa.array(piece.astype(np.int32)), pa.array(start.astype(np.int32)), pa.array(n.astype(np.int32)), pa.array(np.full(len(at), cap, np.int32))],
+                ["budget", "container_id", "doc_id", "piece_no", "from_token", "n_tokens", "capacity"],
+            )
 
+    def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[pa.RecordBatch] = []
-        rows = 0
+        now = None
         for batch in it:
-            held.append(batch)
-            rows += batch.num_rows
-            if rows >= window:
-                t = pa.Table.from_batches(held).combine_chunks()
-                for lo in range(0, rows - window + 1, window):
-                    p = t.slice(lo, window)
-                    yield from flush(p.column(0).combine_chunks(), p.column(1).to_numpy().astype(np.int64))
-                left = t.slice(rows - rows % window)
-                held, rows = left.to_batches(), left.num_rows
-        if rows:
+            of = batch.column(0).to_numpy()
+            cuts = np.flatnonzero(np.diff(of)) + 1
+            for lo, hi in zip([0, *cuts.tolist()], [*cuts.tolist(), len(of)]):
+                if lo == hi:
+                    continue
+                if held and of[lo] != now:
+                    t = pa.Table.from_batches(held).combine_chunks()
+                    yield from flush(int(now), t.column(1).combine_chunks(), t.column(2).to_numpy().astype(np.int64))
+                    held = []
+                now = of[lo]
+                held.append(batch.slice(lo, hi - lo))
+        if held:
             t = pa.Table.from_batches(held).combine_chunks()
-            yield from flush(t.column(0).combine_chunks(), t.column(1).to_numpy().astype(np.int64))
+            yield from flush(int(now), t.column(1).combine_chunks(), t.column(2).to_numpy().astype(np.int64))
 
-    # a range sort reads its input twice: the tokens are counted only once
+    # the tokens are counted only once
     m = settle(measured(docs, id_col, text_col, folder, name), "measured")
-    # equal places are ordered by a hash, so copies of one text are no hot range
-    ordered = m.withColumn("salt", F.xxhash64("doc_id")).repartitionByRange("place", "salt").sortWithinPartitions("place", "salt", "doc_id", "n_tokens").select("doc_id", "n_tokens")
+    # equal places are ordered by a hash; a segment, at most twice its weight, is one group
+    s = segments(m, weight).withColumn("salt", F.xxhash64("doc_id"))
+    ordered = s.repartition("segment").sortWithinPartitions("segment", "place", "salt", "doc_id", "n_tokens").select("segment", "doc_id", "n_tokens")
     return ordered.mapInArrow(run, f"budget string, container_id string, doc_id {kind}, piece_no int, from_token int, n_tokens int, capacity int")
