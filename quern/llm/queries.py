@@ -12,7 +12,18 @@ from quern.runtime import table
 
 
 def p1_pieces(spark: SparkSession, d: str) -> DataFrame:
-    return splitting.split_requests(table(spark, d, "read_requests"), table(spark, d, "knowledge_bases")).dropDuplicates(["request_id", "piece_no"])
+    return splitting.split_requests(splitting.latest_requests(table(spark, d, "read_requests")), table(spark, d, "knowledge_bases"))
+
+
+def p1_rebuilt(spark: SparkSession, d: str) -> DataFrame:
+    """What the pieces of each request must keep: their own parts make the text again, none is too large, each has its overlap."""
+    bases = table(spark, d, "knowledge_bases").select("knowledge_base_id", "chunk_size", "chunk_overlap")
+    asked = splitting.latest_requests(table(spark, d, "read_requests")).join(bases, "knowledge_base_id", "left").select("request_id", F.when(F.col("chunk_size") >= 1, F.col("chunk_size")).otherwise(512).alias("size"), F.coalesce("chunk_overlap", F.lit(80)).alias("overlap"))
+    own = F.struct("core_at", F.expr("substring(text, core_at - start_at + 1)").alias("own"))
+    per = p1_pieces(spark, d).join(asked, "request_id").groupBy("request_id").agg(
+        F.max(F.col("n_chars") - F.col("size")).alias("over"), F.min(F.col("core_at") - F.col("start_at") - F.least("overlap", "core_at")).alias("spare"), F.array_sort(F.collect_list(own)).alias("parts"), F.max("end_at").alias("chars")
+    )
+    return per.select("request_id", "chars", (F.col("over") <= 0).alias("fits"), (F.col("spare") >= 0).alias("overlaps"), F.md5(F.array_join("parts.own", "")).alias("digest"))
 
 
 def p1_found(spark: SparkSession, d: str) -> DataFrame:
@@ -76,6 +87,10 @@ ORACLE = {
 WITH r AS (SELECT DISTINCT request_id, knowledge_base_id, decode(file_content) AS raw FROM read_requests WHERE octet_length(file_content) > 0),
 t AS (SELECT request_id, CASE WHEN starts_with(raw, chr(65279)) THEN substring(raw, 2) ELSE raw END AS x, CASE WHEN chunk_size >= 1 THEN chunk_size ELSE 512 END AS size, separators FROM r LEFT JOIN knowledge_bases USING (knowledge_base_id))
 SELECT request_id, CASE WHEN list_max(list_transform(string_split(list_reduce(list_concat([x], separators), lambda a, s: replace(a, s, chr(1))), chr(1)), lambda p: length(p))) > size THEN 'forced' ELSE 'natural' END AS cut FROM t WHERE length(x) > size""",
+    "p1_rebuilt": """
+WITH r AS (SELECT DISTINCT request_id, decode(file_content) AS raw FROM read_requests WHERE octet_length(file_content) > 0),
+t AS (SELECT request_id, CASE WHEN starts_with(raw, chr(65279)) THEN substring(raw, 2) ELSE raw END AS x FROM r)
+SELECT request_id, length(x)::INT AS chars, TRUE AS fits, TRUE AS overlaps, md5(x) AS digest FROM t WHERE x <> ''""",
     "p5_found": r"""
 WITH e AS (SELECT id, arg_max(list_concat([standard_question], coalesce(similar_questions, [])), coalesce(updated_at, TIMESTAMP '0001-01-01')) AS qs FROM faq_entries GROUP BY id),
 q AS (SELECT id, lower(unnest(qs)) AS q FROM e), w AS (SELECT id, q, regexp_extract_all(q, '[\p{L}\p{N}_]+') AS ws FROM q WHERE q IS NOT NULL),

@@ -4,7 +4,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import types as T
 
-from quern.llm.splitting import oversized, split_requests, split_text
+from quern.llm.splitting import latest_requests, oversized, split_requests, split_text
 
 REQ = T.StructType([T.StructField("request_id", T.StringType()), T.StructField("knowledge_base_id", T.StringType()), T.StructField("file_content", T.BinaryType()), T.StructField("text", T.StringType())])
 KB = "knowledge_base_id string, chunk_size int, chunk_overlap int, separators array<string>, text string"
@@ -16,9 +16,14 @@ def test_pieces_cover_the_text(text, size, overlap, seps):
     cuts, forced = split_text(text, size, overlap, seps)
     assert "".join(text[c:b] for _, c, b, _ in cuts) == text
     assert all(0 < b - a <= size for a, _, b, _ in cuts)
-    overlap = min(overlap, size // 2)
+    overlap = min(overlap, size - 1)
+    slack = min(32, (size - overlap) // 4)
     for (_, _, e, _), (a, c, b, _) in zip(cuts, cuts[1:]):
-        assert c == e and c - a == min(overlap, c, size - (b - c))
+        # every piece has the overlap that was asked for, or a little more to begin with a word
+        assert c == e and min(overlap, c) <= c - a <= overlap + slack
+        at = c - overlap
+        if 0 < overlap < c and any(not (text[p - 1].isalnum() and text[p].isalnum()) for p in range(max(1, at - slack), at + 1)):
+            assert not (text[a - 1].isalnum() and text[a].isalnum()) or a == 0
     if len(text) > size:
         parts = re.split("|".join(map(re.escape, sorted(seps, key=len, reverse=True))), text) if seps else [text]
         assert forced == any(len(p) > size for p in parts)
@@ -42,6 +47,15 @@ def test_table(spark):
     assert oversized(split_requests(df, kb.limit(0))).count() == 2
 
 
+def test_latest_request_counts(spark):
+    import datetime as dt
+
+    t = dt.datetime(2024, 1, 1)
+    rows = [("a", "k", b"old " * 10, t), ("a", "k", b"new", t + dt.timedelta(1)), ("a", "k", b"new", t + dt.timedelta(1)), ("b", "k", b"x", None), (None, None, None, None)]
+    got = {(r.request_id, bytes(r.file_content or b"")) for r in latest_requests(spark.createDataFrame(rows, "request_id string, knowledge_base_id string, file_content binary, received_at timestamp_ntz")).collect()}
+    assert got == {("a", b"new"), ("b", b"x"), (None, b"")}
+
+
 def test_long_text_is_fast():
     text = ("word " * 9 + "\n") * 20_000
     cuts, _ = split_text(text, 512, 80, ["\n\n", "\n"])
