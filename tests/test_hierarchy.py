@@ -50,10 +50,26 @@ def test_paths_and_descendants(spark):
 
 
 @pytest.mark.parametrize("seed", [1, 2])
-def test_random(spark, seed):
+@pytest.mark.parametrize("finish", [1 << 20, 20])
+def test_random(spark, seed, finish):
+    """Also with so small a limit of the last task that peeling and contraction need many rounds."""
     rng = random.Random(seed)
     rows = [(f"k{i}", None if rng.random() < 0.1 else f"k{rng.randrange(200)}", i) for i in range(200)]
-    assert {r.id: (r.root_id, r.depth, r.state) for r in tree(spark, rows).collect()} == brute(rows)
+    df = spark.createDataFrame(rows, "id string, up string, depth int")
+    small, large = hierarchy(df, "id", "up", finish).collect(), hierarchy(df, "id", "up").collect()
+    assert {r.id: (r.root_id, r.depth, r.state) for r in small} == brute(rows)
+    assert sorted(small, key=repr) == sorted(large, key=repr)
+
+
+def test_long_chain_and_wide_star(spark):
+    n = 100_000
+    chain = spark.range(n).selectExpr("'c' || id as id", "case when id > 0 then 'c' || (id - 1) end as up")
+    star = spark.range(10 * n).selectExpr("'s' || id as id", "case when id > 0 then 's0' end as up")
+    ring = spark.range(1000).selectExpr("'r' || id as id", "'r' || ((id + 1) % 1000) as up")
+    got = hierarchy(chain.unionAll(star).unionAll(ring), "id", "up").groupBy("state", "root_id").agg({"*": "count", "depth": "max", "n_descendants": "max", "exit_at": "max"}).collect()
+    assert {(r.state, r.root_id, r["count(1)"], r["max(depth)"], r["max(n_descendants)"], r["max(exit_at)"]) for r in got} == {
+        ("rooted", "c0", n, n - 1, n - 1, 2 * n - 1), ("rooted", "s0", 10 * n, 1, 10 * n - 1, 20 * n - 1), ("on_cycle", "", 1000, -1, None, None),
+    }
 
 
 def test_one_parent_of_many_and_empty(spark):
