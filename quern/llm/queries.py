@@ -105,9 +105,20 @@ SELECT DISTINCT d.doc_id, g.item_id FROM d JOIN g ON contains(d.t, g.gram)""",
 }
 
 
+def _p4_sql() -> str:
+    """Pairs by the expression over DuckDB's own functions, with the fixed tables alone, and a join of all records of one fact."""
+    form = lookalikes._sql(*lookalikes.tables())
+    return f"""
+WITH r AS (SELECT DISTINCT record_id, product_id, doc, field_id, product_name, value, evidence FROM golden_records WHERE record_id IS NOT NULL),
+q AS (SELECT record_id, product_id, doc, field_id, unnest(evidence) AS e FROM r),
+x AS (SELECT record_id, product_id, doc, field_id, 'product_name' AS field, -1 AS page, product_name AS t FROM r UNION ALL SELECT record_id, product_id, doc, field_id, 'value', -1, value FROM r UNION ALL SELECT record_id, product_id, doc, field_id, 'quote', coalesce(e.page, -1), e.quote FROM q),
+n AS MATERIALIZED (SELECT DISTINCT record_id, product_id, doc, field_id, field, page, t, {form} AS c FROM x WHERE t IS NOT NULL)
+SELECT DISTINCT a.record_id AS record_id_a, b.record_id AS record_id_b, a.field FROM n a JOIN n b ON a.product_id = b.product_id AND a.doc = b.doc AND a.field_id = b.field_id AND a.field = b.field AND a.page = b.page AND a.c = b.c AND a.t <> b.t AND a.record_id < b.record_id"""
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {k: f for k, f in globals().items() if k[:1] == "p" and k[1:2].isdigit() and callable(f)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {k: v.strip() for k, v in ORACLE.items()}
+    return {k: v.strip() for k, v in {**ORACLE, "p4_found": _p4_sql()}.items()}
