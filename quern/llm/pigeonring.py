@@ -29,19 +29,21 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quern.runtime import settle, spread
+from quern.runtime import discard, settle, spread
 
 THRESHOLD = 0.75
-#: A term (or chain of terms) that more records hold is extended by another one.
+#: A term (or chain of terms) that more records hold is extended by another one; more in data so large that counters are full.
 HOT = 1500
-#: Counters kept for each level: the size of what is broadcast, whatever the data.
-COUNTERS = 1 << 19
+#: Counters of each level are sized by the data, LOAD terms to a counter at most hot / LOAD times, up to this many of 4 bytes.
+MAX_COUNTERS, LOAD = 1 << 25, 8
+#: Chains are extended until none is held by too many records, but no further.
+DEPTH = 5
 SEGMENTS = 8
 BITS = 256
 #: Groups of up to so many sets are checked together, larger ones one by one.
 SMALL_GROUP = 32
-#: Sets whose ids may be broadcast for the full check; beyond it they are joined by a shuffle.
-MAX_BROADCAST_IDS = 500_000
+#: Members of one set that a task pairs at once with those of another.
+MEMBERS = 512
 
 _WORD = re.compile(r"\w+")
 _HAN = re.compile(r"[㐀-鿿豈-﫿\U00020000-\U0003ffff]")
@@ -121,6 +123,7 @@ class Keys:
 
     def __init__(self, threshold: float, hot: int, levels: list[np.ndarray]):
         self.t, self.hot, self.levels = threshold, hot, levels
+        self.mask = np.uint64(len(levels[0]) - 1)
 
     def reach(self, n: int, k: int) -> tuple[int, int]:
         """How many first terms hold the k first shared ones: for the smaller set of a pair, and for either."""
@@ -133,7 +136,7 @@ class Keys:
         With ``count_level`` r only the keys of level r that come from hot ones are given, to be counted.
         """
         n = len(terms)
-        freq = self.levels[0][(terms & np.uint64(COUNTERS - 1)).astype(np.int64)]
+        freq = self.levels[0][(terms & self.mask).astype(np.int64)].astype(np.int64)
         order = np.lexsort((terms, freq))
         ordered, freq = terms[order], freq[order]
         last = len(self.levels)
@@ -145,48 +148,72 @@ class Keys:
             if r == last:
                 out.append((keys, at < small, np.where(full, cnt, 0)))
                 break
-            out.append((keys[~full], at[~full] < small, np.zeros((~full).sum(), np.int64)))
+            # a pair shares at least ``own`` terms; where a smaller partner can share too few for a longer chain, both keep this one
+            own = math.ceil(self.t * n - 1e-9)
+            keep = ~full if math.ceil(self.t * own - 1e-9) > r else np.ones(len(keys), bool)
+            out.append((keys[keep], at[keep] < small, np.where(full, cnt, 0)[keep]))
+            if own <= r:
+                break
             keys, at = keys[full], at[full]
             small, far = self.reach(n, r + 1)
             if not len(keys):
                 break
             i, j = np.nonzero(at[:, None] < np.arange(far)[None, :])
             keys, at = _extend(keys[i], ordered[j]), j
-            cnt = self.levels[r][(keys & np.uint64(COUNTERS - 1)).astype(np.int64)]
+            cnt = self.levels[r][(keys & self.mask).astype(np.int64)].astype(np.int64)
         if count_level:
-            return (keys, at, cnt) if r == count_level else (np.empty(0, np.uint64),) * 3
+            return (keys, at, cnt) if r == count_level and r == last else (np.empty(0, np.uint64),) * 3
         return tuple(np.concatenate(x) for x in zip(*out))
 
 
-def _counts(spark: SparkSession, buckets: DataFrame) -> np.ndarray:
-    """An array of COUNTERS sums from (b, n) rows."""
-    got = buckets.groupBy("b").agg(F.sum("n").alias("n")).toPandas()
-    a = np.zeros(COUNTERS, np.int64)
-    a[got["b"].to_numpy(np.int64)] = got["n"].to_numpy(np.int64)
-    return a
+def counters(total: int, hot: int = HOT) -> tuple[int, int]:
+    """How many counters for ``total`` terms, a power of two, and the count from which a term is hot."""
+    n = 1 << max(16, math.ceil(math.log2(max(1, total * LOAD / hot))))
+    n = min(n, MAX_COUNTERS)
+    return n, max(hot, -(-total * LOAD // n))
+
+
+_BLOCK = 1 << 14
+
+
+def _counts(buckets: DataFrame, size: int) -> np.ndarray:
+    """An array of ``size`` sums from (b, n) rows; it comes to the driver in packed blocks of bounded number."""
+
+    def pack(pdf):
+        import pandas as pd
+
+        a = np.zeros(_BLOCK, np.uint32)
+        a[pdf["b"].to_numpy(np.int64) % _BLOCK] = np.minimum(pdf["n"].to_numpy(np.int64), 0xFFFFFFFF)
+        return pd.DataFrame({"block": [int(pdf["block"].iloc[0])], "sums": [a.tobytes()]})
+
+    rows = buckets.groupBy("b").agg(F.sum("n").alias("n")).withColumn("block", F.shiftright("b", 14))
+    out = np.zeros(size, np.uint32)
+    for r in rows.groupBy("block").applyInPandas(pack, "block bigint, sums binary").collect():
+        out[r["block"] * _BLOCK : (r["block"] + 1) * _BLOCK] = np.frombuffer(bytes(r["sums"]), np.uint32)
+    return out
 
 
 def _count_level(sets: DataFrame, level: int, t: float, hot: int, levels: list[np.ndarray]) -> np.ndarray:
-    spark = sets.sparkSession
-    held = spark.sparkContext.broadcast([*levels, np.zeros(COUNTERS, np.int64)])
+    size = len(levels[0])
+    held = sets.sparkSession.sparkContext.broadcast([*levels, np.zeros(size, np.uint32)])
 
     def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         make = Keys(t, hot, held.value)
-        total = np.zeros(COUNTERS, np.int64)
         seen: set[int] = set()
         for batch in it:
+            got = [np.empty(0, np.int64)]
             for sid, terms in zip(batch.column(0).to_pylist(), _lists(batch.column(1))):
                 if sid not in seen:
                     seen.add(sid)
                     keys = make(terms, level)[0]
                     if len(keys):
-                        np.add.at(total, (keys & np.uint64(COUNTERS - 1)).astype(np.int64), 1)
+                        got.append((keys & make.mask).astype(np.int64))
             if len(seen) > 300_000:
                 seen.clear()
-        b = np.flatnonzero(total)
-        yield pa.RecordBatch.from_arrays([pa.array(b), pa.array(total[b])], ["b", "n"])
+            b, n = np.unique(np.concatenate(got), return_counts=True)
+            yield pa.RecordBatch.from_arrays([pa.array(b), pa.array(n.astype(np.int64))], ["b", "n"])
 
-    return _counts(spark, sets.select("sid", "terms").mapInArrow(run, "b bigint, n bigint"))
+    return _counts(sets.select("sid", "terms").mapInArrow(run, "b bigint, n bigint"), size)
 
 
 def _fold(terms: np.ndarray) -> np.ndarray:
@@ -285,13 +312,15 @@ def _match(key: np.ndarray, sid: np.ndarray, meta: np.ndarray, bits: np.ndarray,
     return np.unique(np.sort(both, 1), axis=0)
 
 
-def candidates(sets: DataFrame, t: float = THRESHOLD, hot: int = HOT, depth: int = 3) -> DataFrame:
-    """sid_a, sid_b (a < b): the pairs of different sets that the keys and chains keep, a superset of those within the threshold."""
+def keyed(sets: DataFrame, t: float = THRESHOLD, hot: int = HOT) -> DataFrame:
+    """key, sid, meta, b0.. of every set and key: the rows whose groups meet; meta is twice the size, odd for keys beyond the reach of a smaller set."""
     spark = sets.sparkSession
-    first = sets.select(F.explode("terms").alias("x")).groupBy(F.col("x").bitwiseAND(COUNTERS - 1).alias("b")).agg(F.count("*").alias("n"))
-    levels = [_counts(spark, first)]
-    for r in range(2, depth + 1):
-        levels.append(_count_level(sets, r, t, hot, levels))
+    total = sets.agg(F.sum(F.size("terms"))).first()[0] or 0
+    size, hot = counters(total, hot)
+    first = sets.select(F.explode("terms").alias("x")).groupBy(F.col("x").bitwiseAND(size - 1).alias("b")).agg(F.count("*").alias("n"))
+    levels = [_counts(first, size)]
+    while len(levels) < DEPTH and levels[-1].max(initial=0) > hot:
+        levels.append(_count_level(sets, len(levels) + 1, t, hot, levels))
     held = spark.sparkContext.broadcast(levels)
 
     def emit(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -324,6 +353,13 @@ def candidates(sets: DataFrame, t: float = THRESHOLD, hot: int = HOT, depth: int
                 key, sid, meta, bits = (np.concatenate(c) for c in cols)
                 yield pa.RecordBatch.from_arrays([pa.array(key), pa.array(sid), pa.array(meta.astype(np.int32)), *(pa.array(np.ascontiguousarray(bits[:, k])) for k in range(BITS // 64))], ["key", "sid", "meta", *names])
 
+    names = [f"b{k}" for k in range(BITS // 64)]
+    return sets.select("sid", "terms").mapInArrow(emit, "key bigint, sid bigint, meta int, " + ", ".join(f"{x} bigint" for x in names))
+
+
+def candidates(sets: DataFrame, t: float = THRESHOLD, hot: int = HOT) -> DataFrame:
+    """sid_a, sid_b (a < b): the pairs of different sets that the keys and chains keep, a superset of those within the threshold."""
+
     def match(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held_rows: list[np.ndarray] | None = None
         for batch in it:
@@ -344,23 +380,22 @@ def candidates(sets: DataFrame, t: float = THRESHOLD, hot: int = HOT, depth: int
         both = _match(part[0][:n], part[1][:n], part[2][:n], bits, t)
         return pa.RecordBatch.from_arrays([pa.array(np.ascontiguousarray(both[:, 0])), pa.array(np.ascontiguousarray(both[:, 1]))], ["sid_a", "sid_b"])
 
-    names = [f"b{k}" for k in range(BITS // 64)]
-    rows = sets.select("sid", "terms").mapInArrow(emit, "key bigint, sid bigint, meta int, " + ", ".join(f"{x} bigint" for x in names))
-    return rows.repartition("key").sortWithinPartitions("key").mapInArrow(match, "sid_a bigint, sid_b bigint").distinct()
+    return keyed(sets, t, hot).repartition("key").sortWithinPartitions("key").mapInArrow(match, "sid_a bigint, sid_b bigint").distinct()
 
 
 def near_sets(sets: DataFrame, t: float = THRESHOLD, hot: int = HOT) -> DataFrame:
     """sid_a, sid_b, shared, total: every two different sets whose overlap is at least ``t``, after the full check."""
     cand = settle(candidates(sets, t, hot), "candidates")
-    need = settle(cand.select(F.explode(F.array("sid_a", "sid_b")).alias("sid")).distinct(), "needed")
-    few = need.count() <= MAX_BROADCAST_IDS
-    some = sets.select("sid", "terms").join(F.broadcast(need) if few else need, "sid").dropDuplicates(["sid"])
-    some = settle(some, "sets")
+    need = cand.select(F.explode(F.array("sid_a", "sid_b")).alias("sid")).distinct()
+    some = settle(sets.select("sid", "terms").join(need, "sid", "left_semi").dropDuplicates(["sid"]), "sets")
     a, b = some.select(F.col("sid").alias("sid_a"), F.col("terms").alias("ta")), some.select(F.col("sid").alias("sid_b"), F.col("terms").alias("tb"))
     j = cand.join(a, "sid_a").join(b, "sid_b")
     # the full Hamming check: terms that only one of the two sets has
     j = j.withColumn("shared", F.size(F.array_intersect("ta", "tb"))).withColumn("total", F.size("ta") + F.size("tb") - F.col("shared"))
-    return j.where(F.col("shared") >= F.lit(t) * F.col("total") - 1e-9).select("sid_a", "sid_b", "shared", "total")
+    out = settle(j.where(F.col("shared") >= F.lit(t) * F.col("total") - 1e-9).select("sid_a", "sid_b", "shared", "total"), "near")
+    discard(cand)
+    discard(some)
+    return out
 
 
 def latest(sets: DataFrame) -> DataFrame:
@@ -377,10 +412,24 @@ def near_pairs(entries: DataFrame, id_col: str = "id", text_cols: tuple[str, ...
     """
     sets = settle(term_sets(entries, id_col, list(text_cols), order_col), "terms")
     links, who = near_sets(sets, t, hot), settle(latest(sets), "latest")
-    a, b = who.select(F.col("id").alias("a"), F.col("sid").alias("sid_a")), who.select(F.col("id").alias("b"), F.col("sid").alias("sid_b"))
-    near = links.join(a, "sid_a").join(b, "sid_b").select("a", "b")
-    same = a.join(b, (F.col("sid_a") == F.col("sid_b")) & (F.col("a") < F.col("b"))).select("a", "b")
-    return near.unionByName(same).select(F.least("a", "b").alias("id_a"), F.greatest("a", "b").alias("id_b")).distinct()
+    discard(sets)
+    # up to here equal texts are one node; the members of a set of very many are paired in parts
+    cuts = who.groupBy("sid").agg(F.ceil(F.count("*") / MEMBERS).cast("int").alias("cuts"), F.count("*").alias("n"))
+    part = settle(who.join(cuts, "sid").select("id", "sid", "cuts", "n", F.pmod(F.xxhash64("id"), F.col("cuts")).cast("int").alias("part")), "members")
+    discard(who)
+    cuts = part.select("sid", "cuts", "n").distinct()
+    loops = cuts.where("n > 1").select(F.col("sid").alias("sid_a"), F.col("sid").alias("sid_b"))
+    both = links.select("sid_a", "sid_b").unionByName(loops)
+    both = _in_parts(_in_parts(both, cuts, "a"), cuts, "b")
+    a, b = (part.select(F.col("id").alias(x), F.col("sid").alias(f"sid_{x}"), F.col("part").alias(f"part_{x}")) for x in "ab")
+    near = both.join(a, ["sid_a", "part_a"]).join(b, ["sid_b", "part_b"]).where((F.col("sid_a") != F.col("sid_b")) | (F.col("a") < F.col("b")))
+    return near.select(F.least("a", "b").alias("id_a"), F.greatest("a", "b").alias("id_b"))
+
+
+def _in_parts(pairs: DataFrame, cuts: DataFrame, side: str) -> DataFrame:
+    """``pairs`` of sets with a row for each part of the members of one side."""
+    c = cuts.select(F.col("sid").alias(f"sid_{side}"), "cuts")
+    return pairs.join(c, f"sid_{side}").withColumn(f"part_{side}", F.explode(F.sequence(F.lit(0), F.col("cuts") - 1))).drop("cuts")
 
 
 def near_groups(entries: DataFrame, id_col: str = "id", text_cols: tuple[str, ...] = ("standard_question", "similar_questions"), order_col: str | None = "updated_at", t: float = THRESHOLD, hot: int = HOT) -> DataFrame:
@@ -397,6 +446,7 @@ def near_groups(entries: DataFrame, id_col: str = "id", text_cols: tuple[str, ..
     live = who.select("sid").distinct()
     links = near_sets(sets, t, hot).select("sid_a", "sid_b").join(live.withColumnRenamed("sid", "sid_a"), "sid_a", "left_semi").join(live.withColumnRenamed("sid", "sid_b"), "sid_b", "left_semi")
     links = settle(links, "links")
+    discard(sets)
     part = components(links.select(F.col("sid_a").alias("src"), F.col("sid_b").alias("dst"))).select(F.col("node").alias("sid"), "component")
     n = links.select(F.explode(F.array("sid_a", "sid_b")).alias("sid")).groupBy("sid").agg(F.count("*").alias("n_links"))
     j = settle(who.join(part, "sid", "left").join(n, "sid", "left").select("id", F.coalesce("component", "sid").alias("c"), F.coalesce("n_links", F.lit(0)).alias("n_links")), "grouped")

@@ -81,6 +81,11 @@ def p8_groups(spark: SparkSession, d: str) -> DataFrame:
     return residue.message_groups(table(spark, d, "documents")).groupBy("n_docs", "n_sources").agg(F.count("*").alias("n_groups"))
 
 
+_TERMS = r"""
+WITH e AS (SELECT id, arg_max(list_concat([standard_question], coalesce(similar_questions, [])), coalesce(updated_at, TIMESTAMP '0001-01-01')) AS qs FROM faq_entries GROUP BY id),
+q AS (SELECT id, lower(unnest(qs)) AS q FROM e), w AS (SELECT id, q, regexp_extract_all(q, '[\p{L}\p{N}_]+') AS ws FROM q WHERE q IS NOT NULL),
+t AS (SELECT DISTINCT id, unnest(CASE WHEN regexp_matches(q, '[\x{3400}-\x{9FFF}\x{F900}-\x{FAFF}]') THEN list_transform(range(1, length(array_to_string(ws, ''))), lambda i: substring(array_to_string(ws, ''), i, 2)) ELSE ws END) AS term FROM w),
+n AS (SELECT id, count(*) AS n FROM t GROUP BY id), s AS (SELECT a.id AS id_a, b.id AS id_b, count(*) AS k FROM t a JOIN t b ON a.term = b.term AND a.id < b.id GROUP BY ALL)"""
 # Only exact, regular facts are said in SQL; the rest is tested against brute force in tests/llm.
 ORACLE = {
     "p1_found": r"""
@@ -91,12 +96,15 @@ SELECT request_id, CASE WHEN list_max(list_transform(string_split(list_reduce(li
 WITH r AS (SELECT DISTINCT request_id, decode(file_content) AS raw FROM read_requests WHERE octet_length(file_content) > 0),
 t AS (SELECT request_id, CASE WHEN starts_with(raw, chr(65279)) THEN substring(raw, 2) ELSE raw END AS x FROM r)
 SELECT request_id, length(x)::INT AS chars, TRUE AS fits, TRUE AS overlaps, md5(x) AS digest FROM t WHERE x <> ''""",
-    "p5_found": r"""
-WITH e AS (SELECT id, arg_max(list_concat([standard_question], coalesce(similar_questions, [])), coalesce(updated_at, TIMESTAMP '0001-01-01')) AS qs FROM faq_entries GROUP BY id),
-q AS (SELECT id, lower(unnest(qs)) AS q FROM e), w AS (SELECT id, q, regexp_extract_all(q, '[\p{L}\p{N}_]+') AS ws FROM q WHERE q IS NOT NULL),
-t AS (SELECT DISTINCT id, unnest(CASE WHEN regexp_matches(q, '[\x{3400}-\x{9FFF}\x{F900}-\x{FAFF}]') THEN list_transform(range(1, length(array_to_string(ws, ''))), lambda i: substring(array_to_string(ws, ''), i, 2)) ELSE ws END) AS term FROM w),
-n AS (SELECT id, count(*) AS n FROM t GROUP BY id), s AS (SELECT a.id AS id_a, b.id AS id_b, count(*) AS k FROM t a JOIN t b ON a.term = b.term AND a.id < b.id GROUP BY ALL)
+    "p5_found": _TERMS + """
 SELECT id_a, id_b FROM s JOIN n x ON x.id = id_a JOIN n y ON y.id = id_b WHERE k >= 0.75 * (x.n + y.n - k) - 1e-9""",
+    "p5_groups": _TERMS.replace("WITH", "WITH RECURSIVE", 1) + """,
+l AS (SELECT id_a, id_b FROM s JOIN n x ON x.id = id_a JOIN n y ON y.id = id_b WHERE k >= 0.75 * (x.n + y.n - k) - 1e-9),
+b AS (SELECT id_a AS a, id_b AS b FROM l UNION ALL SELECT id_b, id_a FROM l),
+c AS (SELECT id AS i, id AS r FROM e WHERE id IS NOT NULL UNION SELECT c.i, b.b FROM c JOIN b ON b.a = c.r),
+v AS (SELECT id, hash(list_sort(list(term))) AS sid FROM t GROUP BY id),
+k AS (SELECT b.a AS id, count(DISTINCT y.sid) AS n_links FROM b JOIN v x ON x.id = b.a JOIN v y ON y.id = b.b WHERE x.sid <> y.sid GROUP BY 1)
+SELECT i AS id, min(r) AS group_id, coalesce(any_value(n_links), 0)::BIGINT AS n_links FROM c LEFT JOIN k ON k.id = c.i GROUP BY i""",
     "p7_found": r"""
 WITH w AS (SELECT item_id, list_transform(regexp_extract_all(passage, '[\p{L}\p{N}_]+'), lambda x: lower(x)) AS ws FROM eval_items),
 g AS (SELECT DISTINCT item_id, ' ' || array_to_string(ws[i:i + 12], ' ') || ' ' AS gram FROM (SELECT item_id, ws, unnest(range(1, len(ws) - 11)) AS i FROM w)),

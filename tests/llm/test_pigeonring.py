@@ -3,7 +3,7 @@ import random
 import numpy as np
 import pytest
 
-from quern.llm.pigeonring import near_groups, near_pairs, question_terms
+from quern.llm.pigeonring import MAX_COUNTERS, counters, keyed, near_groups, near_pairs, question_terms, term_sets
 
 SCHEMA = "id bigint, standard_question string, similar_questions array<string>, updated_at timestamp_ntz, extra string"
 
@@ -76,3 +76,29 @@ def test_fold_never_exceeds_the_distance():
         b = np.unique(np.concatenate([a[:40], rng.integers(0, 2**63, 15, dtype=np.uint64)]))
         d = len(np.setxor1d(a, b))
         assert np.bitwise_count((_fold(a) ^ _fold(b)).view(np.uint64)).sum() <= d
+
+
+def test_counters_follow_the_data():
+    assert counters(1000) == (1 << 16, 1500)
+    n, hot = counters(10**9)
+    assert hot == 1500 and 10**9 / n <= 1500 / 8
+    n, hot = counters(10**12)
+    assert n == MAX_COUNTERS and 10**12 / n <= hot / 8
+
+
+def test_keys_grow_with_the_records(spark):
+    """With counters far too few for one size fits all, twice the records still give about twice the rows."""
+
+    def rows(n):
+        rng = random.Random(5)
+        return spark.createDataFrame([(i, " ".join(f"w{int(4000 * rng.random() ** 2)}" for _ in range(20)), None, None, None) for i in range(n)], SCHEMA)
+
+    sets = [term_sets(rows(n), "id", ["standard_question"], None).cache() for n in (3000, 6000)]
+    few, many = (keyed(x, hot=60).count() for x in sets)
+    assert many < 2.6 * few
+
+
+def test_many_members_are_paired_in_parts(spark, monkeypatch):
+    monkeypatch.setattr("quern.llm.pigeonring.MEMBERS", 7)
+    rows = [(i, "a b c d e f g h" if i % 2 else "a b c d e f g h i", None, None, None) for i in range(60)]
+    assert near_pairs(spark.createDataFrame(rows, SCHEMA)).distinct().count() == 60 * 59 // 2
