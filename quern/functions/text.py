@@ -110,10 +110,10 @@ def token_estimate(c: Column) -> Column:
 
 
 def redact(c: Column) -> Column:
-    """Personal numbers masked: identity numbers, then phones, then policies of ten digits and more."""
-    c = F.regexp_replace(c, r"\b[0-9]{17}[0-9Xx]\b", "[ID]")
-    c = F.regexp_replace(c, r"\b1[3-9][0-9]{9}\b", "[PHONE]")
-    return F.regexp_replace(c, r"\b[0-9]{10,}\b", "[POLICY]")
+    """Personal numbers masked, also where letters touch them: identity numbers, then phones, then policies of ten digits and more."""
+    c = F.regexp_replace(c, r"[0-9]{17}[0-9Xx]", "[ID]")
+    c = F.regexp_replace(c, r"1[3-9][0-9]{9}", "[PHONE]")
+    return F.regexp_replace(c, r"[0-9]{10,}", "[POLICY]")
 
 
 # The kinds of entities found by pattern.

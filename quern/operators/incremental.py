@@ -9,11 +9,12 @@ from pyspark.sql import functions as F
 
 
 def after_cursor(df: DataFrame, ts: str, id_col: str, cursor: tuple | None) -> DataFrame:
-    """Rows strictly after the cursor (timestamp, id), of rows of one id the latest; null takes all."""
+    """Rows strictly after the cursor (timestamp, id), of rows of one id the latest, then the one with the greater hash; null takes all."""
     if cursor is not None:
         t, i = F.lit(cursor[0]).cast(df.schema[ts].dataType), cursor[1]
         df = df.where((F.col(ts) > t) | ((F.col(ts) == t) & (F.col(id_col) > i)))
-    return df.withColumn("_r", F.row_number().over(Window.partitionBy(id_col).orderBy(F.desc_nulls_last(ts)))).where("_r = 1").drop("_r")
+    tie = F.xxhash64(*df.columns)
+    return df.withColumn("_r", F.row_number().over(Window.partitionBy(id_col).orderBy(F.desc_nulls_last(ts), F.desc(tie)))).where("_r = 1").drop("_r")
 
 
 def watermark(df: DataFrame, ts: str, id_col: str, cursor: tuple | None = None) -> tuple | None:
@@ -25,8 +26,10 @@ def watermark(df: DataFrame, ts: str, id_col: str, cursor: tuple | None = None)
 
 def gaps(df: DataFrame, key: str, ts: str, id_col: str, signal: str, samples: int = 5) -> DataFrame:
     """key, hits, signals, last_ids (at most ``samples``), first_seen, last_seen: the state of each key."""
-    last = F.transform(F.slice(F.reverse(F.array_sort(F.collect_list(F.struct(ts, id_col)))), 1, samples), lambda s: s[id_col])
-    return df.where(F.col(key).isNotNull()).groupBy(key).agg(F.count("*").alias("hits"), F.array_sort(F.collect_set(signal)).alias("signals"), last.alias("last_ids"), F.min(ts).alias("first_seen"), F.max(ts).alias("last_seen"))
+    df = df.where(F.col(key).isNotNull())
+    # the latest ids are cut before they are collected, the rest is partial aggregates: a hot key stays small
+    g = df.groupBy(key).agg(F.count("*").alias("hits"), F.array_sort(F.collect_set(signal)).alias("signals"), F.min(ts).alias("first_seen"), F.max(ts).alias("last_seen"))
+    return g.join(last_ids(df, key, ts, id_col, samples).withColumnRenamed("ids", "last_ids"), key).select(key, "hits", "signals", "last_ids", "first_seen", "last_seen")
 
 
 def last_ids(df: DataFrame, key: str, ts: str, id_col: str, n: int = 5) -> DataFrame:
@@ -43,14 +46,22 @@ def diff(old: DataFrame, new: DataFrame, keys: Sequence[str], values: Sequence[s
     return j.select(*keys, act.alias("action"))
 
 
+def _one_each(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """One row of each key, the greatest in the order of the other columns."""
+    rest = [c for c in df.columns if c not in keys]
+    if not rest:
+        return df.distinct()
+    return df.groupBy(*keys).agg(F.max(F.struct(*rest)).alias("_m")).select(*(F.col(c) if c in keys else F.col(f"_m.{c}").alias(c) for c in df.columns))
+
+
 def upsert(old: DataFrame, new: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """``old`` with the rows of ``new`` in place of those with equal keys; of several new rows of a key any one."""
-    return old.join(new.select(*keys).distinct(), list(keys), "left_anti").unionByName(new.dropDuplicates(list(keys)))
+    """``old`` with the rows of ``new`` in place of those with equal keys; of several new rows of a key the greatest in the order of its columns."""
+    return old.join(new.select(*keys).distinct(), list(keys), "left_anti").unionByName(_one_each(new, keys))
 
 
 def insert_ignore(old: DataFrame, new: DataFrame, keys: Sequence[str]) -> DataFrame:
     """``old`` and those rows of ``new`` whose keys it hasn't."""
-    return old.unionByName(new.dropDuplicates(list(keys)).join(old.select(*keys).distinct(), list(keys), "left_anti"))
+    return old.unionByName(_one_each(new, keys).join(old.select(*keys).distinct(), list(keys), "left_anti"))
 
 
 def unchanged_suppressed(seen: DataFrame, batch: DataFrame, key: str, content: str) -> DataFrame:

@@ -74,16 +74,31 @@ def condition(ast: dict) -> Column:
     return plain[op]
 
 
-def vector_topk(items: DataFrame, queries: DataFrame, k: int = EMBEDDING_TOP_K, threshold: float | None = None, id_col: str = "vec_id", vec_col: str = "embedding", qid_col: str = "query_id", qvec_col: str = "query") -> DataFrame:
-    """query_id, id, score, rank: exact cosine top ``k`` of each query row, ties by id.
+#: Queries whose vectors are broadcast at once; more are worked off in blocks.
+QUERY_BLOCK = 10_000
+
+
+def vector_scores(items: DataFrame, queries: DataFrame, threshold: float | None = None, id_col: str = "vec_id", vec_col: str = "embedding", qid_col: str = "query_id", qvec_col: str = "query") -> DataFrame:
+    """query_id, id, score: the cosine of every item and every row of a stated query set, at or above the threshold if there is one.
 
-    Queries are a stated set and are joined in, block by block of the items; each
-    partition keeps its own top ``k`` before anything is shuffled.
+    The queries are counted, and broadcast in blocks of QUERY_BLOCK at most.
     """
-    j = items.select(F.col(id_col).alias("id"), F.col(vec_col).alias("v")).join(F.broadcast(queries.select(F.col(qid_col).alias("query_id"), F.col(qvec_col).alias("q"))))
-    s = j.select("query_id", "id", V.cosine(F.col("v"), F.col("q")).alias("score"))
-    if threshold is not None:
-        s = s.where(F.col("score") >= threshold)
+    q = queries.select(F.col(qid_col).alias("query_id"), F.col(qvec_col).alias("q"))
+    blocks = max(1, -(-q.count() // QUERY_BLOCK))
+    out = None
+    for b in range(blocks):
+        part = q if blocks == 1 else q.where(F.pmod(F.xxhash64("query_id"), F.lit(blocks)) == b)
+        j = items.select(F.col(id_col).alias("id"), F.col(vec_col).alias("v")).join(F.broadcast(part))
+        s = j.select("query_id", "id", V.cosine(F.col("v"), F.col("q")).alias("score"))
+        if threshold is not None:
+            s = s.where(F.col("score") >= threshold)
+        out = s if out is None else out.unionByName(s)
+    return out
+
+
+def vector_topk(items: DataFrame, queries: DataFrame, k: int = EMBEDDING_TOP_K, threshold: float | None = None, id_col: str = "vec_id", vec_col: str = "embedding", qid_col: str = "query_id", qvec_col: str = "query") -> DataFrame:
+    """query_id, id, score, rank: exact cosine top ``k`` of each query row, ties by id; each partition keeps its own top ``k`` before anything is shuffled."""
+    s = vector_scores(items, queries, threshold, id_col, vec_col, qid_col, qvec_col)
     w = Window.partitionBy("query_id").orderBy(F.desc("score"), "id")
     return s.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
 
@@ -99,9 +114,9 @@ def bm25(docs: DataFrame, queries: DataFrame, id_col: str = "doc_id", text_col:
     p = postings(docs, id_col, text_col)
     q = queries.select(F.col(qid_col).alias("query_id"), F.explode(T.word_set(F.col(qtext_col))).alias("term"))
     stats = docs.select(F.size(T.words(F.col(text_col))).alias("n")).where("n > 0").agg(F.count("*").alias("docs"), F.avg("n").alias("avg_len"))
-    hits = p.join(F.broadcast(q.select("term").distinct()), "term", "left_semi")
+    hits = p.join(q.select("term").distinct(), "term", "left_semi")
     df = hits.groupBy("term").agg(F.count("*").alias("df"))
-    j = hits.join(F.broadcast(df), "term").join(F.broadcast(q), "term").crossJoin(F.broadcast(stats))
+    j = hits.join(df, "term").join(q, "term").crossJoin(F.broadcast(stats))  # stats is one row
     idf = F.log((F.col("docs") - F.col("df") + 0.5) / (F.col("df") + 0.5) + 1)
     tf = F.col("tf") * (k1 + 1) / (F.col("tf") + k1 * (1 - b + b * F.col("len") / F.col("avg_len")))
     return j.groupBy("query_id", "id").agg(F.sum(idf * tf).alias("score"))
@@ -133,11 +148,12 @@ def fuse(vector: DataFrame, keyword: DataFrame, k: int = RRF_K, wv: float = VECT
 
 def normalise_keyword(df: DataFrame, score: str = "score", key: str = "query_id") -> DataFrame:
     """Scores of each query to 0..1: one row or equal scores 1; from ten rows on within the 5th and 95th place; else by least and most."""
-    g = df.groupBy(key).agg(F.array_sort(F.collect_list(score)).alias("all"))
-    n = F.size("all")
-    lo = F.when(n >= 10, F.element_at("all", F.floor((n - 1) * 0.05).cast("int") + 1)).otherwise(F.element_at("all", 1))
-    hi = F.when(n >= 10, F.element_at("all", F.floor((n - 1) * 0.95).cast("int") + 1)).otherwise(F.element_at("all", -1))
-    b = g.select(key, lo.alias("lo"), hi.alias("hi"))
+    # the bounds by rank, in a window that may spill; nothing is collected
+    n = df.groupBy(key).agg(F.count("*").alias("_n"))
+    r = df.select(key, score).withColumn("_r", F.row_number().over(Window.partitionBy(key).orderBy(score))).join(n, key)
+    many = F.col("_n") >= 10
+    low, high = F.when(many, F.floor((F.col("_n") - 1) * 0.05) + 1).otherwise(1), F.when(many, F.floor((F.col("_n") - 1) * 0.95) + 1).otherwise(F.col("_n"))
+    b = r.groupBy(key).agg(F.max(F.when(F.col("_r") == low, F.col(score))).alias("lo"), F.max(F.when(F.col("_r") == high, F.col(score))).alias("hi"))
     s = F.when(F.col("hi") <= F.col("lo"), F.lit(1.0)).otherwise(T.clamp((F.col(score) - F.col("lo")) / (F.col("hi") - F.col("lo")), 0.0, 1.0))
     return df.join(b, key).withColumn("normalised", s).drop("lo", "hi")
 
@@ -165,16 +181,17 @@ def threshold_with_fallback(df: DataFrame, score: str = "score", threshold: floa
     return d.where(F.col(score) >= cut).drop("_best")
 
 
-def mmr(df: DataFrame, k: int = RERANK_TOP_K, lam: float = MMR_LAMBDA, key: str = "query_id", id_col: str = "id", score: str = "score", tokens: str = "tokens", window: int = 500) -> DataFrame:
+def mmr(df: DataFrame, k: int = RERANK_TOP_K, lam: float = MMR_LAMBDA, key: str = "query_id", id_col: str = "id", score: str = "score", tokens: str = "tokens") -> DataFrame:
     """query_id, id, rank: greedy selection by lam * score - (1 - lam) * greatest Jaccard to what is chosen; ties to the earlier row.
 
-    A query's rows are first cut to its best ``window``, which bounds each group.
+    A query's rows are a list of results: cut to what its retrieval budget allows
+    (``budget``, 500 at most) before, not here, so no row is left out.
     """
     kind, qkind = df.schema[id_col].dataType.simpleString(), df.schema[key].dataType.simpleString()
-    some = top(df.select(key, id_col, score, tokens), window, [F.desc(score), F.col(id_col)], [key])
+    some = df.select(key, id_col, score, tokens)
 
     def pick(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("rank")
+        pdf = pdf.sort_values([score, id_col], ascending=[False, True])
         sets = [set(t) if t is not None else set() for t in pdf[tokens]]
         scores, near, left, out = pdf[score].tolist(), [0.0] * len(pdf), list(range(len(pdf))), []
         while left and len(out) < k:
@@ -214,17 +231,17 @@ def offset_page(df: DataFrame, order: Sequence[Column], page: int = 1, size: int
     return df.orderBy(*order).offset((max(page, 1) - 1) * size).limit(size)
 
 
-def drop_contained(df: DataFrame, key: str, id_col: str, score: str, tokens: str, limit: float = 0.85, window: int = 500) -> DataFrame:
-    """Without rows whose words overlap a better row's by at least ``limit`` of the smaller set; ties go to the longer, then the lesser id."""
-    some = top(df, window, [F.desc(score), F.desc(F.size(tokens)), F.col(id_col)], [key])
+def drop_contained(df: DataFrame, key: str, id_col: str, score: str, tokens: str, limit: float = 0.85) -> DataFrame:
+    """Without rows whose words overlap a better row's by at least ``limit`` of the smaller set; ties go to the longer, then the lesser id. The rows of a query are a list of results, as for ``mmr``."""
+    some = df.withColumn("_long", -F.size(tokens))
     cols = some.columns
 
     def one(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("rank").reset_index(drop=True)
+        pdf = pdf.sort_values([score, "_long", id_col], ascending=[False, True, True]).reset_index(drop=True)
         sets, kept = [set(t) if t is not None else set() for t in pdf[tokens]], []
         for i, s in enumerate(sets):
             if not any(s and sets[j] and len(s & sets[j]) / min(len(s), len(sets[j])) >= limit for j in kept):
                 kept.append(i)
         return pdf.iloc[kept][cols]
 
-    return some.groupBy(key).applyInPandas(one, some.schema).drop("rank")
+    return some.groupBy(key).applyInPandas(one, some.schema).drop("_long")

@@ -11,6 +11,7 @@ from quern.operators import profile as P
 from quern.plans.registry import query
 from quern.runtime import table
 
+_PRODUCT = ["product_id", "space_id", "product_code", "canonical_name", "category", "status", "filing_no", "owner", "created_at"]
 _NUM = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
 
 
@@ -35,9 +36,9 @@ def _(spark, d):
     return P.keyword_frequency(table(spark, d, "documents"), "text", keys=["lang"])
 
 
-@query("profile_records", "SELECT field, n, nulls FROM (SELECT unnest([{'field': 'product_id', 'n': count(product_id), 'nulls': count(*) - count(product_id)}, {'field': 'filing_no', 'n': count(filing_no), 'nulls': count(*) - count(filing_no)}, {'field': 'owner', 'n': count(owner), 'nulls': count(*) - count(owner)}], recursive := true) FROM insurance_products)")
+@query("profile_records", " UNION ALL ".join(f"SELECT '{c}' AS field, count({c}) AS n, count(*) - count({c}) AS nulls FROM insurance_products" for c in _PRODUCT))
 def _(spark, d):
-    return P.record_profile(table(spark, d, "insurance_products").select("product_id", "filing_no", "owner")).select("field", "n", "nulls")
+    return P.record_profile(table(spark, d, "insurance_products")).select("field", "n", "nulls")
 
 
 _RANKED = """r AS (SELECT o_custkey AS q, list(o_orderkey ORDER BY o_totalprice DESC, o_orderkey)[1:10] AS found, list(o_orderkey) FILTER (WHERE o_orderpriority IN ('1-URGENT', '2-HIGH')) AS t FROM orders GROUP BY 1),

@@ -38,11 +38,17 @@ def _(spark, d):
     return g.select(K.quote_verdict(F.col("value"), F.col("e.quote")).alias("verdict")).groupBy("verdict").agg(F.count("*").alias("n"))
 
 
-@query("quote_lineage")
+@query(
+    "quote_lineage",
+    r"""WITH q AS (SELECT doc, e.chunk_id, e.quote FROM (SELECT doc, unnest(evidence) AS e FROM golden_records)), c AS (SELECT doc, chunk_id, string_agg(DISTINCT quote, chr(10) ORDER BY quote) AS content FROM q WHERE quote IS NOT NULL AND chunk_id IS NOT NULL AND doc IS NOT NULL GROUP BY ALL),
+u AS (SELECT DISTINCT doc, quote FROM q WHERE quote IS NOT NULL), h AS (SELECT u.doc, u.quote, count(DISTINCT c.chunk_id) AS n FROM u JOIN c ON c.doc = u.doc AND contains(regexp_replace(lower(c.content), '\s+', '', 'g'), regexp_replace(lower(u.quote), '\s+', '', 'g')) GROUP BY ALL)
+SELECT CASE WHEN n = 1 THEN 'linked' WHEN n > 1 THEN 'ambiguous' ELSE 'page_only' END AS status, count(*) AS n FROM u LEFT JOIN h ON u.doc IS NOT DISTINCT FROM h.doc AND u.quote = h.quote GROUP BY 1""",
+)
 def _(spark, d):
-    g = table(spark, d, "golden_records").select("doc", F.explode("evidence").alias("e"))
-    chunks = g.select("doc", F.col("e.chunk_id").alias("chunk_id"), F.col("e.quote").alias("content")).where("content is not null").distinct()
-    return K.lineage(g.select("doc", F.col("e.quote").alias("quote")).where("quote is not null"), chunks, "doc", "quote", "content", "chunk_id").groupBy("status").agg(F.count("*").alias("n"))
+    # a chunk is all that is quoted from it
+    g = table(spark, d, "golden_records").select("doc", F.explode("evidence").alias("e")).select("doc", F.col("e.chunk_id").alias("chunk_id"), F.col("e.quote").alias("quote")).where("quote is not null")
+    chunks = g.where("chunk_id is not null and doc is not null").groupBy("doc", "chunk_id").agg(F.array_join(F.array_sort(F.collect_set("quote")), "\n").alias("content"))
+    return K.lineage(g.select("doc", "quote"), chunks, "doc", "quote", "content", "chunk_id").groupBy("status").agg(F.count("*").alias("n"))
 
 
 @query("dictionary_match")
@@ -50,10 +56,11 @@ def _(spark, d):
     return K.dictionary_match(table(spark, d, "documents"), table(spark, d, "insurance_products"), "doc_id", "text", "product_id", "canonical_name").select(F.col("id").alias("doc_id"), "name_id")
 
 
-@query("resolve_tiers", "WITH c AS (SELECT DISTINCT product_id, CASE schema_version WHEN '2.0' THEN 1 ELSE 2 END AS tier, tri_state AS v FROM golden_records WHERE field_id = 'grace_period' AND product_id IS NOT NULL), t AS (SELECT product_id, min(tier) AS b FROM c GROUP BY 1), s AS (SELECT product_id, list_distinct(list(v) FILTER (WHERE tier = b)) AS x, coalesce(list_distinct(list(v) FILTER (WHERE tier <> b)), []) AS y FROM c JOIN t USING (product_id) GROUP BY 1) SELECT product_id, CASE WHEN len(x) <> 1 THEN 'ambiguous' WHEN len(y) > 0 AND len(list_intersect(x, y)) = 0 THEN 'contradicted' ELSE 'resolved' END AS reason FROM s")
+@query("resolve_tiers", "WITH c AS (SELECT DISTINCT product_id, field_id, CASE schema_version WHEN '2.0' THEN 1 ELSE 2 END AS tier, tri_state AS v FROM golden_records WHERE product_id IS NOT NULL AND field_id IS NOT NULL), t AS (SELECT product_id, field_id, min(tier) AS b FROM c GROUP BY ALL), s AS (SELECT product_id, field_id, list_distinct(list(v) FILTER (WHERE tier = b)) AS x, coalesce(list_distinct(list(v) FILTER (WHERE tier <> b)), []) AS y FROM c JOIN t USING (product_id, field_id) GROUP BY ALL) SELECT product_id, field_id, CASE WHEN len(x) <> 1 THEN 'ambiguous' WHEN len(y) > 0 AND len(list_intersect(x, y)) = 0 THEN 'contradicted' ELSE 'resolved' END AS reason FROM s")
 def _(spark, d):
-    g = table(spark, d, "golden_records").where("field_id = 'grace_period' and product_id is not null")
-    return K.resolve_tiers(g.select("product_id", F.when(F.col("schema_version") == "2.0", 1).otherwise(2).alias("tier"), F.col("tri_state").alias("v")), "product_id", "tier", "v").select("product_id", "reason")
+    g = table(spark, d, "golden_records").where("product_id is not null and field_id is not null")
+    c = g.select(F.struct("product_id", "field_id").alias("fact"), F.when(F.col("schema_version") == "2.0", 1).otherwise(2).alias("tier"), F.col("tri_state").alias("v"))
+    return K.resolve_tiers(c, "fact", "tier", "v").select("fact.product_id", "fact.field_id", "reason")
 
 
 @query("state_counts", "SELECT product_id, count(*) FILTER (WHERE tri_state = 'present') AS present, count(*) FILTER (WHERE tri_state = 'unknown') AS \"unknown\", count(*) FILTER (WHERE tri_state = 'none') AS \"none\" FROM golden_records GROUP BY product_id")
@@ -127,14 +134,18 @@ def _(spark, d):
     return table(spark, d, "knowledge_bases").join(table(spark, d, "documents"), "knowledge_base_id", "left_anti").select("knowledge_base_id")
 
 
-@query("faq_clone_diff", "WITH h AS (SELECT DISTINCT knowledge_base_id AS kb, md5(lower(trim(standard_question))) AS h FROM faq_entries), k AS (SELECT min(kb) AS a, max(kb) AS b FROM h) SELECT h, CASE WHEN max((kb = a)::INT) = 1 AND max((kb = b)::INT) = 1 THEN 'same' WHEN max((kb = a)::INT) = 1 THEN 'remove' ELSE 'add' END AS action FROM h, k WHERE kb IN (a, b) GROUP BY h")
+@query("faq_clone_diff", "WITH h AS (SELECT DISTINCT knowledge_base_id AS kb, md5(lower(trim(standard_question))) AS h FROM faq_entries WHERE knowledge_base_id IS NOT NULL), k AS (SELECT kb, lead(kb) OVER (ORDER BY kb) AS nxt FROM (SELECT DISTINCT kb FROM h)), a AS (SELECT kb, h FROM h JOIN k USING (kb) WHERE nxt IS NOT NULL), b AS (SELECT k.kb, h.h FROM k JOIN h ON h.kb = k.nxt) SELECT kb, h, CASE WHEN a.kb IS NULL THEN 'add' WHEN b.kb IS NULL THEN 'remove' ELSE 'same' END AS action FROM a FULL JOIN b USING (kb, h)")
 def _(spark, d):
+    from pyspark.sql import Window
+
     from quern.operators.incremental import diff
 
+    # each base against the next one
     f = table(spark, d, "faq_entries").where("knowledge_base_id is not null").select(F.col("knowledge_base_id").alias("kb"), F.md5(F.lower(F.trim("standard_question"))).alias("h")).distinct()
-    ends = f.agg(F.min("kb").alias("a"), F.max("kb").alias("b"))
-    side = lambda c: f.join(F.broadcast(ends), F.col("kb") == F.col(c)).select("h", F.lit(1).alias("v"))
-    return diff(side("a"), side("b"), ["h"], ["v"])
+    nxt = f.select("kb").distinct().withColumn("nxt", F.lead("kb").over(Window.orderBy("kb"))).where("nxt is not null")
+    old = f.join(nxt, "kb").select("kb", "h", F.lit(1).alias("v"))
+    new = nxt.join(f.withColumnRenamed("kb", "nxt"), "nxt").select("kb", "h", F.lit(1).alias("v"))
+    return diff(old, new, ["kb", "h"], ["v"])
 
 
 @query("history_filter", r"WITH q AS (SELECT item_id, list_distinct(regexp_extract_all(lower(question), '[\p{L}\p{N}]+')) AS a FROM eval_items WHERE item_id % 100 = 0), h AS (SELECT item_id AS hid, list_distinct(regexp_extract_all(lower(question), '[\p{L}\p{N}]+')) AS b FROM eval_items) SELECT item_id, hid, round(j * 0.6, 6) AS score FROM (SELECT *, len(list_intersect(a, b))::DOUBLE / len(list_distinct(list_concat(a, b))) AS j FROM q, h WHERE hid <> item_id) WHERE j >= 0.15 QUALIFY row_number() OVER (PARTITION BY item_id ORDER BY round(j, 9) DESC, hid) <= 3")
@@ -144,5 +155,5 @@ def _(spark, d):
     e = table(spark, d, "eval_items").select("item_id", T.word_set(F.col("question")).alias("a"))
     q = e.where("item_id % 100 = 0")
     h = e.select(F.col("item_id").alias("hid"), F.col("a").alias("b"))
-    j = h.join(F.broadcast(q), F.col("hid") != F.col("item_id")).withColumn("j", T.jaccard(F.col("a"), F.col("b"))).where("j >= 0.15")
+    j = h.join(q, F.col("hid") != F.col("item_id")).withColumn("j", T.jaccard(F.col("a"), F.col("b"))).where("j >= 0.15")
     return top(j, 3, [F.desc(F.round("j", 9)), F.col("hid")], ["item_id"]).select("item_id", "hid", F.round(F.col("j") * 0.6, 6).alias("score"))

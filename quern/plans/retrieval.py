@@ -28,7 +28,7 @@ def _(spark, d):
 
 @query("vector_threshold", f"SELECT q.vec_id AS query_id, count(*) AS n FROM embeddings e, embeddings q WHERE q.vec_id % 100 = 0 AND {_COS} >= 0.15 GROUP BY q.vec_id")
 def _(spark, d):
-    return R.vector_topk(table(spark, d, "embeddings"), _vec_queries(spark, d), k=1 << 40, threshold=R.VECTOR_THRESHOLD).groupBy("query_id").agg(F.count("*").alias("n"))
+    return R.vector_scores(table(spark, d, "embeddings"), _vec_queries(spark, d), R.VECTOR_THRESHOLD).groupBy("query_id").agg(F.count("*").alias("n"))
 
 
 @query("vector_valid", "SELECT count(*) AS n, round(sum(n1), 4) AS norms FROM (SELECT sqrt(list_sum(list_transform(embedding::DOUBLE[], lambda x: x * x))) AS n1 FROM embeddings) WHERE n1 > 0")
@@ -73,29 +73,36 @@ def _(spark, d):
 
 
 def _lists(spark, d):
-    """A vector-like list (by shared letters of the title) and a keyword list, both over documents."""
-    v = R.bm25(table(spark, d, "documents").withColumn("text", F.col("title")), _text_queries(spark, d))
-    return R.top(v, 50, [F.desc(F.round("score", 9)), F.col("id")]), R.top(_bm25(spark, d), 50, [F.desc(F.round("score", 9)), F.col("id")])
-
-
-_BOTH = f"""WITH {_BM}, kw AS (SELECT query_id, id, row_number() OVER (PARTITION BY query_id ORDER BY round(score, 9) DESC, id) AS rk FROM bm QUALIFY rk <= 50),
-t2 AS (SELECT doc_id AS id, regexp_extract_all(lower(title), '[\\p{{L}}\\p{{N}}]+') AS ws FROM documents), d2 AS (SELECT id, ws, len(ws) AS n FROM t2 WHERE len(ws) > 0), s2 AS (SELECT count(*) AS docs, avg(n) AS avg_len FROM d2),
-f2 AS (SELECT id, n, term, count(*) AS tf FROM (SELECT id, n, unnest(ws) AS term FROM d2) WHERE term IN (SELECT term FROM q) GROUP BY ALL), g2 AS (SELECT term, count(*) AS df FROM f2 GROUP BY term),
-b2 AS (SELECT query_id, id, sum(ln((docs - df + 0.5) / (df + 0.5) + 1) * tf * 2.2 / (tf + 1.2 * (0.25 + 0.75 * n / avg_len))) AS score FROM f2 JOIN g2 USING (term) JOIN q USING (term), s2 GROUP BY query_id, id),
-vv AS (SELECT query_id, id, row_number() OVER (PARTITION BY query_id ORDER BY round(score, 9) DESC, id) AS rv FROM b2 QUALIFY rv <= 50),
-fu AS (SELECT query_id, id, coalesce(0.7 / (rv + 60), 0) + coalesce(0.3 / (rk + 60), 0) AS score FROM vv FULL JOIN kw USING (query_id, id))
-SELECT query_id, id, round(score, 9) AS score, row_number() OVER (PARTITION BY query_id ORDER BY round(score, 12) DESC, id) AS rank FROM fu QUALIFY rank <= 10"""
-
-
-@query("hybrid_search", _BOTH)
-def _(spark, d):
+    """A vector list and a keyword list of documents: queries are those whose id is divisible by 100, by embedding and by title."""
+    docs, e = table(spark, d, "documents"), table(spark, d, "embeddings")
+    items = e.join(docs.select(F.col("doc_id").alias("vec_id")), "vec_id", "left_semi")
+    q = docs.where("doc_id % 100 = 0")
+    vq = e.join(q.select(F.col("doc_id").alias("vec_id")), "vec_id", "left_semi").select(F.col("vec_id").alias("query_id"), F.col("embedding").alias("query"))
+    v = R.vector_scores(items, vq, R.VECTOR_THRESHOLD).withColumn("score", F.round("score", 9))
+    k = R.bm25(docs, q.where("title is not null").select(F.col("doc_id").alias("query_id"), F.col("title").alias("query"))).withColumn("score", F.round("score", 9))
+    by = [F.desc("score"), F.col("id")]
+    return R.top(v, R.EMBEDDING_TOP_K, by), R.top(k, R.EMBEDDING_TOP_K, by)
+
+
+_HYBRID = f"""{_BM.replace("SELECT DISTINCT item_id AS query_id, unnest(regexp_extract_all(lower(question), '[\\p{L}\\p{N}]+')) AS term FROM eval_items", "SELECT DISTINCT doc_id AS query_id, unnest(regexp_extract_all(lower(title), '[\\p{L}\\p{N}]+')) AS term FROM documents WHERE doc_id % 100 = 0")},
+kw AS (SELECT query_id, id, row_number() OVER (PARTITION BY query_id ORDER BY round(score, 9) DESC, id) AS rk FROM bm QUALIFY rk <= 50),
+vs AS (SELECT q.vec_id AS query_id, e.vec_id AS id, round({_COS}, 9) AS score, {_COS} AS raw FROM embeddings e, embeddings q WHERE q.vec_id % 100 = 0 AND e.vec_id IN (SELECT doc_id FROM documents) AND q.vec_id IN (SELECT doc_id FROM documents)),
+vv AS (SELECT query_id, id, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, id) AS rv FROM vs WHERE raw >= 0.15 QUALIFY rv <= 50),
+fu AS (SELECT query_id, id, coalesce(0.7 / (rv + 60), 0) + coalesce(0.3 / (rk + 60), 0) AS score FROM vv FULL JOIN kw USING (query_id, id)),
+hy AS (SELECT query_id, id, round(score, 9) AS score, row_number() OVER (PARTITION BY query_id ORDER BY round(score, 12) DESC, id) AS rank FROM fu QUALIFY rank <= 10)"""
+
+
+def hybrid(spark, d):
     v, k = _lists(spark, d)
-    v = v.withColumn("score", F.round("score", 9))
-    k = k.withColumn("score", F.round("score", 9))
     f = R.fuse(v, k)
     return R.top(f, R.RERANK_TOP_K, [F.desc(F.round("score", 12)), F.col("id")]).select("query_id", "id", F.round("score", 9).alias("score"), "rank")
 
 
+@query("hybrid_search", f"WITH {_HYBRID} SELECT * FROM hy")
+def _(spark, d):
+    return hybrid(spark, d)
+
+
 @query("best_per_key", "SELECT user_id, arg_max(event_id, (value, -event_id)) AS event_id, max(value) AS value FROM events WHERE value IS NOT NULL GROUP BY user_id")
 def _(spark, d):
     return R.best_per_key(table(spark, d, "events").where("value is not null").select("user_id", "event_id", "value"), ["user_id"], "value", "event_id")

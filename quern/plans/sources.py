@@ -15,10 +15,9 @@ def _requests(spark, d):
     return table(spark, d, "read_requests").dropDuplicates(["request_id"])
 
 
-@query("parse_requests", "SELECT kind, count(*) AS n, count(*) FILTER (WHERE len > 0) AS with_text FROM (SELECT DISTINCT request_id, coalesce(nullif(lower(trim(file_type)), ''), 'txt') AS kind, octet_length(coalesce(file_content, ''::BLOB)) AS len FROM read_requests WHERE lower(coalesce(trim(file_type), '')) IN ('md', 'txt', 'pdf', '', 'html', 'docx', 'csv')) GROUP BY kind")
+@query("parse_requests", "SELECT kind, count(*) AS n, count(*) FILTER (WHERE len > 0) AS with_text FROM (SELECT DISTINCT request_id, coalesce(nullif(lower(trim(file_type)), ''), 'txt') AS kind, octet_length(coalesce(file_content, ''::BLOB)) AS len FROM read_requests) GROUP BY kind")
 def _(spark, d):
-    r = _requests(spark, d).where(F.lower(F.coalesce(F.trim("file_type"), F.lit(""))).isin("md", "txt", "pdf", "", "html", "docx", "csv"))
-    return parse_files(r, "file_content", "file_type", "request_id").groupBy("kind").agg(F.count("*").alias("n"), F.count("text").alias("with_text"))
+    return parse_files(_requests(spark, d), "file_content", "file_type", "request_id").groupBy("kind").agg(F.count("*").alias("n"), F.count("text").alias("with_text"))
 
 
 def _trip(fmt: str, **options):
