@@ -74,11 +74,14 @@ _IF = re.compile(r"\b(?:if|when|wenn|falls|sobald|si|lorsque|quand|cuando|se|als
 _STOP = re.compile(r"[.!?](?=\s)|[。！？]")
 _TAG = re.compile(rf"</?(?:{_TAGS.replace('[1-6#]', '[1-6]')})(?:\s[^<>]*)?/?>", re.I)
 _ADDRESS = re.compile(r"\b(?:https?://|www\.)\S+|\b[\w.+-]+@[\w-]+\.[\w.]+|\b\d{1,3}(?:\.\d{1,3}){3}\b", re.I)
-_DATE = re.compile(r"\d{4}[-/.年]\d{1,2}[-/.月]\d{1,2}日?|\d{1,2}[./]\d{1,2}[./]\d{2,4}")
-_NUMBER = re.compile(r"\d+(?:[.,]\d+)*")
+_NUMBER = re.compile(r"[0-9０-９]\d*([-/.年]\d{1,2}[-/.月]\d{1,4}日?(?!\d))?(?:[.,]\d+)*")
+# what begins with a rare sign is looked for first: three dots of an address in numbers, the second dot of a dotted name
+_MAY_BE_IP, _MAY_BE_DOTTED = re.compile(r"\.\d{1,3}\.\d"), re.compile(r"\.\w+\.[\w$<]")
+_BLANKS = {i: 32 for i in range(128) if not chr(i).isalpha()}
 #: A status code of the web, at the start of a line or after one word.
 _CODE = re.compile(r"(?m)^([\W_]*(?:[^\W\d]+ ?(?:#|http)? ?)?[ (（:]?)[45]\d\d(?=[)）]?(?:\s*[–:-]|\s+[^\W\d]|\s*[)）.。]?\s*$))")
-_PATH = re.compile(r"(?<![\w/])(?:/[\w.\-]+){2,}|\b(?:[A-Za-z_]\w+\.){2,}[\w$<>]+")
+_PATH = re.compile(r"/(?<![\w/].)[\w.\-]+(?:/[\w.\-]+)+")
+_DOTTED = re.compile(r"\b(?:[A-Za-z_]\w+\.){2,}[\w$<>]+")
 _JSON_VALUE = re.compile(r":\s*\"[^\"]*\"?|(?<=: )'[^'\n]*'")
 _MAY_BE_SLOT = re.compile(r"[\[{<«%$@#_（(](?:(?<=[%#«])[^\W\d]|(?<=%)\(|(?<=[\[{<])[\[{<?%]?\s*\$?[^\W\d]|(?<=<)[?%]|(?<=\$)\{|(?<=@)@|(?<=_)_|(?<=[（(])\s*(?:请填|待填|此处填|insert|please|bitte|por|rellenar|à))")
 _SPLIT = re.compile(r"[\W\d_]+")
@@ -180,7 +183,11 @@ def _stems():
 
 def _may(m: str) -> bool:
     latin, han = _stems()
-    if not m.isascii() and _HAN.search(m):
+    if len(m) < 2:
+        return False
+    if m.isascii():
+        return next(latin(f" {m.translate(_BLANKS)} "), None) is not None
+    if _HAN.search(m):
         return next(han(m), None) is not None
     return next(latin(f" {_SPLIT.sub(' ', m)} "), None) is not None
 
@@ -189,11 +196,15 @@ def masked(text: str) -> str:
     """``text`` without markup, with status codes, addresses, dates, paths and numbers masked."""
     if "<" in text:
         text = _TAG.sub("\n", text)
-    if "/" in text or "." in text:
-        text = _PATH.sub("<path>", _ADDRESS.sub("<addr>", text))
+    if "@" in text or "://" in text or "www." in text or _MAY_BE_IP.search(text):
+        text = _ADDRESS.sub("<addr>", text)
+    if "/" in text:
+        text = _PATH.sub("<path>", text)
+    if _MAY_BE_DOTTED.search(text):
+        text = _DOTTED.sub("<path>", text)
     if '{"' in text or "{'" in text:
         text = "\n".join(_JSON_VALUE.sub(": <q>", x) if x.lstrip()[:1] == "{" else x for x in text.split("\n"))
-    return _NUMBER.sub("#", _DATE.sub("<date>", _CODE.sub(r"\1<code>", text)))
+    return _NUMBER.sub(lambda m: "<date>" if m[1] else "#", _CODE.sub(r"\1<code>", text))
 
 
 def messages(text: str) -> Iterator[str]:
