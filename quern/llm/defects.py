@@ -84,13 +84,13 @@ def _announce() -> re.Pattern:
     return re.compile(ANNOUNCE, re.I)
 
 
-def said_of(clause: str, words: list[str]) -> int:
+def said_of(clause: str, words: list[str], han: bool) -> int:
     """The classes that the words of a clause belong to, as bits."""
     bits = 0
     get = _OF_WORD.get
     for w in words:
         bits |= get(w, 0)
-    if not clause.isascii() and _HAN.search(clause):
+    if han:
         for k, signs in enumerate(_OF_HAN):
             if any(x in clause for x in signs):
                 bits |= 1 << k
@@ -121,12 +121,14 @@ def clauses(text: str) -> list[tuple[str, bool]]:
     return out
 
 
-def tokens(text: str) -> list[str]:
-    """Words and numbers in lower case; Chinese as pairs of neighbouring characters."""
+def chinese(text: str) -> bool:
+    return not text.isascii() and _HAN.search(text) is not None
+
+
+def terms(words: list[str]) -> list[str]:
+    """Words and numbers as they are; Chinese as pairs of neighbouring characters."""
     out = []
-    if text.isascii() or not _HAN.search(text):
-        return _WORD.findall(text.lower())
-    for w in _WORD.findall(text.lower()):
+    for w in words:
         if _HAN.search(w):
             out.extend(map("".join, zip(w, w[1:])) if len(w) > 1 else [w])
         else:
@@ -167,31 +169,30 @@ class Languages:
         self.score = p
         self.known = [frozenset(), *({*counts[k], *SEEDS[self.names[k]]} for k in range(1, len(self.names)))]
 
-    def strange(self, text: str, lang: int) -> float:
+    def strange(self, raw: list[str], low: list[str], lang: int, chinese: bool) -> float:
         """The share of a text's words in small (or caseless) letters that no text of the language holds; 0 for few words."""
-        words = _LOWER.findall(text)
+        words = [w for w, v in zip(raw, low) if w == v and len(w) > 1 and w[0].isalpha() and not (chinese and _HAN.search(w))]
         if len(words) < 4:
             return 0.0
         if lang == 0:
-            return 0.0 if _HAN.search(text) else 1.0
+            return 0.0 if chinese else 1.0
         known = self.known[lang]
         return sum(w not in known for w in words) / len(words)
 
-    def __call__(self, text: str) -> np.ndarray:
-        """Scores of zh, en, de, fr, es."""
+    def __call__(self, words: list[str], chinese: bool) -> np.ndarray:
+        """Scores of zh, en, de, fr, es for the words of a text in lower case."""
         out = np.zeros(len(self.names))
         letters = han = 0
-        get = self.row.get
-        if text.isascii() or not _HAN.search(text):
-            words = _WORD.findall(text.lower())
-        else:
-            words = []
-            for w in _WORD.findall(text.lower()):
+        if chinese:
+            latin = []
+            for w in words:
                 if _HAN.search(w):
                     han += len(w)
                 else:
-                    words.append(w)
+                    latin.append(w)
                     letters += 0 if w[0].isdigit() else len(w)
+            words = latin
+        get = self.row.get
         known = [k for k in map(get, words) if k is not None]
         if known:
             out[1:] = self.score[known].sum(0)
@@ -212,8 +213,15 @@ class Reader:
         self.languages, self.complete = languages, complete
 
     def entry(self, questions: list[str]):
-        sets = [set(tokens(q)) for q in questions if q]
-        return sets, int(self.languages(" ".join(q for q in questions if q)).argmax()) if sets else None
+        sets, words, han = [], [], False
+        for q in questions:
+            if q:
+                ws = _WORD.findall(q.lower())
+                own = chinese(q)
+                sets.append(set(terms(ws) if own else ws))
+                words += ws
+                han |= own
+        return sets, int(self.languages(words, han).argmax()) if sets else None
 
     def __call__(self, entry, text: str) -> tuple[np.ndarray, np.ndarray]:
         """Features (n, N_FEATURES) and lengths of the clauses."""
@@ -225,7 +233,10 @@ class Reader:
         for i, (c, item) in enumerate(parts):
             said = announce.match(c)
             body = c[said.end() :] if said else c
-            ts = tokens(body)
+            han = chinese(c)
+            raw = _WORD.findall(body)
+            words = [w.lower() for w in raw]
+            ts = terms(words) if han else words
             n, uniq = len(ts), set(ts)
             size[i] = len(c)
             f = x[i]
@@ -239,8 +250,7 @@ class Reader:
                 f[5] = inside >= 0.9 and n >= 4
                 f[6] = cover
                 f[7] = cover >= 0.6
-            han = not c.isascii() and _HAN.search(c) is not None
-            about = said_of(c, _WORD.findall(c.lower()) if han else ts)
+            about = said_of(c, words, han)
             if about:
                 person, no, may, say, aside = (about >> k & 1 for k in range(5))
                 plain = _NAMED.search(c) is None and f[3] < 0.5
@@ -265,13 +275,13 @@ class Reader:
                         last_word = w
             f[8] = said is not None
             if lang is not None:
-                s = self.languages(c).tolist()
+                s = self.languages(words, han).tolist()
                 own = s.pop(lang)
                 margin = max(s) - own
                 f[9] = min(2.0, max(-2.0, margin / 4))
                 f[10] = margin > 4
                 f[11] = margin > 10
-                odd = self.languages.strange(c, lang)
+                odd = self.languages.strange(raw, words, lang, han)
                 f[33] = odd
                 f[34] = odd > 0.6
                 f[35] = odd > 0.85
@@ -485,45 +495,56 @@ def defect(tags: np.ndarray, size: np.ndarray) -> str | None:
 
 
 def _count(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """kind (0: a form, -1: entries, else the number of a language), key (a form or word), how often, and whether it stands closed, or unclosed at an end."""
+    """kind (0: a form, -1: entries, else the number of a language), key (a form or word), how often, and how often it stands closed, or unclosed at an end; each entry counts its weight."""
     for batch in it:
         words: list[Counter] = [Counter() for _ in LANGUAGES]
         forms: Counter = Counter()
-        closed: set[str] = set()
-        ends: set[str] = set()
-        for qs, answers in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+        closed: Counter = Counter()
+        ends: Counter = Counter()
+        total = 0
+        for qs, answers, weight in zip(*(batch.column(i).to_pylist() for i in range(3))):
+            total += weight
             texts = [a for a in answers or () if not empty(a)]
             for t in (" ".join(q for q in qs if q), *texts):
                 if (hit := settled(t)) is not None:
-                    words[hit[0]].update(hit[1])
+                    if weight == 1:
+                        words[hit[0]].update(hit[1])
+                    else:
+                        words[hit[0]].subtract(hit[1])
             for a in texts:
                 parts = clauses(a)
                 for c, _ in parts:
                     s = shape(c)
                     if len(s) < 60:
-                        forms[s] += 1
+                        forms[s] += weight
                         if _ENDS.search(c):
-                            closed.add(s)
+                            closed[s] += weight
                 c = parts[-1][0] if parts else ""
                 if c and len(c) < 60 and not _ENDS.search(c):
-                    ends.add(shape(c))
+                    ends[shape(c)] += weight
                     if len(parts) == 1:
-                        forms[shape(c)] += 1
+                        forms[shape(c)] += weight
                         if len(c) < 16 and _HAN.search(a):
-                            forms["~" + c[-3:]] += 1
-                            ends.add("~" + c[-3:])
-        rows = [(-1, "", batch.num_rows, False, False)]
-        rows += [(0, s, n, s in closed, s in ends) for s, n in forms.items()]
-        rows += [(k, w, n, False, False) for k, c in enumerate(words) for w, n in c.items()]
-        yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], t) for i, t in enumerate((pa.int32(), pa.string(), pa.int64(), pa.bool_(), pa.bool_()))], ["kind", "key", "n", "closed", "ends"])
+                            forms["~" + c[-3:]] += weight
+                            ends["~" + c[-3:]] += weight
+        rows = [(-1, "", total, 0, 0)]
+        rows += [(0, s, n, closed[s], ends[s]) for s, n in forms.items()]
+        rows += [(k, w, n, 0, 0) for k, c in enumerate(words) for w, n in c.items()]
+        yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], t) for i, t in enumerate((pa.int32(), pa.string(), pa.int64(), pa.int64(), pa.int64()))], ["kind", "key", "n", "closed", "ends"])
 
 
 def statistics(entries: DataFrame) -> tuple[Languages, set[str]]:
     """Languages, and the short forms that are whole answers, counted over all entries; of several rows of one id the latest counts."""
     at = F.coalesce(F.col("updated_at").cast("string"), F.lit(""))
     qs = F.concat(F.array("standard_question"), F.coalesce("similar_questions", F.array().cast("array<string>")))
-    one = entries.where("id is not null").groupBy("id").agg(F.max(F.struct(at.alias("at"), qs.alias("questions"), "answers")).alias("e")).select("e.questions", "e.answers")
-    counts = settle(one.mapInArrow(_count, "kind int, key string, n bigint, closed boolean, ends boolean").groupBy("kind", "key").agg(F.sum("n").alias("n"), F.max("closed").alias("closed"), F.max("ends").alias("ends")), "p2")
+    e = entries.where("id is not null").select("id", at.alias("at"), qs.alias("questions"), "answers")
+    # every row is counted where it is read; only the rows of repeated ids, all but the latest of each, are taken off again
+    again = e.groupBy("id").agg(F.count("*").alias("n")).where("n > 1").select("id")
+    rows = e.join(again, "id", "left_semi")
+    latest = rows.groupBy("id").agg(F.max(F.struct("at", "questions", "answers")).alias("e")).select("e.questions", "e.answers")
+    weighed = lambda df, w: df.select("questions", "answers", F.lit(w).alias("weight")).mapInArrow(_count, "kind int, key string, n bigint, closed bigint, ends bigint")
+    all_ = weighed(spread(e), 1).unionByName(weighed(rows, -1)).unionByName(weighed(latest, 1))
+    counts = settle(all_.groupBy("kind", "key").agg(F.sum("n").alias("n"), (F.sum("closed") > 0).alias("closed"), (F.sum("ends") > 0).alias("ends")).where("n > 0"), "p2")
     n = sum(r["n"] for r in counts.where("kind = -1").select("n").collect())
     # short forms that recur, or also stand with a closing sign, are whole answers; in proportion, as
     # in many entries any cut-off beginning comes again. Only those at an end without a sign are asked for.
