@@ -48,8 +48,8 @@ CONCEPTS = {
     "run": "enabl* activ* actív* aktivier* allow allows turn turned switch* permit* habilit* autoris* autoriz* erlaub* zulass* schalten einschalt* abgeschalt* ausgeschalt* deaktiv* disabl* désactiv* desactiv* deshabilit* disattiv* need needs requir* requier* requer* benötig* erforderlich necesit* nécessit* besoin block* bloqu* blockier* richiest* attiv* ativ* inschakel* run runs executes ejecuta exécut* führt esegue 启用 开启 允许 需要 关闭 停用 拦截 阻止 执行 屏蔽",
     "reload": "reload* refresh* recarg* recharg* neu ricaric* 刷新",
     "load": "loading cargando chargement geladen caricamento carregando laden 加载",
-    "web": "page pages site website server servers gateway backend proxy service session connection link url host requests address document item entry application seite server dienst sitzung verbindung link adresse dokument eintrag anfragen zugriff serveur connexion lien adresse requêtes passerelle élément accès página pagina sitio servidor servicio sesión conexión enlace dirección documento peticiones solicitudes pasarela elemento acceso sessione collegamento sessão ligação verbinding access permission berechtigung permiso droit autorisation inhalt 页面 网页 服务器 服务 会话 登录 连接 链接 文档 地址 请求 访问 网关 系统 网站 权限",
-    "hard": "unavailable unreachable expired ended timeout timed out lost overloaded busy withdrawn forbidden unauthorized denied maintenance failed failure moved abgelaufen überlastet unerreichbar zeitüberschreitung abgerissen unterbrochen zurückgezogen verweigert wartung* gewartet fehlt fehlgeschlagen introuvable indisponible expiré expirée saturé surchargé refusé interdit perdue interrompue retiré dépassé movido caducado expirado agotado perdido saturado ocupado sobrecargado retirado denegado mantenimiento scaduta scaduto manutenzione expirou manutenção verlopen onderhoud 找不到 失效 过期 超时 中断 断开 繁忙 撤回 拒绝 禁止 维护 不可用 丢 移走",
+    "web": "page pages site website server servers gateway backend proxy session connection link url host requests address document item entry application seite server sitzung verbindung link adresse dokument eintrag anfragen serveur connexion lien adresse requêtes passerelle élément página pagina sitio servidor sesión conexión enlace dirección documento peticiones solicitudes pasarela elemento sessione collegamento sessão ligação verbinding inhalt 页面 网页 服务器 会话 登录 连接 链接 文档 地址 请求 访问 网关 系统 网站 权限",
+    "hard": "unavailable unreachable expired ended timeout timed lost overloaded busy withdrawn forbidden unauthorized denied maintenance failed failure moved abgelaufen überlastet unerreichbar zeitüberschreitung abgerissen unterbrochen zurückgezogen verweigert wartung* gewartet fehlt fehlgeschlagen introuvable indisponible expiré expirée saturé surchargé refusé interdit perdue interrompue retiré dépassé movido caducado expirado agotado perdido saturado ocupado sobrecargado retirado denegado mantenimiento scaduta scaduto manutenzione expirou manutenção verlopen onderhoud 找不到 失效 过期 超时 中断 断开 繁忙 撤回 拒绝 禁止 维护 不可用 丢 移走",
     "deny": "not no never cannot n't nicht keine kein nie pas plus n' aucun no ningún nunca non não niet 不 没有 未 无",
     "there": "found located exist exists existed available reachable respond responding open view permission gefunden gibt existiert verfügbar erreichbar abrufbar antwortet berechtigung trouvée trouvé existe disponible droit permis autorisation encontrada encontrado existe permiso trovata trovato gevonden 存在 找到 权限 响应",
     "much": "many viele trop demasiadas demasiados troppe muitas 过多 频繁",
@@ -70,7 +70,9 @@ _HAN = re.compile(r"[㐀-鿿]")
 # Entries of a site's navigation, which may stand before a message in the same line.
 _NAV = re.compile(r"(?:home|search|login|products|claims|imprint|start|anmelden|produkte|suche|impressum|leistungen|inicio|buscar|entrar|productos|siniestros|aviso|accueil|recherche|connexion|produits|sinistres|mentions|首页|登录|搜索|产品|理赔|版权)\b", re.I)
 _CAPITAL = re.compile(r"(?<=\s)[A-ZÀ-Þ{\d㐀-鿿<]")
-_IF = re.compile(r"\b(?:if|when|wenn|falls|sobald|si|lorsque|quand|cuando|se|als)\b|如果|若")
+_IF = re.compile(r"\b(?:if|when|once|although|though|provided|in case|after|because|wenn|falls|sobald|sofern|obwohl|nachdem|si|lorsque|quand|dès que|bien que|pourvu|puisque|alors que|cuando|una vez|aunque|pese a|siempre que|después de|se|als)\b|如果|若|虽然|即使|一旦|只要")
+# a page of someone named is spoken about, a notice speaks of its own page
+_PAGE_OF = re.compile(r"\b(?:page|site|portal|seite|página)s?\s+(?:of|von|der|des|de|d['’<])|的\w{0,4}(?:页面|网站|门户)")
 _STOP = re.compile(r"[.!?](?=\s)|[。！？]")
 _TAG = re.compile(rf"</?(?:{_TAGS.replace('[1-6#]', '[1-6]')})(?:\s[^<>]*)?/?>", re.I)
 _ADDRESS = re.compile(r"\b(?:https?://|www\.)\S+|\b[\w.+-]+@[\w-]+\.[\w.]+|\b\d{1,3}(?:\.\d{1,3}){3}\b", re.I)
@@ -145,7 +147,7 @@ def kind_of_group(message: str) -> str | None:
     if message in OPEN_MARKS:
         return "filler"
     coded = "<code>" in message
-    if n > 24 or not (has or coded) or _rules()[2].search(message) or "load" not in has and _IF.search(message):
+    if n > 24 or not (has or coded) or _rules()[2].search(message) or "load" not in has and _IF.search(message) or _PAGE_OF.search(message):
         return None
     # a title of the error page: its code with nothing or few words
     if coded and (n <= 1 or n <= 6 and has & {"web", "hard", "fault", "deny"} or n <= 2 and "fault" in has):
