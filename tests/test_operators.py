@@ -34,6 +34,33 @@ def test_guard_rejects(spark, sql, why):
         G.validate(spark, sql, ["part"])
 
 
+@pytest.mark.parametrize("sql", [
+    "SELECT * FROM orders WHERE o_custkey > 18 AND o_orderstatus = 'F'", "SELECT * FROM orders WHERE o_orderstatus = 'x or 1=1'", "SELECT * FROM orders WHERE o_custkey = 1", "SELECT o_custkey, count(*) FROM orders GROUP BY o_custkey HAVING count(*) > 2",
+    "WITH a AS (SELECT * FROM orders) SELECT max(o_custkey) FROM a WHERE o_orderkey IN (SELECT o_orderkey FROM a)", "SELECT row_number() OVER (ORDER BY o_orderkey) FROM orders", "SELECT upper(trim(o_orderstatus)), date_trunc('month', o_orderdate) FROM orders /* note */",
+])
+def test_guard_accepts(spark, sql):
+    G.validate(spark, sql, ["orders"])
+
+
+@pytest.mark.parametrize("sql", [
+    "SELECT * FROM orders WHERE o_custkey = 1 OR 1=1", "SELECT * FROM orders WHERE o_orderstatus = 'a' OR '1'='1'", "SELECT * FROM orders WHERE 0=0", "SELECT * FROM orders WHERE true", "SELECT * FROM orders WHERE ''=''", "SELECT * FROM orders WHERE 1=0", "SELECT * FROM orders WHERE false",
+    "SELECT * FROM orders WHERE o_custkey = 1 AND 1=1", "SELECT * FROM orders WHERE 2>1", "SELECT * FROM orders WHERE o_custkey = o_custkey", "SELECT * FROM orders WHERE 'a' <> 'b'", "SELECT * FROM orders WHERE NOT (1 = 2)", "SELECT * FROM orders a JOIN orders b ON 1 = 1",
+    "SELECT o_custkey FROM orders GROUP BY o_custkey HAVING 1 = 1", "SELECT * FROM orders WHERE o_orderkey IN (SELECT o_orderkey FROM orders WHERE 3 = 3)", "SELECT reflect('java.lang.System', 'exit', 0)", "SELECT made_up(o_custkey) FROM orders", "SELECT input_file_name() FROM orders", "SELECT * FROM orders WHERE 1 + 1 = 2",
+])
+def test_guard_rejects_what_no_row_decides(spark, sql):
+    with pytest.raises(G.Rejected):
+        G.validate(spark, sql, ["orders"])
+
+
+def test_guard_scopes_do_not_meet(spark):
+    t = spark.range(10).selectExpr("id", "id % 2 as tenant")
+    spark.range(3).createOrReplaceTempView("t")  # a view of the session under the same name
+    a, b = (G.run(spark, "SELECT count(*) AS n, min(tenant) AS m FROM t", {"t": t}, {"t": f"tenant = {k}"}) for k in (0, 1))
+    assert [tuple(x.first()) for x in (a, b)] == [(5, 0), (5, 1)]
+    c = G.run(spark, "WITH x AS (SELECT * FROM T WHERE id > 5) SELECT count(*) AS n FROM x", {"t": t}, {"t": "tenant = 1"})
+    assert c.first().n == 2
+
+
 def test_guard_scopes(spark):
     part = spark.createDataFrame([(1, "a"), (2, "b"), (3, "a")], "k int, tenant string")
     got = G.run(spark, "WITH t AS (SELECT * FROM part) SELECT k FROM t UNION SELECT k FROM part", {"part": part}, {"part": "tenant = 'a'"})
