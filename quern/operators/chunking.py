@@ -3,10 +3,12 @@
 from __future__ import annotations
 
 import re
+from bisect import bisect_left, bisect_right
 from collections.abc import Iterator, Sequence
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
 
 # The defaults of the project, and what is never cut.
 SIZE, OVERLAP, SEPARATORS, HARD_LIMIT = 512, 80, ("\n\n", "\n", "。"), 7500
@@ -91,6 +93,115 @@ def by_headings(text: str, size: int = SIZE, overlap: int = OVERLAP, separators:
     return out
 
 
+# What marks a boundary in a text without Markdown headings, strongest first.
+MARKS = [
+    re.compile(r"\f"), re.compile(r"^(?:第[0-9一二三四五六七八九十百]+[章节条]|(?:chapter|section|kapitel|abschnitt|chapitre|capítulo)\s+\w+|[0-9]+(?:\.[0-9]+)*[.、]?\s+\S[^\n]{0,60}$)", re.M | re.I), re.compile(r"^(?:-{3,}|\*{3,}|_{3,}|={3,})[ \t]*$", re.M),
+    re.compile(r"\n[ \t]*\n+"), re.compile(r"^(?=[-*•] |\d+[.)] )", re.M), re.compile(r"\n"), re.compile(r"(?<=[.!?。！？])(?:\s+|(?=[^\s]))"),
+]
+STRONG = 3
+
+
+def boundaries(text: str) -> dict[int, int]:
+    """Place of each possible cut with its priority (0 the strongest); a mark that begins a line is cut before it, one between lines behind it."""
+    out: dict[int, int] = {}
+    for k, rx in enumerate(MARKS):
+        for m in rx.finditer(text):
+            at = m.start() if k in (1, 2, 4) else m.end()
+            if 0 < at < len(text):
+                out[at] = min(k, out.get(at, k))
+    return out
+
+
+def heuristic(text: str, size: int = SIZE, overlap: int = OVERLAP, separators: Sequence[str] = SEPARATORS) -> list[tuple[int, int, str]]:
+    """Chunks of texts whose structure isn't in Markdown: as much as fits, cut at the strongest boundary in the second half, the next one beginning at a boundary within the overlap; nothing without two strong marks."""
+    at = boundaries(text)
+    if sum(k < STRONG for k in at.values()) < 2:
+        return []
+    places = sorted(at)
+    out, a = [], 0
+    while len(text) - a > size:
+        some = [p for p in places[bisect_left(places, a + size // 2) : bisect_right(places, a + size)]]
+        end = max(some, key=lambda p: (-at[p], p)) if some else a + size
+        out.append((a, end, ""))
+        if some and at[end] < STRONG:
+            a = end  # nothing is carried over a strong boundary
+            continue
+        back = [p for p in places[bisect_left(places, end - overlap) : bisect_left(places, end)] if p > a]
+        a = back[0] if back else end
+    out.append((a, len(text), ""))
+    return out
+
+
+_TABLE = re.compile(r"(?:^\|[^\n]*\|[ \t]*(?:\n|\Z)){2,}", re.M)
+
+
+def carried_header(text: str, start: int) -> str:
+    """The header rows of the Markdown table that a chunk begins inside of, '' if it doesn't."""
+    for m in _TABLE.finditer(text):
+        if m.start() < start < m.end():
+            lines = m[0].split("\n")
+            head = lines[:2] if len(lines) > 1 and re.fullmatch(r"\|[\s:|-]+\|[ \t]*", lines[1]) else lines[:1]
+            at_row = start == m.start() or text[start - 1] == "\n"
+            return "\n".join(head) if at_row and start - m.start() > sum(len(x) + 1 for x in head) - 1 else ""
+        if m.start() >= start:
+            break
+    return ""
+
+
+def restored(text_chunks: Sequence[tuple[int, int, str]]) -> str:
+    """The text of (start, end, content) pieces that overlap."""
+    out, at = [], 0
+    for a, b, t in sorted(text_chunks):
+        if b > at:
+            out.append(t[max(0, at - a) :])
+            at = b
+    return "".join(out)
+
+
+def sections(pages: Sequence[tuple[int, str]], target: int = 3000, least: int = 400) -> list[tuple[str, int, int, str]]:
+    """(title, first page, last page, text) of the sections of a document of pages: cut before headings, small ones joined to the next up to the target, larger ones cut at line ends."""
+    blocks: list[tuple[str, int, int, str]] = []
+    title, lines, first, last = "", [], None, None
+
+    def close() -> None:
+        nonlocal lines, first
+        if lines:
+            blocks.append((title, first, last, "\n".join(lines)))
+        lines, first = [], None
+
+    for no, text in pages:
+        for line in text.split("\n"):
+            head = line.strip()
+            if head and len(head) <= 60 and (HEADING.match(line) or MARKS[1].match(head)):
+                close()
+                title = head.lstrip("# ").strip()
+            first = no if first is None else first
+            last = no
+            lines.append(line)
+    close()
+    joined: list[tuple[str, int, int, str]] = []
+    for b in blocks:
+        if joined and len(joined[-1][3]) < least and len(joined[-1][3]) + len(b[3]) < target:
+            t, p, _, text = joined[-1]
+            joined[-1] = (t or b[0], p, b[2], f"{text}\n{b[3]}")
+        else:
+            joined.append(b)
+    out = []
+    for t, p, q, text in joined:
+        while len(text) > target:
+            cut = text.rfind("\n", target // 2, target)
+            cut = target if cut < 0 else cut + 1
+            out.append((t, p, q, text[:cut]))
+            text = text[cut:]
+        out.append((t, p, q, text))
+    return out
+
+
+def embedding_content(context: Column, body: Column) -> Column:
+    """What is embedded of a chunk: its context, a blank line, and its trimmed text; without a context the text alone."""
+    return F.concat_ws("\n\n", F.when(F.coalesce(F.trim(context), F.lit("")) != "", F.trim(context)), F.trim(body))
+
+
 def problems(chunks: list[tuple[int, int, str]], text: str, size: int) -> list[str]:
     """Why a set of chunks is not fit, if so."""
     out = []
@@ -104,9 +215,9 @@ def problems(chunks: list[tuple[int, int, str]], text: str, size: int) -> list[s
 
 
 def chunk(text: str, size: int = SIZE, overlap: int = OVERLAP, separators: Sequence[str] = SEPARATORS) -> tuple[str, list[tuple[int, int, str]], list[str]]:
-    """(strategy, chunks, why others were rejected): by headings where there are some, else by separators, which always holds."""
+    """(strategy, chunks, why others were rejected): by headings where there are some, by other marks of structure, else by separators, which always holds."""
     why = []
-    for name, f in (("heading", by_headings), ("recursive", recursive)):
+    for name, f in (("heading", by_headings), ("heuristic", heuristic), ("recursive", recursive)):
         got = f(text, size, overlap, separators)
         bad = problems(got, text, size)
         if not bad or name == "recursive":
@@ -125,6 +236,8 @@ def chunks(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size
             for i, t in zip(pdf[id_col], pdf[text_col]):
                 if t:
                     name, got, _ = chunk(t, size, overlap, separators)
+                    # a chunk that begins inside a table carries its header rows
+                    got = [(a, b, "\n".join(x for x in (c, carried_header(t, a)) if x)) for a, b, c in got]
                     rows += [(i, k, a, b, name, c, t[a:b], k - 1 if k else None, k + 1 if k + 1 < len(got) else None) for k, (a, b, c) in enumerate(got)]
             yield pd.DataFrame(rows, columns=[id_col, "seq", "start_at", "end_at", "strategy", "context", "content", "prev_seq", "next_seq"]).astype({"prev_seq": "Int32", "next_seq": "Int32"})
 
