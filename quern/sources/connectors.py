@@ -2,15 +2,108 @@
 
 from __future__ import annotations
 
+import datetime as dt
 import hashlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from dataclasses import dataclass
 from xml.etree import ElementTree
 
 from pyspark.sql import SparkSession
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition, SimpleDataSourceStreamReader
 
-# Known kinds of sources; those that need a network are interfaces only.
-CATALOGUE = {"rss": True, "files": True, "web": False, "wiki": False, "mail": False, "drive": False, "chat": False}
+@dataclass(frozen=True)
+class Connector:
+    """What is known of a kind of source: whether it can be read here, and how."""
+
+    kind: str
+    name: str
+    offline: bool
+    incremental: bool
+    deletes: bool = False
+    needs: tuple[str, ...] = ()
+
+
+# Known kinds of sources; those that need a network are interfaces to be registered.
+CATALOGUE = {
+    c.kind: c
+    for c in (
+        Connector("rss", "RSS and Atom feeds", True, True), Connector("files", "Folders", True, True), Connector("crawler", "Web pages", False, False, needs=("fetch",)), Connector("wiki", "Wiki trees", False, True, True, ("fetch", "token")), Connector("notes", "Block documents", False, True, True, ("fetch", "token")),
+        Connector("repository", "Source repositories", False, True, True, ("fetch", "token")), Connector("drive", "Shared drives", False, True, True, ("fetch", "token")), Connector("chat", "Chats", False, True, needs=("fetch", "token")), Connector("mail", "Mailboxes", False, True, needs=("fetch", "token")),
+    )
+}
+
+
+def connectors(offline: bool | None = None, incremental: bool | None = None) -> list[Connector]:
+    """Known connectors, by kind, that have what is asked for."""
+    return [c for _, c in sorted(CATALOGUE.items()) if (offline is None or c.offline == offline) and (incremental is None or c.incremental == incremental)]
+
+
+def blocks_to_markdown(blocks: list[dict], depth: int = 0) -> str:
+    """The Markdown of a tree of blocks ``{"type", "text", "children", "checked", "language"}``; unknown kinds give their text."""
+    out, number = [], 0
+    for b in blocks:
+        kind, text, pad = b.get("type", ""), b.get("text", "") or "", "  " * depth
+        number = number + 1 if kind == "numbered_list_item" else 0
+        line = {
+            "heading_1": f"# {text}", "heading_2": f"## {text}", "heading_3": f"### {text}", "bulleted_list_item": f"{pad}- {text}", "numbered_list_item": f"{pad}{number}. {text}", "to_do": f"{pad}- [{'x' if b.get('checked') else ' '}] {text}",
+            "quote": f"> {text}", "code": f"```{b.get('language', '')}\n{text}\n```", "divider": "---",
+        }.get(kind, f"{pad}{text}")
+        out.append(line)
+        if b.get("children"):
+            out.append(blocks_to_markdown(b["children"], depth + 1))
+    return "\n".join(x for x in out if x)
+
+
+def paged(fetch: Callable[[str | None], tuple[list, str | None]], tries: int = 3, pause: Callable[[int], None] = lambda n: None) -> Iterator:
+    """All items of a source that gives pages and a cursor; a page that fails is tried again, a cursor that comes back ends it with an error."""
+    cursor, seen = None, set()
+    while True:
+        for n in range(tries):
+            try:
+                items, nxt = fetch(cursor)
+                break
+            except OSError:
+                if n + 1 == tries:
+                    raise
+                pause(n)
+        yield from items
+        if nxt is None:
+            return
+        if nxt in seen:
+            raise ValueError(f"cursor {nxt} came back")
+        seen.add(nxt)
+        cursor = nxt
+
+
+def sync_task(source_id: str, at: dt.datetime, running: bool = False) -> str | None:
+    """The id of a timed pull: one a minute and source, so replicas that fire together enqueue it once; none while one runs."""
+    return None if running else f"sync:{source_id}:{at.astimezone(dt.timezone.utc):%Y%m%d%H%M}"
+
+
+#: Web search by name: a function of (query, k) that gives (title, url, snippet); ``fixed`` answers from a list, for work without a network.
+SEARCHES: dict[str, Callable[[str, int], list[tuple[str, str, str]]]] = {}
+
+
+def web_search(name: str, query: str, k: int = 5) -> list[tuple[str, str, str]]:
+    """The results of a registered provider, each address once; an unknown provider is an error."""
+    if name not in SEARCHES:
+        raise KeyError(f"no web search {name}; known: {sorted(SEARCHES)}")
+    out, seen = [], set()
+    for title, url, text in SEARCHES[name](query, k):
+        if url not in seen and len(out) < k:
+            seen.add(url)
+            out.append((title, url, text))
+    return out
+
+
+def within_limits(documents: list[dict], most: int = 8, most_bytes: int = 256 << 20, most_pages: int = 20_000) -> list[dict]:
+    """A batch of documents (bytes, size, pages, sha256) as it is, or an error for all of it: beyond a limit, or where bytes aren't what their description says."""
+    if len(documents) > most or sum(d["size"] for d in documents) > most_bytes or sum(d.get("pages", 0) for d in documents) > most_pages:
+        raise ValueError("the batch is beyond a limit")
+    for d in documents:
+        if len(d["bytes"]) != d["size"] or hashlib.sha256(d["bytes"]).hexdigest() != d["sha256"]:
+            raise ValueError(f"{d.get('id')} isn't what its description says")
+    return documents
 
 
 class _File(InputPartition):

@@ -8,8 +8,10 @@ import email.policy
 import io
 import json
 import re
+import uuid
 import zipfile
 from collections.abc import Callable, Iterator
+from dataclasses import dataclass
 from html.parser import HTMLParser
 from xml.etree import ElementTree
 
@@ -374,3 +376,93 @@ def union_by_name(frames: list[DataFrame]) -> DataFrame:
     return out
 
 
+
+
+def pipeline(*steps: Callable[[bytes], str]) -> Callable[[bytes], str]:
+    """One parser out of several: the text of each is the input of the next."""
+
+    def run(content: bytes) -> str:
+        for step in steps:
+            content = step(content if isinstance(content, bytes) else content.encode())
+        return content if isinstance(content, str) else content.decode("utf-8", "replace")
+
+    return run
+
+
+@dataclass(frozen=True)
+class Engine:
+    """A named set of parsers for some types; ``available`` tells whether it can run here (and why not)."""
+
+    name: str
+    types: frozenset[str]
+    parse: Callable[[str, bytes], str]
+    available: Callable[[], tuple[bool, str]] = lambda: (True, "")
+
+
+#: Engines by name; those that need services or programs of their own are registered from outside.
+ENGINES: dict[str, Engine] = {}
+
+
+def register_engine(engine: Engine) -> None:
+    ENGINES[engine.name] = engine
+
+
+def with_engine(name: str | None, kind: str, content: bytes) -> tuple[str, str]:
+    """(engine, text) by the named engine if it knows the type and is available, else by the parsers of the registry."""
+    e = ENGINES.get(name or "")
+    if e is not None and kind in e.types and e.available()[0]:
+        return e.name, e.parse(kind, content)
+    _, text, error = parse(kind, content)
+    if text is None:
+        raise ValueError(error)
+    return "builtin", text
+
+
+def repaired_workbook(content: bytes) -> bytes | None:
+    """A workbook whose shared strings are missing or stand under a name in other case, mended; None if nothing was to mend or it is no archive."""
+    want = "xl/sharedStrings.xml"
+    try:
+        src = zipfile.ZipFile(io.BytesIO(content))
+    except zipfile.BadZipFile:
+        return None
+    names = src.namelist()
+    if want in names:
+        return None
+    other = next((n for n in names if n.lower() == want.lower() or n.lower().rpartition("/")[2] == "sharedstrings.xml"), None)
+    out = io.BytesIO()
+    with zipfile.ZipFile(out, "w", zipfile.ZIP_DEFLATED) as z:
+        for n in names:
+            if n != other:
+                z.writestr(n, src.read(n))
+        z.writestr(want, src.read(other) if other else b'<?xml version="1.0"?><sst xmlns="http://schemas.openxmlformats.org/spreadsheetml/2006/main" count="0" uniqueCount="0"/>')
+    return out.getvalue()
+
+
+def materialised(spark: SparkSession, path: str, folder: str) -> str:
+    """A copy of a file of any file system in a shared folder, its ending kept; an error of reading comes through."""
+    from quern.runtime import _hadoop
+
+    ending = re.search(r"\.[A-Za-z0-9]+$", path)
+    to = f"{folder.rstrip('/')}/{uuid.uuid4().hex}{ending[0] if ending else ''}"
+    fs, p = _hadoop(spark, path)
+    tfs, t = _hadoop(spark, to)
+    tfs.mkdirs(t.getParent())
+    spark._jvm.org.apache.hadoop.fs.FileUtil.copy(fs, p, tfs, t, False, spark._jsparkSession.sessionState().newHadoopConf())
+    return to
+
+
+def workbook_rows(df: DataFrame, content: str, *keys: str) -> DataFrame:
+    """keys, sheet, row_no, cells (map of column to text) of all rows below the header of every sheet, read where the bytes lie."""
+    head = ", ".join(f"`{k}` {df.schema[k].dataType.simpleString()}" for k in keys)
+
+    def run(it: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in it:
+            for values in pdf.itertuples(index=False):
+                raw = values[len(keys)]
+                rows = []
+                for name, grid in sheets(repaired_workbook(bytes(raw)) or bytes(raw)) if raw is not None else ():
+                    header = [str(h) for h in grid[0]] if grid else []
+                    rows += [(*values[: len(keys)], name, i, {h: (None if v is None else str(v)) for h, v in zip(header, r)}) for i, r in enumerate(grid[1:], 1)]
+                yield pd.DataFrame(rows, columns=[*keys, "sheet", "row_no", "cells"])
+
+    return df.select(*keys, content).mapInPandas(run, f"{head}{', ' if head else ''}sheet string, row_no int, cells map<string,string>")

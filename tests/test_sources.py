@@ -62,3 +62,59 @@ def test_tables(spark, tmp_path):
     connectors.register(spark)
     paths = f"{tmp_path}/f.xml,{tmp_path}/broken.xml"
     assert [r.id for r in spark.read.format("quern_feed").option("paths", paths).load().collect()] == ["g"]
+
+
+def test_pipeline_engines_and_repair(spark, tmp_path):
+    from quern.sources import parsers as P
+
+    two = P.pipeline(lambda b: b.decode().upper(), lambda b: f"<{b.decode()}>")
+    assert two(b"ab") == "<AB>"
+    P.register_engine(P.Engine("loud", frozenset({"txt"}), lambda kind, b: b.decode().upper()))
+    P.register_engine(P.Engine("gone", frozenset({"txt"}), lambda kind, b: "", lambda: (False, "no service")))
+    assert P.with_engine("loud", "txt", b"hi") == ("loud", "HI") and P.with_engine("gone", "txt", b"hi") == ("builtin", "hi") and P.with_engine(None, "md", b"# x")[0] == "builtin"
+    fixed = P.repaired_workbook(zipped(**BOOK))
+    assert "xl/sharedStrings.xml" in zipfile.ZipFile(io.BytesIO(fixed)).namelist() and sheets(fixed) == sheets(zipped(**BOOK))
+    assert P.repaired_workbook(fixed) is None and P.repaired_workbook(b"no zip") is None
+    none = {k: v for k, v in BOOK.items() if "haredStrings" not in k and "s1.xml" not in k}
+    assert sheets(P.repaired_workbook(zipped(**none)))
+    df = spark.createDataFrame([("a", bytearray(zipped(**BOOK))), ("b", None)], "id string, content binary")
+    got = {(r.id, r.sheet, r.row_no, tuple(sorted(r.cells.items()))) for r in P.workbook_rows(df, "content", "id").collect()}
+    assert got == {("a", "Q1'24", 1, (("amount", "9"), ("id", "7"))), ("a", "Two", 1, (("sku", "5"),)), ("a", "Two", 2, (("sku", "5"),))}
+    (tmp_path / "in.csv").write_bytes(b"a,b")
+    to = P.materialised(spark, f"file://{tmp_path}/in.csv", f"file://{tmp_path}/out")
+    assert to.endswith(".csv") and spark.read.text(to).first().value == "a,b"
+
+
+def test_connector_helpers():
+    import datetime as dt
+    import hashlib
+
+    import pytest
+
+    from quern.sources import connectors as C
+
+    assert [c.kind for c in C.connectors(offline=True)] == ["files", "rss"] and all(c.needs for c in C.connectors(offline=False))
+    assert C.blocks_to_markdown([{"type": "heading_1", "text": "T"}, {"type": "numbered_list_item", "text": "a"}, {"type": "numbered_list_item", "text": "b", "children": [{"type": "to_do", "text": "c", "checked": True}]}, {"type": "odd", "text": "p"}]) == "# T\n1. a\n2. b\n  - [x] c\np"
+    pages = {None: ([1, 2], "x"), "x": ([3], None)}
+    failed = []
+
+    def fetch(cursor):
+        if cursor == "x" and not failed:
+            failed.append(1)
+            raise OSError("once")
+        return pages[cursor]
+
+    assert list(C.paged(fetch)) == [1, 2, 3]
+    with pytest.raises(ValueError):
+        list(C.paged(lambda c: ([], "same")))
+    at = dt.datetime(2024, 1, 1, 10, 5, 59, tzinfo=dt.timezone.utc)
+    assert C.sync_task("s", at) == C.sync_task("s", at.replace(second=1)) == "sync:s:202401011005" and C.sync_task("s", at, True) is None
+    C.SEARCHES["fixed"] = lambda q, k: [("a", "u", q), ("b", "u", q), ("c", "v", q)]
+    assert [x[1] for x in C.web_search("fixed", "q")] == ["u", "v"]
+    with pytest.raises(KeyError):
+        C.web_search("none", "q")
+    doc = {"id": 1, "bytes": b"ab", "size": 2, "sha256": hashlib.sha256(b"ab").hexdigest()}
+    assert C.within_limits([doc]) == [doc]
+    for bad in ([doc] * 9, [doc | {"size": 3}], [doc | {"pages": 30_000}]):
+        with pytest.raises(ValueError):
+            C.within_limits(bad)
