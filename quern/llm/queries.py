@@ -129,4 +129,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {k: v.strip() for k, v in {**ORACLE, "p4_found": _p4_sql()}.items()}
+    return {k: v.strip() for k, v in {**ORACLE, "p4_found": _p4_sql(), "p4_forms": _p4_sql().partition("SELECT DISTINCT a.record_id")[0] + "SELECT DISTINCT record_id, field, nullif(page, -1) AS page, c AS form FROM n"}.items()}
