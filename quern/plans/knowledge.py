@@ -51,7 +51,7 @@ def _(spark, d):
     return K.lineage(g.select("doc", "quote"), chunks, "doc", "quote", "content", "chunk_id").groupBy("status").agg(F.count("*").alias("n"))
 
 
-@query("dictionary_match")
+@query("dictionary_match", r"WITH d AS (SELECT doc_id, ' ' || array_to_string(regexp_extract_all(lower(text), '[\p{L}\p{N}]+'), ' ') || ' ' AS t FROM documents), n AS (SELECT DISTINCT product_id, trim(regexp_replace(lower(canonical_name), '\s+', ' ', 'g'), ' ') AS n, ' ' || array_to_string(regexp_extract_all(lower(canonical_name), '[\p{L}\p{N}]+'), ' ') || ' ' AS w FROM insurance_products WHERE length(trim(canonical_name)) > 0), m AS (SELECT doc_id, product_id, n FROM d JOIN n ON contains(t, w)) SELECT doc_id, product_id AS name_id FROM m WHERE NOT EXISTS (SELECT 1 FROM m x WHERE x.doc_id = m.doc_id AND x.n <> m.n AND contains(' ' || x.n || ' ', ' ' || m.n || ' '))")
 def _(spark, d):
     return K.dictionary_match(table(spark, d, "documents"), table(spark, d, "insurance_products"), "doc_id", "text", "product_id", "canonical_name").select(F.col("id").alias("doc_id"), "name_id")
 

@@ -37,7 +37,7 @@ def _(spark, d):
     return M.expand_text(x, ["knowledge_base_id"], ["doc_id"], "text").select("doc_id", F.length("expanded").alias("n"))
 
 
-@query("budget_batches")
+@query("budget_batches", "WITH RECURSIVE o AS (SELECT coalesce(knowledge_base_id, '') AS kb, n_chars AS s, row_number() OVER (PARTITION BY coalesce(knowledge_base_id, '') ORDER BY doc_id) AS i FROM documents WHERE n_chars IS NOT NULL), r AS (SELECT kb, i, s, s AS used, 0 AS batch FROM o WHERE i = 1 UNION ALL SELECT o.kb, o.i, o.s, CASE WHEN r.used > 0 AND r.used + o.s > 8000 THEN o.s ELSE r.used + o.s END, CASE WHEN r.used > 0 AND r.used + o.s > 8000 THEN r.batch + 1 ELSE r.batch END FROM r JOIN o ON o.kb = r.kb AND o.i = r.i + 1) SELECT kb, batch, count(*) AS n, sum(s)::BIGINT AS chars FROM r GROUP BY ALL")
 def _(spark, d):
     x = table(spark, d, "documents").where("n_chars is not null").select("doc_id", F.coalesce("knowledge_base_id", F.lit("")).alias("kb"), "n_chars")
     return M.batches(x, "kb", ["doc_id"], "n_chars", 8000).groupBy("kb", "batch").agg(F.count("*").alias("n"), F.sum("n_chars").alias("chars"))
@@ -56,7 +56,7 @@ def _(spark, d):
     return M.breadcrumbs(_lines(spark, d), "doc_id", "no", "line").groupBy("doc_id", "crumb").agg(F.count("*").alias("n"))
 
 
-@query("table_headers")
+@query("table_headers", r"WITH l AS (SELECT doc_id, unnest(range(len(ls))) AS no, unnest(ls) AS line FROM (SELECT doc_id, string_split(text, chr(10)) AS ls FROM documents)), r AS (SELECT *, regexp_full_match(line, '\s*\|.*\|\s*') AS row FROM l), f AS (SELECT *, row AND NOT coalesce(lag(row) OVER (PARTITION BY doc_id ORDER BY no), false) AS first FROM r), h AS (SELECT doc_id, row, last_value(CASE WHEN first THEN line END IGNORE NULLS) OVER (PARTITION BY doc_id ORDER BY no ROWS UNBOUNDED PRECEDING) AS header FROM f) SELECT doc_id, header, count(*) AS n FROM h WHERE row GROUP BY ALL")
 def _(spark, d):
     return M.table_headers(_lines(spark, d), "doc_id", "no", "line").where("header is not null").groupBy("doc_id", "header").agg(F.count("*").alias("n"))
 
@@ -175,7 +175,7 @@ def _(spark, d):
     return I.as_of(e.where("event_type = 'purchase'").select("event_id", "user_id", "ts"), right, "user_id", "ts", "ts", "value").select("event_id", "value")
 
 
-@query("sliding_limit")
+@query("sliding_limit", "WITH RECURSIVE o AS (SELECT user_id, ts, row_number() OVER (PARTITION BY user_id ORDER BY ts) AS i FROM events WHERE user_id IS NOT NULL), r AS (SELECT user_id, i, [ts] AS held, true AS ok FROM o WHERE i = 1 UNION ALL SELECT o.user_id, o.i, CASE WHEN len(list_filter(r.held, lambda x: o.ts - x < INTERVAL 1 HOUR)) < 3 THEN list_append(list_filter(r.held, lambda x: o.ts - x < INTERVAL 1 HOUR), o.ts) ELSE list_filter(r.held, lambda x: o.ts - x < INTERVAL 1 HOUR) END, len(list_filter(r.held, lambda x: o.ts - x < INTERVAL 1 HOUR)) < 3 FROM r JOIN o ON o.user_id = r.user_id AND o.i = r.i + 1) SELECT user_id, count(*) FILTER (WHERE ok) AS admitted, count(*) AS n FROM r GROUP BY user_id")
 def _(spark, d):
     e = table(spark, d, "events").select("event_id", "user_id", "ts")
     return I.sliding_limit(e, "user_id", "ts", 3600, 3).groupBy("user_id").agg(F.count_if("admitted").alias("admitted"), F.count("*").alias("n"))

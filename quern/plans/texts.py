@@ -141,7 +141,7 @@ def _(spark, d):
     return table(spark, d, "wiki_releases").select("release_id", T.tagged_hash("release", 1, F.col("candidate_digest")).alias("h")).distinct()
 
 
-@query("text_cjk_tokens")
+@query("text_cjk_tokens", r"SELECT doc_id, (coalesce(list_sum(list_transform(regexp_extract_all(lower(text), '[\x{4E00}-\x{9FFF}\x{3400}-\x{4DBF}]+'), lambda r: greatest(length(r) - 1, 1))), 0) + len(regexp_extract_all(regexp_replace(lower(text), '[\x{4E00}-\x{9FFF}\x{3400}-\x{4DBF}]+', ' ', 'g'), '[\p{L}\p{N}]+')))::INT AS n FROM documents")
 def _(spark, d):
     return _docs(spark, d).select("doc_id", F.size(T.cjk_tokens(F.col("text"))).alias("n"))
 

@@ -8,7 +8,8 @@ from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 from xml.etree import ElementTree
 
-from pyspark.sql import SparkSession
+import pandas as pd
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition, SimpleDataSourceStreamReader
 
 @dataclass(frozen=True)
@@ -128,7 +129,7 @@ def feed_items(text: str) -> Iterator[tuple[str, str, str, str, str]]:
 
 
 class FeedSource(DataSource):
-    """``spark.read.format("quern_feed").option("paths", "a.xml,b.xml")``: the items of feeds, one partition a file.
+    """``spark.read.format("quern_feed").option("paths", "a.xml,b.xml")``: the items of feeds, one partition a file; paths without a scheme are local ones.
 
     As a stream it gives, on each pull, the items of one more file.
     """
@@ -151,9 +152,28 @@ class FeedSource(DataSource):
 
 
 def _read(path: str) -> Iterator[tuple]:
-    with open(path, encoding="utf-8") as f:
-        for item in feed_items(f.read()):
-            yield (*item, path)
+    if "://" in path:
+        from pyarrow import fs
+
+        store, name = fs.FileSystem.from_uri(path)
+        with store.open_input_file(name) as f:
+            text = f.read().decode("utf-8", "replace")
+    else:
+        with open(path, encoding="utf-8") as f:
+            text = f.read()
+    for item in feed_items(text):
+        yield (*item, path)
+
+
+def read_feeds(spark: SparkSession, paths: list[str]) -> DataFrame:
+    """The items of feeds on any file system that Spark knows; the files are read by Spark's own scan."""
+
+    def run(it: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in it:
+            rows = [(*item, p) for p, c in zip(pdf["path"], pdf["content"]) for item in feed_items(bytes(c).decode("utf-8", "replace"))]
+            yield pd.DataFrame(rows, columns=["id", "title", "link", "summary", "fingerprint", "feed"])
+
+    return spark.read.format("binaryFile").load(paths).select("path", "content").mapInPandas(run, "id string, title string, link string, summary string, fingerprint string, feed string")
 
 
 class _FeedReader(DataSourceReader):
