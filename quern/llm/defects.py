@@ -539,12 +539,14 @@ def statistics(entries: DataFrame) -> tuple[Languages, set[str]]:
     qs = F.concat(F.array("standard_question"), F.coalesce("similar_questions", F.array().cast("array<string>")))
     e = entries.where("id is not null").select("id", at.alias("at"), qs.alias("questions"), "answers")
     # every row is counted where it is read; only the rows of repeated ids, all but the latest of each, are taken off again
-    again = e.groupBy("id").agg(F.count("*").alias("n")).where("n > 1").select("id")
-    rows = e.join(again, "id", "left_semi")
+    again = settle(e.groupBy("id").agg(F.count("*").alias("n")).where("n > 1").select("id"), "again")  # written, so the optimiser knows its size
+    rows = settle(e.join(again, "id", "left_semi"), "rows")
     latest = rows.groupBy("id").agg(F.max(F.struct("at", "questions", "answers")).alias("e")).select("e.questions", "e.answers")
     weighed = lambda df, w: df.select("questions", "answers", F.lit(w).alias("weight")).mapInArrow(_count, "kind int, key string, n bigint, closed bigint, ends bigint")
     all_ = weighed(spread(e), 1).unionByName(weighed(rows, -1)).unionByName(weighed(latest, 1))
     counts = settle(all_.groupBy("kind", "key").agg(F.sum("n").alias("n"), (F.sum("closed") > 0).alias("closed"), (F.sum("ends") > 0).alias("ends")).where("n > 0"), "p2")
+    discard(again)
+    discard(rows)
     n = sum(r["n"] for r in counts.where("kind = -1").select("n").collect())
     # short forms that recur, or also stand with a closing sign, are whole answers; in proportion, as
     # in many entries any cut-off beginning comes again. Only those at an end without a sign are asked for.
