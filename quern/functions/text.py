@@ -131,13 +131,20 @@ def entities(c: Column, kind: str) -> Column:
     return F.regexp_extract_all(c, F.lit(ENTITIES[kind]), 1)
 
 
+# What is taken out of a passage before the lines of its tables, and after them.
+PASSAGE_FIRST = [
+    (r"(?s)```.*?```", ""), (r"(?s)\$\$.+?\$\$", ""), (r"!\[[^\]\n]*\]\([^()\n]*\)", ""), (r"\[([^\]\n]+)\]\([^()\n]*\)", "$1"), (r"https?://\S+", ""), (r"<[^<>\n]+>", ""), (r"(?m)^[ \t]*\|[ \t:|-]+\|[ \t]*$", ""),
+]
+PASSAGE_LAST = [(r"(?m)^#{1,6}[ ]+", ""), (r"(?m)^>[ ]?", ""), (r"(?m)^[ \t]*(?:[-*+]|[0-9]+\.)[ ]+", ""), (r"\*{1,3}([^*\n]+)\*{1,3}", "$1"), (r"\n{3,}", "\n\n")]
+
+
 def clean_passage(c: Column) -> Column:
-    """Markdown to plain passage text: code, maths, tags, images, links, addresses, tables, headings, quotes, emphasis, lists, blank lines."""
-    steps = [
-        (r"(?s)```.*?```", " "), (r"\$\$[^$]+\$\$", " "), (r"<[^<>\n]+>", " "), (r"!\[([^\]\n]*)\]\([^()\n]*\)", "$1"), (r"\[([^\]\n]+)\]\([^()\n]*\)", "$1"), (r"https?://\S+", " "),
-        (r"(?m)^\|[ :|-]+\|$", ""), (r"(?m)^#{1,6}[ ]+", ""), (r"(?m)^>[ ]?", ""), (r"\*\*([^*\n]+)\*\*", "$1"), (r"(?m)^[-*][ ]+", ""), (r"\n{3,}", "\n\n"),
-    ]
-    return F.trim(reduce(lambda x, s: F.regexp_replace(x, *s), steps, c))
+    """Markdown to plain passage text: code, maths, images, addresses and tags go, links leave their text, rows of tables become lists with commas, marks of headings, quotes, lists and emphasis go, blank lines become one."""
+    c = reduce(lambda x, s: F.regexp_replace(x, *s), PASSAGE_FIRST, c)
+    row = lambda x: F.array_join(F.transform(F.split(F.regexp_replace(x, r"^[ \t]*\||\|[ \t]*$", ""), r"\|"), lambda y: F.trim(y)), ", ")
+    lines = F.transform(F.split(c, "\n"), lambda x: F.when(x.rlike(r"^[ \t]*\|.*\|[ \t]*$"), row(x)).otherwise(x))
+    c = F.when(F.contains(c, F.lit("|")), F.array_join(lines, "\n")).otherwise(c)
+    return F.trim(reduce(lambda x, s: F.regexp_replace(x, *s), PASSAGE_LAST, c))
 
 
 def strip_tags(c: Column) -> Column:

@@ -36,6 +36,13 @@ def match(nodes: DataFrame, edges: DataFrame, terms: Sequence[str], name: str =
     return n.join(both, "name").distinct()
 
 
+def _rare_first(sets: DataFrame, freq: DataFrame, threshold: float) -> DataFrame:
+    """id, t, g: of each set (id, t) its elements in order of ``freq`` (g, df), rare ones first, with a row for each of those that a set overlapping by ``threshold`` must share one of."""
+    o = sets.select("id", F.explode("t").alias("g")).join(freq, "g", "left").groupBy("id").agg(F.transform(F.array_sort(F.collect_list(F.struct(F.coalesce("df", F.lit(0)).alias("df"), "g"))), lambda s: s.g).alias("t"))
+    n = F.size("t")
+    return o.select("id", "t", F.explode(F.slice("t", F.lit(1), (n - F.ceil(n * threshold - 1e-9) + 1).cast("int"))).alias("g"))
+
+
 def resolve_links(links: DataFrame, pages: DataFrame, threshold: float = 0.8) -> DataFrame:
     """link, slug, how: each link's page by its slug, by its normalised title, or by the best overlap of bigrams.
 
@@ -49,8 +56,12 @@ def resolve_links(links: DataFrame, pages: DataFrame, threshold: float = 0.8) ->
     rest = lk.join(a, "link", "left_anti").withColumn("n", norm(F.col("link")))
     b = rest.join(p.select("slug", F.explode(F.array_distinct(F.array("ns", "nt"))).alias("n")), "n").groupBy("link").agg(F.min("slug").alias("slug")).select("link", "slug", F.lit("normalised").alias("how"))
     rest = rest.join(b, "link", "left_anti").select("link", T.char_bigrams(F.col("link")).alias("lb"))
-    meet = rest.select("link", "lb", F.explode("lb").alias("g")).join(p.select("slug", "pb", F.explode("pb").alias("g")), "g").drop("g").distinct()
-    best = meet.withColumn("s", T.jaccard(F.col("lb"), F.col("pb"))).where(F.col("s") >= threshold)
+    # two sets that overlap so share a pair among the rarest few of each, so frequent pairs bring nobody together
+    freq = p.select(F.explode("pb").alias("g")).groupBy("g").agg(F.count("*").alias("df"))
+    left = _rare_first(rest.select(F.col("link").alias("id"), F.col("lb").alias("t")), freq, threshold).select(F.col("id").alias("link"), F.col("t").alias("lb"), "g")
+    right = _rare_first(p.select(F.col("slug").alias("id"), F.col("pb").alias("t")).distinct(), freq, threshold).select(F.col("id").alias("slug"), F.col("t").alias("pb"), "g")
+    best = left.join(right, "g").drop("g").distinct()
+    best = best.withColumn("s", T.jaccard(F.col("lb"), F.col("pb"))).where(F.col("s") >= threshold)
     c = best.withColumn("r", F.row_number().over(Window.partitionBy("link").orderBy(F.desc("s"), "slug"))).where("r = 1").select("link", "slug", F.lit("fuzzy").alias("how"))
     return a.unionByName(b).unionByName(c)
 
@@ -72,9 +83,7 @@ def similar_pairs(items: DataFrame, id_col: str, tokens: str, threshold: float)
     """id_a, id_b, score: pairs of distinct rows whose sets overlap by at least ``threshold``, meeting by shared prefix tokens, rare ones first."""
     x = items.select(F.col(id_col).alias("id"), F.array_distinct(tokens).alias("t")).where(F.size("t") > 0)
     df = x.select(F.explode("t").alias("g")).groupBy("g").agg(F.count("*").alias("df"))
-    order = x.select("id", F.explode("t").alias("g")).join(df, "g").groupBy("id").agg(F.transform(F.array_sort(F.collect_list(F.struct("df", "g"))), lambda s: s.g).alias("t"))
-    n = F.size("t")
-    pre = order.select("id", "t", F.explode(F.slice("t", F.lit(1), (n - F.ceil(n * threshold - 1e-9) + 1).cast("int"))).alias("g"))
+    pre = _rare_first(x, df, threshold)
     a, b = pre.select(F.col("id").alias("id_a"), F.col("t").alias("ta"), "g"), pre.select(F.col("id").alias("id_b"), F.col("t").alias("tb"), "g")
     c = a.join(b, "g").where("id_a < id_b and size(tb) >= size(ta) * {0} and size(ta) >= size(tb) * {0}".format(threshold)).drop("g").dropDuplicates(["id_a", "id_b"])
     return c.withColumn("score", T.jaccard(F.col("ta"), F.col("tb"))).where(F.col("score") >= threshold - 1e-9).select("id_a", "id_b", "score")

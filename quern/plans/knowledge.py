@@ -96,7 +96,7 @@ def _(spark, d):
     return K.anchors_per_key(table(spark, d, "orders"), "o_custkey", ["o_orderdate", "o_orderkey"], 25).select("o_custkey", "o_orderkey")
 
 
-@query("values_equal")
+@query("values_equal", r"WITH g AS (SELECT DISTINCT record_id, product_id, doc, field_id, value FROM golden_records), n AS (SELECT *, trim(regexp_replace(lower(value), '\s+', ' ', 'g'), ' ') AS nv, regexp_replace(trim(value, ' '), '[,\s]', '', 'g') AS t, regexp_extract(trim(value, ' '), '^([0-9]{4})[-/.年]([0-9]{1,2})[-/.月]([0-9]{1,2})日?$', 0) AS p FROM g), m AS (SELECT *, CASE WHEN regexp_full_match(t, '-?[0-9]+(\.[0-9]+)?') THEN try_cast(t AS DOUBLE) WHEN regexp_full_match(t, '-?[0-9]+(\.[0-9]+)?%') THEN try_cast(replace(t, '%', '') AS DOUBLE) / 100 WHEN regexp_full_match(t, '-?[0-9]+(\.[0-9]+)?万') THEN try_cast(replace(t, '万', '') AS DOUBLE) * 10000 END AS num, try_cast(CASE WHEN p <> '' THEN replace(regexp_replace(p, '[/.年月]', '-', 'g'), '日', '') END AS DATE) AS dt FROM n) SELECT a.record_id AS a, b.record_id AS b, ((a.value IS NULL AND b.value IS NULL) OR coalesce(a.nv = b.nv, false) OR coalesce(abs(a.num - b.num) < 1e-9, false) OR coalesce(a.dt = b.dt, false)) AS same FROM m a JOIN m b ON a.product_id = b.product_id AND a.doc = b.doc AND a.field_id = b.field_id AND a.record_id < b.record_id")
 def _(spark, d):
     g = table(spark, d, "golden_records").dropDuplicates(["record_id"]).select("record_id", "product_id", "doc", "field_id", "value")
     b = g.select(F.col("record_id").alias("b"), "product_id", "doc", "field_id", F.col("value").alias("vb"))

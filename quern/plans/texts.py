@@ -85,10 +85,18 @@ def _(spark, d):
     return _docs(spark, d).select("doc_id", F.md5(T.strip_tags(F.col("text"))).alias("h"))
 
 
-@query(
-    "text_clean_passage",
-    r"""SELECT doc_id, md5(trim(regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(text, '(?s)```.*?```', ' ', 'g'), '\$\$[^$]+\$\$', ' ', 'g'), '<[^<>\n]+>', ' ', 'g'), '!\[([^\]\n]*)\]\([^()\n]*\)', '\1', 'g'), '\[([^\]\n]+)\]\([^()\n]*\)', '\1', 'g'), 'https?://\S+', ' ', 'g'), '(?m)^\|[ :|-]+\|$', '', 'g'), '(?m)^#{1,6}[ ]+', '', 'g'), '(?m)^>[ ]?', '', 'g'), '\*\*([^*\n]+)\*\*', '\1', 'g'), '(?m)^[-*][ ]+', '', 'g'), '\n{3,}', chr(10) || chr(10), 'g'), ' ')) AS h FROM documents""",
-)
+def _nested(text: str, steps) -> str:
+    for rx, to in steps:
+        text = f"regexp_replace({text}, '{rx}', {to}, 'g')"
+    return text
+
+
+_P1 = _nested("text", [("(?s)```.*?```", "''"), (r"(?s)\$\$.+?\$\$", "''"), (r"!\[[^\]\n]*\]\([^()\n]*\)", "''"), (r"\[([^\]\n]+)\]\([^()\n]*\)", r"'\1'"), (r"https?://\S+", "''"), (r"<[^<>\n]+>", "''"), (r"(?m)^[ \t]*\|[ \t:|-]+\|[ \t]*$", "''")])
+_P2 = r"array_to_string(list_transform(string_split(t, chr(10)), lambda x: CASE WHEN regexp_full_match(x, '[ \t]*\|.*\|[ \t]*') THEN array_to_string(list_transform(string_split(regexp_replace(x, '^[ \t]*\||\|[ \t]*$', '', 'g'), '|'), lambda y: trim(y, ' ')), ', ') ELSE x END), chr(10))"
+_P3 = _nested("u", [(r"(?m)^#{1,6}[ ]+", "''"), (r"(?m)^>[ ]?", "''"), (r"(?m)^[ \t]*(?:[-*+]|[0-9]+\.)[ ]+", "''"), (r"\*{1,3}([^*\n]+)\*{1,3}", r"'\1'"), (r"\n{3,}", "chr(10) || chr(10)")])
+
+
+@query("text_clean_passage", f"SELECT doc_id, md5(trim({_P3}, ' ')) AS h FROM (SELECT doc_id, {_P2} AS u FROM (SELECT doc_id, {_P1} AS t FROM documents))")
 def _(spark, d):
     return _docs(spark, d).select("doc_id", F.md5(T.clean_passage(F.col("text"))).alias("h"))
 

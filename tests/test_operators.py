@@ -195,3 +195,16 @@ def test_quote_lineage_takes_whole_quotes(spark, tmp_path):
     spark.createDataFrame(rows, "doc string, evidence array<struct<chunk_id:string,quote:string>>").write.parquet(f"{tmp_path}/golden_records.parquet")
     got = {r.status: r.n for r in registry.QUERIES["quote_lineage"](spark, str(tmp_path)).collect()}
     assert got == {"linked": 2, "page_only": 1}
+
+
+@pytest.mark.parametrize(("text", "plain"), [
+    ("这是一段普通的文本内容", "这是一段普通的文本内容"), ("前文 ![图片说明](https://example.com/img.png) 后文", "前文  后文"), ("请参考 [官方文档](https://docs.example.com) 了解详情", "请参考 官方文档 了解详情"), ("访问 https://example.com/path?q=1&b=2 获取更多信息", "访问  获取更多信息"),
+    ("示例代码：\n```python\nprint('hello')\n```\n以上是示例", "示例代码：\n\n以上是示例"), ("公式如下 $$E=mc^2$$ 其中E是能量", "公式如下  其中E是能量"), ("| 名称 | 值 |\n| --- | --- |\n| A | 1 |", "名称, 值\n\nA, 1"), ("## 第二章 概述\n### 2.1 背景", "第二章 概述\n2.1 背景"),
+    ("> 这是一段引用\n> 第二行引用", "这是一段引用\n第二行引用"), ("这是 **加粗** 和 *斜体* 以及 ***粗斜体*** 文本", "这是 加粗 和 斜体 以及 粗斜体 文本"), ("- 项目一\n- 项目二\n1. 有序一\n2. 有序二", "项目一\n项目二\n有序一\n有序二"), ("文本<br>换行<div class=\"test\">内容</div>结尾", "文本换行内容结尾"), ("段落一\n\n\n\n\n段落二", "段落一\n\n段落二"),
+])
+def test_clean_passage(spark, text, plain):
+    assert one(spark, T.clean_passage(F.lit(text))) == plain
+
+
+def test_redact_touching_letters(spark):
+    assert one(spark, T.redact(F.lit("电话13812345678号, id_11010119900101123X, no2024000012345, 90 days"))) == "电话[PHONE]号, id_[ID], no[POLICY], 90 days"
