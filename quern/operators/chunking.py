@@ -118,15 +118,16 @@ def heuristic(text: str, size: int = SIZE, overlap: int = OVERLAP, separators: S
     if sum(k < STRONG for k in at.values()) < 2:
         return []
     places = sorted(at)
-    out, a = [], 0
+    out, a, done = [], 0, 0
     while len(text) - a > size:
-        some = [p for p in places[bisect_left(places, a + size // 2) : bisect_right(places, a + size)]]
+        some = places[max(bisect_left(places, a + size // 2), bisect_right(places, done)) : bisect_right(places, a + size)]
         end = max(some, key=lambda p: (-at[p], p)) if some else a + size
         out.append((a, end, ""))
+        done = end
         if some and at[end] < STRONG:
             a = end  # nothing is carried over a strong boundary
             continue
-        back = [p for p in places[bisect_left(places, end - overlap) : bisect_left(places, end)] if p > a]
+        back = [p for p in places[bisect_left(places, end - min(overlap, size - 1)) : bisect_left(places, end)] if p > a]
         a = back[0] if back else end
     out.append((a, len(text), ""))
     return out

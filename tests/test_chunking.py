@@ -6,7 +6,7 @@ from hypothesis import strategies as st
 from quern.operators import chunking as C
 
 
-@settings(max_examples=200, deadline=None)
+@settings(max_examples=400, deadline=None)
 @given(st.lists(st.sampled_from(["Chapter 1", "1.2 Name", "word " * 9, "- item", "", "---", "\f", "第3章 总则", "Ein Satz. Noch einer."]), max_size=40), st.integers(30, 200), st.integers(0, 20))
 def test_heuristic_covers_and_bounds(lines, size, overlap):
     text = "\n".join(lines)
