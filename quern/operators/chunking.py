@@ -114,6 +114,9 @@ def boundaries(text: str) -> dict[int, int]:
 
 def heuristic(text: str, size: int = SIZE, overlap: int = OVERLAP, separators: Sequence[str] = SEPARATORS) -> list[tuple[int, int, str]]:
     """Chunks of texts whose structure isn't in Markdown: as much as fits, cut at the strongest boundary in the second half, the next one beginning at a boundary within the overlap; nothing without two strong marks."""
+    # the few strong marks are looked for first
+    if len(text) <= size or len({m.start() for rx in MARKS[:STRONG] for m in rx.finditer(text)}) < 2:
+        return []
     at = boundaries(text)
     if sum(k < STRONG for k in at.values()) < 2:
         return []
@@ -238,7 +241,9 @@ def chunks(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size
                 if t:
                     name, got, _ = chunk(t, size, overlap, separators)
                     # a chunk that begins inside a table carries its header rows
-                    got = [(a, b, "\n".join(x for x in (c, carried_header(t, a)) if x)) for a, b, c in got]
+                    if len(got) > 1 and (t[0] == "|" or "\n|" in t):
+                        spans = [m.span() for m in _TABLE.finditer(t)]
+                        got = [(a, b, "\n".join(x for x in (c, carried_header(t, a) if any(x < a < y for x, y in spans) else "") if x)) for a, b, c in got]
                     rows += [(i, k, a, b, name, c, t[a:b], k - 1 if k else None, k + 1 if k + 1 < len(got) else None) for k, (a, b, c) in enumerate(got)]
             yield pd.DataFrame(rows, columns=[id_col, "seq", "start_at", "end_at", "strategy", "context", "content", "prev_seq", "next_seq"]).astype({"prev_seq": "Int32", "next_seq": "Int32"})
 
