@@ -197,6 +197,24 @@ def test_quote_lineage_takes_whole_quotes(spark, tmp_path):
     assert got == {"linked": 2, "page_only": 1}
 
 
+@pytest.mark.parametrize("name", ["gap_cells"])
+@pytest.mark.parametrize("fields", [16, 10_500])
+def test_grid_of_many_rows_and_many_fields(spark, tmp_path, name, fields):
+    import duckdb
+
+    from quern.plans import registry
+
+    registry.load()
+    g = spark.range(12_000).selectExpr("'p' || id % 7 AS product_id", f"'f' || id % {fields} AS field_id", "element_at(array('unknown', 'present', 'absent_explicitly'), cast(id % 11 % 3 AS int) + 1) AS tri_state")
+    g.write.parquet(f"{tmp_path}/golden_records.parquet")
+    spark.range(4, 9).selectExpr("'p' || id AS product_id").write.parquet(f"{tmp_path}/insurance_products.parquet")
+    con = duckdb.connect()
+    for t in ("golden_records", "insurance_products"):
+        con.execute(f"CREATE VIEW {t} AS SELECT * FROM '{tmp_path}/{t}.parquet/*.parquet'")
+    got = [tuple(r) for r in registry.QUERIES[name](spark, str(tmp_path)).collect()]
+    assert len(got) >= 2 * fields and sorted(got) == sorted(con.sql(registry.ORACLE[name]).fetchall())
+
+
 @pytest.mark.parametrize(("text", "plain"), [
     ("这是一段普通的文本内容", "这是一段普通的文本内容"), ("前文 ![图片说明](https://example.com/img.png) 后文", "前文  后文"), ("请参考 [官方文档](https://docs.example.com) 了解详情", "请参考 官方文档 了解详情"), ("访问 https://example.com/path?q=1&b=2 获取更多信息", "访问  获取更多信息"),
     ("示例代码：\n```python\nprint('hello')\n```\n以上是示例", "示例代码：\n\n以上是示例"), ("公式如下 $$E=mc^2$$ 其中E是能量", "公式如下  其中E是能量"), ("| 名称 | 值 |\n| --- | --- |\n| A | 1 |", "名称, 值\n\nA, 1"), ("## 第二章 概述\n### 2.1 背景", "第二章 概述\n2.1 背景"),
