@@ -90,12 +90,12 @@ def sync_plan(source: DataFrame, target: DataFrame, pairs: DataFrame, fields: Se
 
 
 def matrix(rows: DataFrame, columns: DataFrame, cells: DataFrame, row: str, column: str, state: str, ranks: Sequence[str], missing: str = "unknown") -> DataFrame:
-    """row, column, state of every cell of a grid: of several states the one named first in ``ranks``, ``missing`` for none.
+    """row, column, state of every cell of a grid: of several states the one named first in ``ranks``, ``missing`` for none; null is no state.
 
     Only the distinct rows and columns are crossed, however many there are; Spark's size check decides whether a side is broadcast.
     """
     rank = F.coalesce(*(F.when(F.col(state) == r, F.lit(i)) for i, r in enumerate(ranks)), F.lit(len(ranks)))
-    best = cells.groupBy(row, column).agg(F.min(F.struct(rank.alias("r"), F.col(state).alias("s")))["s"].alias(state))
+    best = cells.where(F.col(state).isNotNull()).groupBy(row, column).agg(F.min(F.struct(rank.alias("r"), F.col(state).alias("s")))["s"].alias(state))
     grid = rows.select(row).distinct().crossJoin(columns.select(column).distinct())
     return grid.join(best, [row, column], "left").withColumn(state, F.coalesce(state, F.lit(missing)))
 

@@ -197,7 +197,7 @@ def test_quote_lineage_takes_whole_quotes(spark, tmp_path):
     assert got == {"linked": 2, "page_only": 1}
 
 
-@pytest.mark.parametrize("name", ["gap_cells"])
+@pytest.mark.parametrize("name", ["gap_cells", "state_matrix"])
 @pytest.mark.parametrize("fields", [16, 10_500])
 def test_grid_of_many_rows_and_many_fields(spark, tmp_path, name, fields):
     import duckdb
@@ -215,6 +215,14 @@ def test_grid_of_many_rows_and_many_fields(spark, tmp_path, name, fields):
     assert len(got) >= 2 * fields and sorted(got) == sorted(con.sql(registry.ORACLE[name]).fetchall())
 
 
+def test_grid_takes_null_for_no_state(spark):
+    from quern.operators import facts as K
+
+    g = spark.createDataFrame([("p", "f", None), ("p", "f", "other"), ("p", "g", None), ("q", "f", "present"), ("q", "f", None), ("q", "f", "other")], "r string, c string, s string")
+    got = {tuple(x) for x in K.matrix(g, g, g, "r", "c", "s", ["present"]).collect()}
+    assert got == {("p", "f", "other"), ("p", "g", "unknown"), ("q", "f", "present"), ("q", "g", "unknown")}
+
+
 @pytest.mark.parametrize(("text", "plain"), [
     ("这是一段普通的文本内容", "这是一段普通的文本内容"), ("前文 ![图片说明](https://example.com/img.png) 后文", "前文  后文"), ("请参考 [官方文档](https://docs.example.com) 了解详情", "请参考 官方文档 了解详情"), ("访问 https://example.com/path?q=1&b=2 获取更多信息", "访问  获取更多信息"),
     ("示例代码：\n```python\nprint('hello')\n```\n以上是示例", "示例代码：\n\n以上是示例"), ("公式如下 $$E=mc^2$$ 其中E是能量", "公式如下  其中E是能量"), ("| 名称 | 值 |\n| --- | --- |\n| A | 1 |", "名称, 值\n\nA, 1"), ("## 第二章 概述\n### 2.1 背景", "第二章 概述\n2.1 背景"),
