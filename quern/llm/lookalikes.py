@@ -8,8 +8,8 @@ fractions) stays different.
 
 Which letters look alike comes from the public Unicode data of confusable
 characters, as the ICU library that Spark brings along has them: letters of one
-case with one skeleton are one letter. The few fixed lists below hold where that
-library is missing.
+case with one skeleton are one letter. The few fixed lists below come on top of
+them; where that library is missing or fails there is an error and no result.
 """
 
 from __future__ import annotations
@@ -68,13 +68,15 @@ def _letters() -> tuple[str, ...]:
 
 
 def confusable(spark: SparkSession) -> dict[str, str]:
-    """Letter to the letter that it looks like, from the skeletons of the Unicode data; empty without ICU."""
+    """Letter to the letter that it looks like, from the skeletons of the Unicode data; an error without ICU, as the fixed lists alone would find less and not tell."""
+    letters = _letters()
     try:
         checker = spark._jvm.com.ibm.icu.text.SpoofChecker.Builder().build()
-        letters = _letters()
         skeletons = checker.getSkeleton("\n".join(letters)).split("\n")
-    except Exception:  # noqa: BLE001  (no such class, or no JVM at hand)
-        return {}
+    except Exception as e:  # no such class, or no JVM at hand
+        raise RuntimeError("look-alike letters need the ICU library (com.ibm.icu) in the driver's JVM") from e
+    if len(skeletons) != len(letters):
+        raise RuntimeError(f"{len(skeletons)} skeletons for {len(letters)} letters")
     groups: dict[tuple[str, int], list[str]] = {}
     for c, s in zip(letters, skeletons):
         groups.setdefault((s, _case(c)), []).append(c)

@@ -1,6 +1,10 @@
+from types import SimpleNamespace
+
 import pyarrow as pa
+import pytest
 from pyspark.sql import Row
 
+from quern.llm import lookalikes
 from quern.llm.lookalikes import _normalise, alike_pairs, confusable, one_form
 
 SCHEMA = "record_id bigint, product_id string, doc string, field_id string, product_name string, value string, evidence array<struct<page:int,quote:string,knowledge_id:string,chunk_id:string,lineage_status:string>>, x string"
@@ -35,6 +39,16 @@ def test_confusable_letters_of_the_unicode_data(spark):
     assert _normalise(once, known).equals(once)
 
 
+def test_without_unicode_data_there_is_no_result(spark, monkeypatch):
+    with pytest.raises(RuntimeError, match="ICU"):
+        confusable(SimpleNamespace(_jvm=spark._jvm.no.such.classes))
+    df = spark.createDataFrame([(1, "p", "d", "f", "ѵalue", "v", None, None), (2, "p", "d", "f", "value", "v", None, None)], SCHEMA)
+    assert {tuple(r) for r in alike_pairs(df).collect()} == {(1, 2, "product_name")}  # not in the fixed lists
+    monkeypatch.setattr(lookalikes, "_letters", lambda: ("a\n", "b"))
+    with pytest.raises(RuntimeError, match="3 skeletons for 2 letters"):
+        alike_pairs(df)
+
+
 def test_one_form_is_stable():
     texts = ["Ｖіе ", "ﬁﬂ", "Ζ⼀", "ä‍"]
     once = forms(*texts)
