@@ -22,9 +22,11 @@ from __future__ import annotations
 import math
 import re
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -44,11 +46,13 @@ BITS = 256
 SMALL_GROUP = 32
 #: Members of one set that a task pairs at once with those of another.
 MEMBERS = 512
+#: Texts whose terms are hashed at once, and sets whose keys are made at once.
+CHUNK_BYTES, CHUNK_SETS = 1 << 20, 1024
 
 _WORD = re.compile(r"\w+")
-_HAN = re.compile(r"[㐀-鿿豈-﫿\U00020000-\U0003ffff]")
+_HAN_RANGES = (0x3400, 0x9FFF), (0x8C48, 0xFAFF), (0x20000, 0x3FFFF)
+_HAN = re.compile("[" + "".join(f"{chr(a)}-{chr(b)}" for a, b in _HAN_RANGES) + "]")
 _MIX = 0x9E3779B97F4A7C15
-_M64 = (1 << 64) - 1
 
 
 def question_terms(questions) -> set[str]:
@@ -66,6 +70,98 @@ def question_terms(questions) -> set[str]:
     return out
 
 
+@lru_cache(1)
+def _letters() -> tuple[np.ndarray, np.ndarray]:
+    """For each character a random odd number, 0 if it is in no word, and whether it is Chinese."""
+    chars = [chr(c) for c in range(0x110000)]
+    word = np.fromiter((c.isalnum() for c in chars), bool, len(chars))
+    word[ord("_")] = True
+    han = np.zeros(len(chars), bool)
+    for a, b in _HAN_RANGES:
+        han[a : b + 1] = True
+    return np.where(word, _random(np.arange(len(chars), dtype=np.uint64)), np.uint64(0)), han
+
+
+def _random(x: np.ndarray) -> np.ndarray:
+    x = (x + np.uint64(1)) * np.uint64(_MIX)
+    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    return (x ^ (x >> np.uint64(31))) | np.uint64(1)
+
+
+def _places(n: int) -> np.ndarray:
+    return _random(np.arange(1 << 32, (1 << 32) + n, dtype=np.uint64))
+
+
+def _shares(letter: np.ndarray, place: np.ndarray) -> np.ndarray:
+    """What letters at places of a term add to its hash; 0 for what is in no word."""
+    v = letter * place
+    v ^= v >> np.uint64(32)
+    return v
+
+
+def hashed_terms(questions: list[str | None], row: np.ndarray, n_rows: int) -> tuple[np.ndarray, np.ndarray]:
+    """The ``question_terms`` of rows as sorted 64-bit hashes, one row after the other, and their numbers; row: that of each question, ascending."""
+    letters, han = _letters()
+    low = [q.lower() if q else "" for q in questions]
+    lens = np.fromiter(map(len, low), np.int64, len(low)) + 1
+    chars = np.frombuffer("\n".join([*low, ""]).encode("utf-32-le"), np.uint32)
+    first = np.cumsum(lens) - lens
+    letter = letters[chars]
+    word = letter != 0
+    word[1:] &= ~word[:-1]
+    starts = np.flatnonzero(word)
+    chinese = np.zeros(len(low), bool)
+    chinese[np.searchsorted(first, np.flatnonzero(han[chars]), "right") - 1] = True
+    # words, up to the next one: blanks between add nothing
+    per = np.diff(np.append(np.searchsorted(starts, first), len(starts)))
+    hashes = np.empty(0, np.uint64)
+    if len(starts):
+        at = np.arange(starts[0], len(chars)) - np.repeat(starts, np.diff(np.append(starts, len(chars))))
+        at[letter[starts[0] :] == 0] = 0
+        hashes = np.add.reduceat(_shares(letter[starts[0] :], _places(int(at.max()) + 1)[at]), starts - starts[0])
+    rows = np.repeat(row, per)
+    if chinese.any():
+        keep = np.repeat(~chinese, per)
+        hashes, rows = hashes[keep], rows[keep]
+        own = np.flatnonzero((letter != 0) & np.repeat(chinese, lens))
+        q = np.searchsorted(first, own, "right") - 1
+        near = q[1:] == q[:-1]
+        two = _places(2)
+        pairs, r = (_shares(letter[own[:-1]], two[:1]) + _shares(letter[own[1:]], two[1:]))[near], row[q[1:][near]]
+        words, both = np.bincount(rows, minlength=n_rows), np.bincount(r, minlength=n_rows)
+        total = words + both
+        base = np.cumsum(total) - total
+        out = np.empty(len(hashes) + len(pairs), np.uint64)
+        out[base[rows] + np.arange(len(rows)) - (np.cumsum(words) - words)[rows]] = hashes
+        out[base[r] + words[r] + np.arange(len(r)) - (np.cumsum(both) - both)[r]] = pairs
+        hashes = out
+    else:
+        total = np.bincount(rows, minlength=n_rows)
+    hashes = hashes * np.uint64(_MIX)
+    hashes ^= hashes >> np.uint64(31)
+    ends = np.cumsum(total)
+    for a, b in zip((ends - total).tolist(), ends.tolist()):
+        hashes[a:b].sort()
+    rows = np.repeat(np.arange(n_rows), total)
+    new = np.ones(len(hashes), bool)
+    new[1:] = (hashes[1:] != hashes[:-1]) | (rows[1:] != rows[:-1])
+    return hashes[new], np.bincount(rows[new], minlength=n_rows)
+
+
+def _batch_terms(col: pa.ListArray) -> Iterator[tuple[np.ndarray, np.ndarray, int]]:
+    """Terms and their numbers of so many rows at once, and the first of these rows."""
+    texts, n = col.flatten(), col.value_lengths().fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64)
+    last = np.cumsum(n)
+    size = np.concatenate(([0], np.cumsum(pc.binary_length(texts).fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64))))[last]
+    lo = 0
+    while lo < len(n):
+        hi = max(lo + 1, int(np.searchsorted(size, (size[lo - 1] if lo else 0) + CHUNK_BYTES, "right")))
+        a, b = int(last[lo] - n[lo]), int(last[hi - 1])
+        yield *hashed_terms(texts.slice(a, b - a).to_pylist(), np.repeat(np.arange(hi - lo), n[lo:hi]), hi - lo), lo
+        lo = hi
+
+
 def term_sets(df: DataFrame, id_col: str, text_cols: list[str], order_col: str | None) -> DataFrame:
     """id, at, sid, terms: the set of each row's terms as sorted 64-bit hashes, and the hash of the set; rows without terms or id are left out.
 
@@ -77,40 +173,40 @@ def term_sets(df: DataFrame, id_col: str, text_cols: list[str], order_col: str |
     src = df.where(F.col(id_col).isNotNull()).select(F.col(id_col).cast("bigint").alias("id"), F.coalesce(at, F.lit("")).alias("at"), texts.alias("texts"))
 
     def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known: dict[str, int] = {}
         for batch in it:
-            keep, sids, sets, ends = [], [], [], [0]
-            for i, texts in enumerate(batch.column(2).to_pylist()):
-                terms = question_terms(texts)
-                if not terms:
-                    continue
-                h = []
-                for t in terms:
-                    v = known.get(t)
-                    if v is None:
-                        if len(known) > 1_000_000:
-                            known.clear()
-                        v = known[t] = xxhash.xxh64_intdigest(t)
-                    h.append(v)
-                a = np.unique(np.array(h, np.uint64))
-                keep.append(i)
-                sids.append(xxhash.xxh64_intdigest(a.tobytes()))
-                sets.append(a)
-                ends.append(ends[-1] + len(a))
-            flat = np.concatenate(sets).view(np.int64) if sets else np.empty(0, np.int64)
-            take = pa.array(keep, pa.int64())
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0).take(take), batch.column(1).take(take), pa.array(np.array(sids, np.uint64).view(np.int64)), pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat))], ["id", "at", "sid", "terms"]
-            )
+            for flat, lens, lo in _batch_terms(batch.column(2)):
+                keep = np.flatnonzero(lens)
+                ends = np.concatenate(([0], np.cumsum(lens[keep])))
+                sids = [xxhash.xxh64_intdigest(flat[a:b]) for a, b in zip(ends[:-1].tolist(), ends[1:].tolist())]
+                take = pa.array(keep + lo)
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column(0).take(take), batch.column(1).take(take), pa.array(np.array(sids, np.uint64).view(np.int64)), pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pa.array(flat.view(np.int64)))], ["id", "at", "sid", "terms"]
+                )
 
     return spread(src).mapInArrow(run, "id bigint, at string, sid bigint, terms array<bigint>")
 
 
-def _lists(col) -> Iterator[np.ndarray]:
-    flat = col.flatten().to_numpy(zero_copy_only=False).view(np.uint64)
-    ends = np.concatenate(([0], np.cumsum(col.value_lengths().to_numpy(zero_copy_only=False))))
-    for a, b in zip(ends[:-1], ends[1:]):
-        yield flat[a:b]
+def _flat(col: pa.ListArray) -> tuple[np.ndarray, np.ndarray]:
+    """All terms of a column, and how many each row has."""
+    return col.flatten().to_numpy(zero_copy_only=False).view(np.uint64), col.value_lengths().to_numpy(zero_copy_only=False).astype(np.int64)
+
+
+def _unseen(batch: pa.RecordBatch, seen: set[int]) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """sids, terms and their numbers of the sets of a batch that its task hasn't seen, some at once."""
+    sids = batch.column(0).to_numpy(zero_copy_only=False)
+    flat, lens = _flat(batch.column(1))
+    new = np.zeros(len(sids), bool)
+    for i, sid in enumerate(sids.tolist()):
+        if sid not in seen:
+            seen.add(sid)
+            new[i] = True
+    if len(seen) > 300_000:
+        seen.clear()
+    flat, sids, lens = flat[np.repeat(new, lens)], sids[new], lens[new]
+    ends = np.concatenate(([0], np.cumsum(lens)))
+    for lo in range(0, len(sids), CHUNK_SETS):
+        hi = min(len(sids), lo + CHUNK_SETS)
+        yield sids[lo:hi], flat[ends[lo] : ends[hi]], lens[lo:hi]
 
 
 def _extend(key: np.ndarray, term: np.ndarray) -> np.ndarray:
@@ -118,52 +214,81 @@ def _extend(key: np.ndarray, term: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(31))
 
 
+def _least(x: np.ndarray) -> np.ndarray:
+    return np.ceil(x - 1e-9).astype(np.int64)
+
+
 class Keys:
-    """The keys of a set: chains of its first terms, extended while too many records hold them."""
+    """The keys of sets: chains of their first terms, extended while too many records hold them."""
 
     def __init__(self, threshold: float, hot: int, levels: list[np.ndarray]):
         self.t, self.hot, self.levels = threshold, hot, levels
         self.mask = np.uint64(len(levels[0]) - 1)
+        self.most = int(levels[0].max(initial=0))
 
-    def reach(self, n: int, k: int) -> tuple[int, int]:
+    def reach(self, n: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
         """How many first terms hold the k first shared ones: for the smaller set of a pair, and for either."""
-        small = n - math.ceil(2 * self.t / (1 + self.t) * n - 1e-9) + k
-        return min(n, small), min(n, n - math.ceil(self.t * n - 1e-9) + k)
+        small = n - _least(2 * self.t / (1 + self.t) * n) + k
+        return np.minimum(n, small), np.minimum(n, n - _least(self.t * n) + k)
+
+    def _counted(self, level: int, keys: np.ndarray) -> np.ndarray:
+        return self.levels[level][(keys & self.mask).astype(np.int64)].astype(np.int64)
+
+    def _ordered(self, terms: np.ndarray, lens: np.ndarray, freq: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Terms and counts of each set by count; the terms of a set come sorted."""
+        row, first = np.repeat(np.arange(len(lens)), lens), np.cumsum(lens) - lens
+        at = np.arange(len(terms)) - first[row]
+        bits = [int(x).bit_length() for x in (len(lens), self.most, lens.max(initial=0))]
+        if sum(bits) > 64:
+            order = np.lexsort((at, freq, row))
+        else:
+            packed = np.sort((((row << bits[1]) | freq).astype(np.uint64) << np.uint64(bits[2])) | at.astype(np.uint64))
+            order = first[row] + (packed & np.uint64((1 << bits[2]) - 1)).astype(np.int64)
+        return terms[order], freq[order]
 
-    def __call__(self, terms: np.ndarray, count_level: int | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Keys, whether each lies within the reach of a smaller set, and counts at the last level (0 below it).
+    def __call__(self, terms: np.ndarray, lens: np.ndarray, count_level: int | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Keys of sets (their terms one after the other), the number of the set of each, whether it lies within the reach of a smaller set, and its count at the last level (0 below it).
 
         With ``count_level`` r only the keys of level r that come from hot ones are given, to be counted.
         """
-        n = len(terms)
-        freq = self.levels[0][(terms & self.mask).astype(np.int64)].astype(np.int64)
-        order = np.lexsort((terms, freq))
-        ordered, freq = terms[order], freq[order]
-        last = len(self.levels)
-        small, far = self.reach(n, 1)
-        keys, at, cnt = ordered[:far], np.arange(far), freq[:far]
-        out: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+        sets = np.arange(len(lens))
+        freq = self._counted(0, terms)
+        if count_level:
+            # only sets whose first terms reach a hot one go on
+            cool = np.bincount(np.repeat(sets, lens)[freq <= self.hot], minlength=len(lens))
+            some = cool < self.reach(lens, 1)[1]
+            own = np.repeat(some, lens)
+            terms, freq, lens, sets = terms[own], freq[own], lens[some], sets[some]
+        ordered, freq = self._ordered(terms, lens, freq)
+        last, first = len(self.levels), np.cumsum(lens) - lens
+        small, far = self.reach(lens, 1)
+        row = np.repeat(np.arange(len(lens)), far)
+        at = np.arange(len(row)) - (np.cumsum(far) - far)[row]
+        keys, cnt = ordered[first[row] + at], freq[first[row] + at]
+        # a pair shares at least ``own`` terms; where a smaller partner can share too few for a longer chain, both keep this one
+        own = _least(self.t * lens)
+        shares = _least(self.t * own)
+        out: list[tuple[np.ndarray, ...]] = []
         for r in range(1, last + 1):
             full = cnt > self.hot
             if r == last:
-                out.append((keys, at < small, np.where(full, cnt, 0)))
-                break
-            # a pair shares at least ``own`` terms; where a smaller partner can share too few for a longer chain, both keep this one
-            own = math.ceil(self.t * n - 1e-9)
-            keep = ~full if math.ceil(self.t * own - 1e-9) > r else np.ones(len(keys), bool)
-            out.append((keys[keep], at[keep] < small, np.where(full, cnt, 0)[keep]))
-            if own <= r:
+                out.append((keys, row, at < small[row], np.where(full, cnt, 0)))
                 break
-            keys, at = keys[full], at[full]
-            small, far = self.reach(n, r + 1)
-            if not len(keys):
-                break
-            i, j = np.nonzero(at[:, None] < np.arange(far)[None, :])
-            keys, at = _extend(keys[i], ordered[j]), j
-            cnt = self.levels[r][(keys & self.mask).astype(np.int64)].astype(np.int64)
+            keep = ~full | (shares[row] <= r)
+            out.append((keys[keep], row[keep], at[keep] < small[row[keep]], np.where(full, cnt, 0)[keep]))
+            go = full & (own[row] > r)
+            keys, at, row = keys[go], at[go], row[go]
+            small, far = self.reach(lens, r + 1)
+            more = np.maximum(far[row] - 1 - at, 0)
+            i = np.repeat(np.arange(len(keys)), more)
+            at = at[i] + 1 + np.arange(len(i)) - (np.cumsum(more) - more)[i]
+            row = row[i]
+            keys = _extend(keys[i], ordered[first[row] + at])
+            cnt = self._counted(r, keys)
         if count_level:
-            return (keys, at, cnt) if r == count_level and r == last else (np.empty(0, np.uint64),) * 3
-        return tuple(np.concatenate(x) for x in zip(*out))
+            out = [(keys, row, at < small[row], cnt)]
+        keys, row, near, cnt = (np.concatenate(x) for x in zip(*out))
+        return keys, sets[row], near, cnt
 
 
 def counters(total: int, hot: int = HOT) -> tuple[int, int]:
@@ -202,24 +327,23 @@ def _count_level(sets: DataFrame, level: int, t: float, hot: int, levels: list[n
         seen: set[int] = set()
         for batch in it:
             got = [np.empty(0, np.int64)]
-            for sid, terms in zip(batch.column(0).to_pylist(), _lists(batch.column(1))):
-                if sid not in seen:
-                    seen.add(sid)
-                    keys = make(terms, level)[0]
-                    if len(keys):
-                        got.append((keys & make.mask).astype(np.int64))
-            if len(seen) > 300_000:
-                seen.clear()
+            for _, terms, lens in _unseen(batch, seen):
+                got.append((make(terms, lens, level)[0] & make.mask).astype(np.int64))
             b, n = np.unique(np.concatenate(got), return_counts=True)
             yield pa.RecordBatch.from_arrays([pa.array(b), pa.array(n.astype(np.int64))], ["b", "n"])
 
     return _counts(sets.select("sid", "terms").mapInArrow(run, "b bigint, n bigint"), size)
 
 
+def _folds(terms: np.ndarray, lens: np.ndarray) -> np.ndarray:
+    """Each set as BITS bits: each term flips one, so sets that differ in d terms differ in at most d bits."""
+    place = ((terms >> np.uint64(40)) & np.uint64(BITS - 1)).astype(np.int64) + BITS * np.repeat(np.arange(len(lens)), lens)
+    odd = np.bincount(place, minlength=BITS * len(lens)).astype(np.uint8) & 1
+    return np.packbits(odd.reshape(len(lens), BITS), axis=1, bitorder="little").view(np.int64)
+
+
 def _fold(terms: np.ndarray) -> np.ndarray:
-    """The set as BITS bits: each term flips one, so sets that differ in d terms differ in at most d bits."""
-    odd = np.bincount(((terms >> np.uint64(40)) & np.uint64(BITS - 1)).astype(np.int64), minlength=BITS) & 1
-    return np.packbits(odd.astype(np.uint8), bitorder="little").view(np.int64)
+    return _folds(terms, np.array([len(terms)]))[0]
 
 
 def _ring(diff: np.ndarray, budget: np.ndarray) -> np.ndarray:
@@ -244,46 +368,47 @@ def _budget(t: float, total: np.ndarray) -> np.ndarray:
     return np.floor((1 - t) / (1 + t) * total + 1e-9).astype(np.float32)
 
 
-def _near(bits: np.ndarray, size: np.ndarray, i: np.ndarray, j: np.ndarray, t: float) -> np.ndarray:
-    """Which of the pairs i, j a chain keeps."""
-    budget = _budget(t, size[i] + size[j])
-    return _ring(np.bitwise_count(bits[i] ^ bits[j]).T, budget)
-
-
-def _chains(bits: np.ndarray, size: np.ndarray, small: np.ndarray, t: float) -> tuple[np.ndarray, np.ndarray]:
-    """Positions i < j of the pairs of one large group that a chain keeps; sorted by size, index keys first."""
+def _first_links(bits: np.ndarray, size: np.ndarray, small: np.ndarray, t: float) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Positions i < j of the pairs of one large group that may begin a chain, part by part; sorted by size, index keys first."""
     n = len(size)
-    found_a, found_b = [], []
-    step = max(1, 200_000 // n)
+    step = max(8, (1 << 16) // n)
     far = np.searchsorted(size, np.floor(size / t + 1e-9), "right")
+    # no partner gives a set a larger share
+    share = np.minimum(np.floor(_budget(t, size + size[far - 1]) / SEGMENTS + 1e-4), 255).astype(np.uint8)
+    parts = np.ascontiguousarray(bits.T)
     for lo in range(0, n, step):
         rows = np.arange(lo, min(n, lo + step))
         rows = rows[small[rows]]
         if not len(rows):
             continue
         end = int(far[rows].max())
-        share = _budget(t, size[rows][:, None] + size[None, lo:end]) / SEGMENTS
         # the first link of a chain: one segment within its share
-        least = np.bitwise_count(bits[rows, 0][:, None] ^ bits[None, lo:end, 0])
+        least = np.bitwise_count(parts[0, rows][:, None] ^ parts[0, None, lo:end])
         for s in range(1, SEGMENTS):
-            np.minimum(least, np.bitwise_count(bits[rows, s][:, None] ^ bits[None, lo:end, s]), out=least)
-        i, j = np.nonzero(least <= share)
+            np.minimum(least, np.bitwise_count(parts[s, rows][:, None] ^ parts[s, None, lo:end]), out=least)
+        i, j = np.nonzero(least <= share[rows][:, None])
         i, j = rows[i], j + lo
         keep = (j > i) & (j < far[i])
-        i, j = i[keep], j[keep]
-        for at in range(0, len(i), 500_000):
-            a, b = i[at : at + 500_000], j[at : at + 500_000]
-            ok = _near(bits, size, a, b, t)
-            found_a.append(a[ok])
-            found_b.append(b[ok])
-    if not found_a:
-        return np.empty(0, np.int64), np.empty(0, np.int64)
-    return np.concatenate(found_a), np.concatenate(found_b)
+        yield i[keep], j[keep]
+
+
+def _grouped(key: np.ndarray, sid: np.ndarray, meta: np.ndarray) -> np.ndarray:
+    """The order by sorted key, then meta, then sid, as far as bits are left for it: equal rows come together but for a rare few."""
+    group = np.cumsum(np.concatenate(([False], key[1:] != key[:-1]))).astype(np.uint64)
+    a, b, c = (int(x).bit_length() for x in (group[-1], meta.max(), len(key)))
+    if a + b + c > 64:
+        return np.lexsort((sid, meta, key))
+    spare = 64 - a - b - c
+    packed = (group << np.uint64(b)) | meta.astype(np.uint64)
+    if spare:
+        packed = (packed << np.uint64(spare)) | (sid.view(np.uint64) >> np.uint64(64 - spare))
+    packed = np.sort((packed << np.uint64(c)) | np.arange(len(key), dtype=np.uint64))
+    return (packed & np.uint64((1 << c) - 1)).astype(np.int64)
 
 
 def _match(key: np.ndarray, sid: np.ndarray, meta: np.ndarray, bits: np.ndarray, t: float) -> np.ndarray:
     """The pairs (n, 2) of sids that whole groups of equal keys keep; meta: twice the size, odd for keys beyond the reach of a smaller set."""
-    order = np.lexsort((sid, meta, key))
+    order = _grouped(key, sid, meta)
     key, sid, meta = key[order], sid[order], meta[order]
     new = np.concatenate(([True], (key[1:] != key[:-1]) | (sid[1:] != sid[:-1]) | (meta[1:] != meta[:-1])))
     order, key, sid, meta = order[new], key[new], sid[new], meta[new]
@@ -291,6 +416,13 @@ def _match(key: np.ndarray, sid: np.ndarray, meta: np.ndarray, bits: np.ndarray,
     length = np.diff(np.append(cut, len(key)))
     size, small = meta >> 1, (meta & 1) == 0
     got = []
+
+    def chains(i: np.ndarray, j: np.ndarray) -> None:
+        for at in range(0, len(i), 500_000):
+            a, b = i[at : at + 500_000], j[at : at + 500_000]
+            ok = _ring(np.bitwise_count(bits[order[a]] ^ bits[order[b]]).T, _budget(t, size[a] + size[b]))
+            got.append(np.stack([sid[a[ok]], sid[b[ok]]], 1))
+
     some = np.flatnonzero(np.repeat((length > 1) & (length <= SMALL_GROUP), length))
     for step in range(1, SMALL_GROUP):
         some = some[some + step < len(key)]
@@ -299,12 +431,19 @@ def _match(key: np.ndarray, sid: np.ndarray, meta: np.ndarray, bits: np.ndarray,
             break
         i = some[small[some] & (size[some + step] <= size[some] / t + 1e-9)]
         if len(i):
-            ok = _ring(np.bitwise_count(bits[order[i]] ^ bits[order[i + step]]).T, _budget(t, size[i] + size[i + step]))
-            got.append(np.stack([sid[i[ok]], sid[i[ok] + step]], 1))
+            chains(i, i + step)
+    held: list[tuple[np.ndarray, np.ndarray]] = []
+    n_held = 0
     for a, n in zip(cut[length > SMALL_GROUP], length[length > SMALL_GROUP]):
         own = slice(a, a + n)
-        i, j = _chains(bits[order[own]], size[own], small[own], t)
-        got.append(np.stack([sid[own][i], sid[own][j]], 1))
+        for i, j in _first_links(bits[order[own]], size[own], small[own], t):
+            held.append((a + i, a + j))
+            n_held += len(i)
+            if n_held > 500_000:
+                chains(*(np.concatenate(x) for x in zip(*held)))
+                held, n_held = [], 0
+    if held:
+        chains(*(np.concatenate(x) for x in zip(*held)))
     if not got:
         return np.empty((0, 2), np.int64)
     both = np.concatenate(got)
@@ -327,31 +466,21 @@ def keyed(sets: DataFrame, t: float = THRESHOLD, hot: int = HOT) -> DataFrame:
         make = Keys(t, hot, held.value)
         seen: set[int] = set()  # copies of a set in one task are sent once
         for batch in it:
-            cols: list[list[np.ndarray]] = [[], [], [], []]
-            for sid, terms in zip(batch.column(0).to_pylist(), _lists(batch.column(1))):
-                if sid in seen:
-                    continue
-                seen.add(sid)
-                keys, small, cnt = make(terms)
+            for sids, terms, lens in _unseen(batch, seen):
+                keys, row, small, cnt = make(terms, lens)
                 blocks = -(-cnt // hot)
                 if (blocks > 1).any():
                     # a group that stays large is cut into blocks, and every two blocks meet once
                     rep = np.maximum(blocks, 1)
                     idx = np.repeat(np.arange(len(keys)), rep)
-                    other = np.concatenate([np.arange(b) for b in rep])
-                    own = (np.uint64(sid & _M64) % np.maximum(rep, 1).astype(np.uint64)).astype(np.int64)[idx]
+                    other = np.arange(len(idx)) - (np.cumsum(rep) - rep)[idx]
+                    keys, row, small, rep = keys[idx], row[idx], small[idx], rep[idx]
+                    own = (sids[row].view(np.uint64) % rep.astype(np.uint64)).astype(np.int64)
                     cell = np.minimum(own, other) * 1_000_003 + np.maximum(own, other)
-                    keys, small = np.where(rep[idx] > 1, _extend(keys[idx], cell.astype(np.uint64) + np.uint64(1)), keys[idx]), small[idx]
-                m = len(keys)
-                cols[0].append(keys.view(np.int64))
-                cols[1].append(np.full(m, sid, np.int64))
-                cols[2].append(len(terms) * 2 + (~small).astype(np.int32))
-                cols[3].append(np.broadcast_to(_fold(terms), (m, BITS // 64)))
-            if len(seen) > 300_000:
-                seen.clear()
-            if cols[0]:
-                key, sid, meta, bits = (np.concatenate(c) for c in cols)
-                yield pa.RecordBatch.from_arrays([pa.array(key), pa.array(sid), pa.array(meta.astype(np.int32)), *(pa.array(np.ascontiguousarray(bits[:, k])) for k in range(BITS // 64))], ["key", "sid", "meta", *names])
+                    keys = np.where(rep > 1, _extend(keys, cell.astype(np.uint64) + np.uint64(1)), keys)
+                bits = _folds(terms, lens)
+                meta = (lens[row] * 2 + ~small).astype(np.int32)
+                yield pa.RecordBatch.from_arrays([pa.array(keys.view(np.int64)), pa.array(sids[row]), pa.array(meta), *(pa.array(bits[row, k]) for k in range(BITS // 64))], ["key", "sid", "meta", *names])
 
     names = [f"b{k}" for k in range(BITS // 64)]
     return sets.select("sid", "terms").mapInArrow(emit, "key bigint, sid bigint, meta int, " + ", ".join(f"{x} bigint" for x in names))

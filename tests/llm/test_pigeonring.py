@@ -1,9 +1,10 @@
 import random
+import time
 
 import numpy as np
 import pytest
 
-from quern.llm.pigeonring import MAX_COUNTERS, counters, keyed, near_groups, near_pairs, question_terms, term_sets
+from quern.llm.pigeonring import MAX_COUNTERS, Keys, _match, counters, hashed_terms, keyed, near_groups, near_pairs, question_terms, term_sets
 
 SCHEMA = "id bigint, standard_question string, similar_questions array<string>, updated_at timestamp_ntz, extra string"
 
@@ -102,3 +103,94 @@ def test_many_members_are_paired_in_parts(spark, monkeypatch):
     monkeypatch.setattr("quern.llm.pigeonring.MEMBERS", 7)
     rows = [(i, "a b c d e f g h" if i % 2 else "a b c d e f g h i", None, None, None) for i in range(60)]
     assert near_pairs(spark.createDataFrame(rows, SCHEMA)).distinct().count() == 60 * 59 // 2
+
+
+ODD = ["Straße ΑΣ ΑΣΣ. Σ", "İstanbul ıI ǅ", "中文ab 12中", "中", "a\nb_c", "½ ² ١٢ Ⅷ", "", None, "𠀀𠀁 x", "é é", "_ __ a__", "ﬁ ﬂ", "x" * 3000, "中 文，a", "ab", "AB 中", "a b\n", "!?"]
+
+
+def test_hashed_terms_are_the_question_terms():
+    rng = random.Random(3)
+    rows = [[rng.choice(ODD) for _ in range(rng.randrange(5))] for _ in range(300)] + [[]]
+    rows += [["".join(chr(rng.choice([32, 97, 0x4E2D, rng.randrange(32, 0xD800), rng.randrange(0xE000, 0x30000)])) for _ in range(30))] for _ in range(300)]
+
+    def hashed(rows):
+        flat, n = hashed_terms([q for r in rows for q in r], np.repeat(np.arange(len(rows)), [len(r) for r in rows]), len(rows))
+        return np.split(flat, np.cumsum(n)[:-1])
+
+    want = [question_terms(r) for r in rows]
+    words = sorted(set().union(*want))
+    # a term alone is its own term, but for one Chinese character
+    alone = {w: int(h[0]) for w, h in zip(words, hashed([[w] for w in words])) if question_terms([w]) == {w}}
+    assert len(set(alone.values())) == len(alone) > 2000
+    n_whole = 0
+    for terms, got in zip(want, hashed(rows)):
+        assert len(terms) == len(got) and (got[1:] > got[:-1]).all()
+        if terms <= alone.keys():
+            n_whole += 1
+            assert {alone[t] for t in terms} == set(got.tolist())
+    assert n_whole > 500
+
+
+def some_sets(n, seed=2):
+    rng = np.random.default_rng(seed)
+    words = rng.integers(0, 2**64, 150, dtype=np.uint64)
+    return [np.unique(words[(150 * rng.random(int(rng.integers(1, 60))) ** 2).astype(int)]) for _ in range(n)]
+
+
+def some_levels(sets, n, size=1 << 12):
+    first = np.bincount((np.concatenate(sets) & np.uint64(size - 1)).astype(int), minlength=size).astype(np.uint32)
+    return [first, *(np.random.default_rng(k).integers(0, 6, size).astype(np.uint32) for k in range(n - 1))]
+
+
+def test_keys_of_many_sets_are_those_of_each():
+    sets = some_sets(60)
+    flat, lens = np.concatenate(sets), np.array([len(x) for x in sets])
+    for level in (None, 2, 3):
+        make = Keys(0.75, 2, some_levels(sets, level or 4))
+        keys, row, small, cnt = make(flat, lens, level)
+        wide = Keys(0.75, 2, make.levels)
+        wide.most = 1 << 62  # counts too wide to be sorted along with the rest
+        assert all(np.array_equal(a, b) for a, b in zip(wide(flat, lens, level), (keys, row, small, cnt)))
+        got = sorted(zip(row.tolist(), keys.tolist(), small.tolist(), cnt.tolist()))
+        want = []
+        for i, x in enumerate(sets):
+            k, _, s, c = make(x, np.array([len(x)]), level)
+            want += zip([i] * len(k), k.tolist(), s.tolist(), c.tolist())
+        assert got == sorted(want) and got
+
+
+def test_groups_of_any_size_keep_all_pairs_within_the_budget():
+    rng = np.random.default_rng(4)
+    for n in (2, 20, 33, 400):
+        bits = rng.integers(0, 2**64, (n, 4), dtype=np.uint64)
+        for i in range(n // 2):
+            bits[n // 2 + i] = bits[i] ^ (np.uint64(1) << rng.integers(0, 63, 4, dtype=np.uint64)) * (rng.random(4) < 0.7)
+        size, sid = rng.integers(4, 40, n), np.arange(n) + 7
+        meta = (2 * size + (rng.random(n) < 0.3)).astype(np.int32)
+        got = {tuple(x) for x in _match(np.zeros(n, np.int64), sid, meta, bits.view(np.uint32), 0.75).tolist()}
+        want = set()
+        for i in range(n):
+            for j in range(i + 1, n):
+                a, b = (i, j) if meta[i] <= meta[j] else (j, i)
+                if not meta[a] & 1 and size[b] <= size[a] / 0.75 + 1e-9 and np.bitwise_count(bits[i] ^ bits[j]).sum() <= (size[i] + size[j]) // 7:
+                    want.add((int(sid[i]), int(sid[j])))
+        assert len(want) > n // 20
+        assert got == want
+
+
+def test_keys_cost_less_than_the_terms():
+    """Keys are made of many sets at once: set by set they cost several times as much as finding the words."""
+    rng = random.Random(6)
+    texts = [[" ".join(f"w{int(4000 * rng.random() ** 2)}" for _ in range(100))] for _ in range(3000)]
+    flat, lens = hashed_terms([q for x in texts for q in x], np.arange(len(texts)), len(texts))
+    make = Keys(0.75, 60, some_levels([flat], 3))
+
+    def cost(f):
+        best = 1e9
+        for _ in range(3):
+            at = time.process_time()
+            f()
+            best = min(best, time.process_time() - at)
+        return best
+
+    assert cost(lambda: make(flat, lens)) < cost(lambda: [question_terms(x) for x in texts])
