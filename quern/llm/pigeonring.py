@@ -50,7 +50,7 @@ MEMBERS = 512
 CHUNK_BYTES, CHUNK_SETS = 1 << 20, 1024
 
 _WORD = re.compile(r"\w+")
-_HAN_RANGES = (0x3400, 0x9FFF), (0x8C48, 0xFAFF), (0x20000, 0x3FFFF)
+_HAN_RANGES = (0x3400, 0x9FFF), (0xF900, 0xFAFF), (0x20000, 0x3FFFF)
 _HAN = re.compile("[" + "".join(f"{chr(a)}-{chr(b)}" for a, b in _HAN_RANGES) + "]")
 _MIX = 0x9E3779B97F4A7C15
 

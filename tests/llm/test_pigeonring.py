@@ -194,3 +194,9 @@ def test_keys_cost_less_than_the_terms():
         return best
 
     assert cost(lambda: make(flat, lens)) < cost(lambda: [question_terms(x) for x in texts])
+
+
+def test_only_chinese_is_cut_into_pairs():
+    assert question_terms(["한국어 질문", "ꀀꀁꀂ"]) == {"한국어", "질문", "ꀀꀁꀂ"}
+    assert question_terms(["\uf900\uf901 x"]) == {"\uf900\uf901", "\uf901x"}
+    assert hashed_terms(["한국어 질문"], np.array([0]), 1)[1].tolist() == [2]
