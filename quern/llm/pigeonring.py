@@ -287,8 +287,10 @@ class Keys:
             cnt = self._counted(r, keys)
         if count_level:
             out = [(keys, row, at < small[row], cnt)]
+        # keys of one set stay together, so that its bits are packed well where rows are shuffled
         keys, row, near, cnt = (np.concatenate(x) for x in zip(*out))
-        return keys, sets[row], near, cnt
+        order = np.argsort(row, kind="stable")
+        return keys[order], sets[row[order]], near[order], cnt[order]
 
 
 def counters(total: int, hot: int = HOT) -> tuple[int, int]:
@@ -512,16 +514,27 @@ def candidates(sets: DataFrame, t: float = THRESHOLD, hot: int = HOT) -> DataFra
     return keyed(sets, t, hot).repartition("key").sortWithinPartitions("key").mapInArrow(match, "sid_a bigint, sid_b bigint").distinct()
 
 
+def _settle_once(df: DataFrame, tag: str) -> DataFrame:
+    """``settle`` for a frame that is of no use afterwards: its shuffle files go away with it, before the next ones are written."""
+    conf, key = df.sparkSession.conf, "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = conf.get(key, None)
+    conf.set(key, "true")
+    try:
+        return settle(df, tag)
+    finally:
+        conf.unset(key) if before is None else conf.set(key, before)
+
+
 def near_sets(sets: DataFrame, t: float = THRESHOLD, hot: int = HOT) -> DataFrame:
     """sid_a, sid_b, shared, total: every two different sets whose overlap is at least ``t``, after the full check."""
-    cand = settle(candidates(sets, t, hot), "candidates")
+    cand = _settle_once(candidates(sets, t, hot), "candidates")
     need = cand.select(F.explode(F.array("sid_a", "sid_b")).alias("sid")).distinct()
-    some = settle(sets.select("sid", "terms").join(need, "sid", "left_semi").dropDuplicates(["sid"]), "sets")
+    some = _settle_once(sets.select("sid", "terms").join(need, "sid", "left_semi").dropDuplicates(["sid"]), "sets")
     a, b = some.select(F.col("sid").alias("sid_a"), F.col("terms").alias("ta")), some.select(F.col("sid").alias("sid_b"), F.col("terms").alias("tb"))
     j = cand.join(a, "sid_a").join(b, "sid_b")
     # the full Hamming check: terms that only one of the two sets has
     j = j.withColumn("shared", F.size(F.array_intersect("ta", "tb"))).withColumn("total", F.size("ta") + F.size("tb") - F.col("shared"))
-    out = settle(j.where(F.col("shared") >= F.lit(t) * F.col("total") - 1e-9).select("sid_a", "sid_b", "shared", "total"), "near")
+    out = _settle_once(j.where(F.col("shared") >= F.lit(t) * F.col("total") - 1e-9).select("sid_a", "sid_b", "shared", "total"), "near")
     discard(cand)
     discard(some)
     return out

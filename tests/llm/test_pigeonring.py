@@ -200,3 +200,25 @@ def test_only_chinese_is_cut_into_pairs():
     assert question_terms(["한국어 질문", "ꀀꀁꀂ"]) == {"한국어", "질문", "ꀀꀁꀂ"}
     assert question_terms(["\uf900\uf901 x"]) == {"\uf900\uf901", "\uf901x"}
     assert hashed_terms(["한국어 질문"], np.array([0]), 1)[1].tolist() == [2]
+
+
+def test_shuffle_files_of_candidates_go_away(spark):
+    from quern.llm.pigeonring import near_sets
+
+    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    sets = term_sets(spark.createDataFrame(made(100, 1, 60, 25), SCHEMA), "id", ["standard_question"], None)
+    before = spark.conf.get(key, None)
+    spark.sparkContext._jvm.System.gc()
+    held = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+
+    def blocks():
+        return {int(x.split("_")[1]) for x in held.getAllBlocks().mkString(" ").split() if x.startswith("shuffle_")}
+
+    old = blocks()
+    near = near_sets(sets)  # kept, so that nothing is collected
+    for _ in range(50):
+        if not (left := blocks() - old):
+            break
+        time.sleep(0.2)
+    assert near.count() > 0 and len(left) <= 3  # those of the counts alone
+    assert spark.conf.get(key, None) == before
